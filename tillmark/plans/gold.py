@@ -112,6 +112,7 @@ def fact_references(dims: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame,
 class Gold:
     spark: SparkSession
     root: str
+    calendar: tuple[str, str] = CALENDAR
 
     def table(self, name: str) -> KeyedTable:
         key, layout = TABLE_KEYS[name]
@@ -119,7 +120,7 @@ class Gold:
         return KeyedTable(self.spark, f"{self.root}/gold/{name}", (key,), schema)
 
     def read(self, name: str) -> DataFrame:
-        return dim_date(self.spark) if name == "dim_date" else self.table(name).read()
+        return dim_date(self.spark, *self.calendar) if name == "dim_date" else self.table(name).read()
 
     def _mark(self, step: str) -> dict[str, int]:
         """Last silver run per core table this step has processed."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmark.plans.bronze import ingest_all
-from tillmark.plans.gold import Gold
+from tillmark.plans.gold import CALENDAR, Gold
 from tillmark.plans.silver import transform_all
 from tillmark.plans.views import all_views, create_views
 from tillmark.session import configure
@@ -13,13 +13,16 @@ from tillmark.session import configure
 STAR = ("dim_date", "dim_customer", "dim_store", "dim_product", "fact_sales")
 
 
-def star_schema(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    gold = Gold(spark, root)
+def star_schema(gold: Gold) -> dict[str, DataFrame]:
     return {name: gold.read(name) for name in STAR}
 
 
 def run(
-    spark: SparkSession, raw_dir: str, root: str, on_violation: str = "fail"
+    spark: SparkSession,
+    raw_dir: str,
+    root: str,
+    on_violation: str = "fail",
+    calendar: tuple[str, str] = CALENDAR,
 ) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
     """Bring the warehouse below ``root`` up to date with the drops in ``raw_dir``.
 
@@ -29,9 +32,9 @@ def run(
     configure(spark)
     ingested = ingest_all(spark, root, raw_dir)
     transformed = transform_all(spark, root)
-    gold = Gold(spark, root)
+    gold = Gold(spark, root, calendar)
     gold.build_dims()
     gold.build_fact(on_violation)
-    star = star_schema(spark, root)
+    star = star_schema(gold)
     create_views(star)
     return ingested, transformed, all_views(star)
