@@ -11,7 +11,7 @@ from tillmark.sources.csv_drops import drop_pattern, listed
 from tillmark.sources.folders import any_match
 
 # The file source needs its layout stated; only the path is ever read.
-_FILE_LAYOUT = "path string, modificationTime timestamp, length bigint, content binary"
+_FILE_LAYOUT = "path string, modificationTime timestamp_ltz, length bigint, content binary"
 
 
 def start_ingest(

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("star", "cleaning", "state")
+MODULES = ("star", "cleaning", "state", "ingest", "quality")
 
 
 def load_all() -> None:
