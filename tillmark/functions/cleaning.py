@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.specs import COUNT, MOMENT, MONEY, TEXT, TableSpec
@@ -14,8 +14,11 @@ WHITESPACE = (
     + "".join(chr(c) for c in range(0x2000, 0x200B))
     + "\u2028\u2029\u202f\u205f\u3000"
 )
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_ISO_MOMENT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
+# White space around a value is part of its pattern, so reading takes one pass over the text.
+_PAD = f"[{WHITESPACE}]*"
+_NUMBER = rf"^{_PAD}([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){_PAD}$"
+_DAY_FIRST = rf"^{_PAD}(\d{{2}})/(\d{{2}})/(\d{{4}})"
+_ISO_MOMENT = rf"^{_PAD}(\d{{4}}-\d{{2}}-\d{{2}}(?:[ T]\d{{2}}:\d{{2}}:\d{{2}}(?:\.\d{{1,6}})?)?){_PAD}$"
 
 
 def stripped(col: Column) -> Column:
@@ -31,11 +34,10 @@ def clean_text(col: Column) -> Column:
 def parse_number(col: Column) -> Column:
     """Text to double. Commas read as decimal points; anything that is not a plain number is NULL.
 
-    The pattern keeps out spellings a cast would accept, such as 'nan', 'inf' or '2.5d'.
+    The pattern keeps out spellings a cast would accept, such as 'nan', 'inf' or '2.5d'. The text is used
+    once, each step inside the next: an expression mentioned twice would be computed twice.
     """
-    text = F.translate(stripped(col), ",", ".")
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.regexp_extract(F.translate(col, ",", "."), _NUMBER, 1).try_cast("double")
 
 
 def non_negative(col: Column) -> Column:
@@ -61,35 +63,33 @@ def to_count(col: Column) -> Column:
 def parse_moment(col: Column) -> Column:
     """ISO or day-first date, with or without time, to a timestamp without zone; else NULL.
 
-    The day-first form is rearranged to ISO so that one cast serves both and no parser exception is raised.
+    The day-first form is rearranged to ISO, so one cast serves both and no parser exception is raised.
     """
-    text = stripped(col)
-    day_first = F.concat(
-        F.substring(text, 7, 4),
-        F.lit("-"),
-        F.substring(text, 4, 2),
-        F.lit("-"),
-        F.substring(text, 1, 2),
-        F.substring(text, 11, 16),
-    )
-    iso = F.when(text.like("__/__/____%"), day_first).otherwise(text)
-    return F.when(iso.rlike(_ISO_MOMENT), iso.try_cast("timestamp_ntz"))
-
-
-def cleaned(spec: TableSpec, name: str) -> Column:
-    """The cleaning expression of one column, by its kind."""
-    raw, kind = F.col(name), spec.columns[name]
-    if kind == TEXT:
-        result = clean_text(raw)
-    elif kind == MOMENT:
-        result = parse_moment(raw)
-    else:
-        value = non_negative(parse_number(raw))
-        if name in spec.bounds:
-            value = within(value, *spec.bounds[name])
-        result = {MONEY: to_money, COUNT: to_count}[kind](value)
-    return result.alias(name)
-
-
-def clean_columns(spec: TableSpec) -> list[Column]:
-    return [cleaned(spec, name) for name in spec.names]
+    iso = F.regexp_replace(col, _DAY_FIRST, "$3-$2-$1")
+    return F.regexp_extract(iso, _ISO_MOMENT, 1).try_cast("timestamp_ntz")
+
+
+def parsed(spec: TableSpec, name: str) -> Column:
+    """First step of cleaning a column: its text read as the column's kind."""
+    parse = {TEXT: clean_text, MOMENT: parse_moment, MONEY: parse_number, COUNT: parse_number}
+    return parse[spec.columns[name]](F.col(name)).alias(name)
+
+
+def checked(spec: TableSpec, name: str) -> Column:
+    """Second step: value rules and final type of a parsed column."""
+    value, kind = F.col(name), spec.columns[name]
+    if kind not in (MONEY, COUNT):
+        return value
+    value = non_negative(value)
+    if name in spec.bounds:
+        value = within(value, *spec.bounds[name])
+    return {MONEY: to_money, COUNT: to_count}[kind](value).alias(name)
+
+
+def clean_columns(rows: DataFrame, spec: TableSpec, *others: str) -> DataFrame:
+    """The table's columns cleaned, next to ``others`` as they are.
+
+    The value rules mention a number several times, so it is parsed in a projection of its own.
+    """
+    texts = rows.select(*[parsed(spec, name) for name in spec.names], *others)
+    return texts.select(*[checked(spec, name) for name in spec.names], *others)

@@ -11,15 +11,21 @@ from pyspark.sql import functions as F
 MISSING_KEY = "missing_primary_key"
 
 
-def has_key(key: Sequence[str]) -> Column:
-    """Every key column is present and not blank. Never NULL, so it can be negated."""
-    present = [F.coalesce(F.trim(F.col(k).cast("string")) != "", F.lit(False)) for k in key]
+def has_key(key: Sequence[str], cleaned: bool = False) -> Column:
+    """Every key column is present and not blank. Never NULL, so it can be negated.
+
+    In ``cleaned`` columns blank is already NULL.
+    """
+    present = [
+        F.col(k).isNotNull() if cleaned else F.coalesce(F.trim(F.col(k).cast("string")) != "", F.lit(False))
+        for k in key
+    ]
     return reduce(Column.__and__, present)
 
 
-def split_missing_key(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def split_missing_key(df: DataFrame, key: Sequence[str], cleaned: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows with a full key, rows without)."""
-    return df.where(has_key(key)), df.where(~has_key(key))
+    return df.where(has_key(key, cleaned)), df.where(~has_key(key, cleaned))
 
 
 def reject_rows(df: DataFrame, table: str, reason: str, rejected_at: Column) -> DataFrame:

@@ -79,7 +79,8 @@ def duplicate_rows(raw: DataFrame, table: str, key: Sequence[str], columns: Sequ
 def number_format(raw: DataFrame, table: str, key: Sequence[str], column: str) -> DataFrame:
     """Raw numbers written with a decimal comma, or not readable at all."""
     text = stripped(F.col(column))
-    unreadable = (text != "") & parse_number(F.col(column)).isNull()
+    finite = F.abs(parse_number(F.col(column))) < F.lit(float("inf"))
+    unreadable = (text != "") & ~F.coalesce(finite, F.lit(False))
     comma = text.contains(",")
     return matching(
         raw, table, "number_format", key, comma | unreadable, F.when(unreadable, "unreadable").otherwise("decimal_comma")

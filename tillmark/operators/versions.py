@@ -19,6 +19,12 @@ def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str]) ->
     return df.withColumn("_rank", F.row_number().over(newest_first)).where("_rank = 1").drop("_rank")
 
 
+def first_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """Keep the row with the lowest version of every key."""
+    oldest_first = Window.partitionBy(*key).orderBy(*[F.col(v).asc_nulls_first() for v in version])
+    return df.withColumn("_rank", F.row_number().over(oldest_first)).where("_rank = 1").drop("_rank")
+
+
 def upsert(target: DataFrame, changes: DataFrame, key: Sequence[str], version: str = "_loaded_at") -> DataFrame:
     """Target after the changes: a change replaces the row of its key unless that row is newer.
 

@@ -27,12 +27,12 @@ TRANSFORM_STATS = "table string, rows_upserted bigint, rows_rejected bigint"
 
 def clean(bronze_rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed rows with the lineage columns that order versions."""
-    return bronze_rows.select(*clean_columns(spec), *VERSION)
+    return clean_columns(bronze_rows, spec, *VERSION)
 
 
 def current_rows(cleaned: DataFrame, spec: TableSpec) -> DataFrame:
     """Latest version per key, in the silver layout; rows without a key are left out."""
-    keyed, _ = split_missing_key(cleaned, spec.key)
+    keyed, _ = split_missing_key(cleaned, spec.key, cleaned=True)
     return latest_by_key(keyed, spec.key, VERSION).select(spec.silver_schema().names)
 
 
@@ -83,7 +83,7 @@ class Silver:
         # Load times only grow from batch to batch, so no row here can be older than the current one.
         self.table(name).merge(current_rows(cleaned, spec), run, guard=False, counted=upserted)
 
-        _, without_key = split_missing_key(cleaned, spec.key)
+        _, without_key = split_missing_key(cleaned, spec.key, cleaned=True)
         rows = reject_rows(without_key, name, MISSING_KEY, F.localtimestamp()).drop("table_name")
         rows.observe(rejected, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
             f"{self.root}/silver_rejects/table_name={name}/run={run}"
