@@ -121,7 +121,7 @@ def test_upsert_guard(spark):
 def test_keyed_table_equals_upserts_in_order(spark, root):
     rnd = random.Random(11)
     schema = keyed(spark, []).schema
-    table = KeyedTable(spark, root, ("k",), schema, compact_every=3)
+    table = KeyedTable(spark, root, ("k",), schema, compact_every=3, compact_share=0.0)
     assert table.read().count() == 0 and table.last_run() == -1
     state = {}
     for run in range(8):
@@ -137,6 +137,15 @@ def test_keyed_table_equals_upserts_in_order(spark, root):
     assert {r.k for r in table.changes(after=6).collect()} <= set(batch)
 
 
+def test_snapshots_wait_for_enough_changes(spark, root):
+    table = KeyedTable(spark, root, ("k",), keyed(spark, []).schema, compact_every=1, compact_share=0.5, compact_at_most=4)
+    table.merge(keyed(spark, [(f"k{i}", i, 0) for i in range(5000)]), 0)
+    for run in range(1, 6):
+        table.merge(keyed(spark, [("k1", run, run)]), run)
+    assert table._runs("snapshot", None) == [0, 4]
+    assert table.read().count() == 5000 and table.read().where("k = 'k1'").first().v == 5
+
+
 def test_missing_keys_and_rejects(spark):
     df = spark.createDataFrame(
         [("a", "x", 1), (" ", "x", 2), (None, "x", 3), ("b", None, 4)], "k1 string, k2 string, _source_file int"
@@ -198,12 +207,16 @@ def test_number_and_measure_rules(spark):
         [("a", "1,5"), ("b", "1.234,56"), ("c", ""), ("d", "-2"), ("e", "0"), ("f", "7"), ("g", "1e400")],
         "k string, n string",
     )
-    found = {r.record_key: r.detail for r in q.number_format(df, "t", ["k"], "n").collect()}
+    found = {r.record_key: r.detail for r in q.matching(df, "t", ["k"], q.number_format("n")).collect()}
     assert found == {"a": "decimal_comma", "b": "unreadable", "g": "unreadable"}
-    assert {r.record_key: r.detail for r in q.not_positive(df, "t", ["k"], "n").collect()} == {
+    assert {r.record_key: r.detail for r in q.matching(df, "t", ["k"], q.not_positive("n")).collect()} == {
         "d": "negative", "e": "zero"
     }
-    assert [r.record_key for r in q.out_of_bounds(df, "t", ["k"], "n", 1, 5).collect()] == ["d", "e", "f", "g"]
+    bounds = q.out_of_bounds("n", 1, 5)
+    assert [r.record_key for r in q.matching(df, "t", ["k"], bounds).collect()] == ["d", "e", "f", "g"]
+    together = q.check_rows(df, "t", ["k"], [q.number_format("n"), q.not_positive("n"), bounds])
+    apart = [q.matching(df, "t", ["k"], rule) for rule in (q.number_format("n"), q.not_positive("n"), bounds)]
+    assert collected(together) == collected(apart[0].unionByName(apart[1]).unionByName(apart[2]))
 
 
 def test_cost_ratio_keeps_the_bounds(spark):

@@ -6,6 +6,7 @@ They read the data and never change it; what silver repairs on its own is only r
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,25 @@ def record_key(key: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
 
 
+class RowRule(NamedTuple):
+    """A rule that looks at one row: where ``bad`` holds, the row is a finding with this detail."""
+
+    name: str
+    bad: Column
+    detail: Column
+
+
+def check_rows(df: DataFrame, table: str, key: Sequence[str], rules: Sequence[RowRule]) -> DataFrame:
+    """All row rules of a table in one pass over it."""
+    hits = [
+        F.when(rule.bad, F.struct(F.lit(rule.name).alias("rule"), rule.detail.cast("string").alias("detail")))
+        for rule in rules
+    ]
+    return df.select(record_key(key).alias("record_key"), F.explode(F.array_compact(F.array(*hits))).alias("hit")).select(
+        F.lit(table).alias("table_name"), "hit.rule", "record_key", "hit.detail"
+    )
+
+
 def _findings(df: DataFrame, table: str, rule: str, key: Column, detail: Column) -> DataFrame:
     return df.select(
         F.lit(table).alias("table_name"),
@@ -30,22 +50,20 @@ def _findings(df: DataFrame, table: str, rule: str, key: Column, detail: Column)
     )
 
 
-def matching(df: DataFrame, table: str, rule: str, key: Sequence[str], bad: Column, detail: Column) -> DataFrame:
-    """Rows on which a condition holds; the shape most detectors share."""
-    return _findings(df.where(bad), table, rule, record_key(key), detail)
+def matching(df: DataFrame, table: str, key: Sequence[str], rule: RowRule) -> DataFrame:
+    """One row rule; its condition becomes a filter that reaches the scan."""
+    return _findings(df.where(rule.bad), table, rule.name, record_key(key), rule.detail)
 
 
-def missing_value(df: DataFrame, table: str, key: Sequence[str], column: str, only_if: Column | None = None) -> DataFrame:
+def missing_value(column: str, only_if: Column | None = None) -> RowRule:
     """The column is NULL (where ``only_if`` holds)."""
     bad = F.col(column).isNull()
-    return matching(df, table, "missing_value", key, bad if only_if is None else bad & only_if, F.lit(column))
+    return RowRule("missing_value", bad if only_if is None else bad & only_if, F.lit(column))
 
 
-def padded_text(raw: DataFrame, table: str, key: Sequence[str], column: str) -> DataFrame:
+def padded_text(column: str) -> RowRule:
     """Raw text with white space at either end."""
-    return matching(
-        raw, table, "padded_text", key, F.col(column) != stripped(F.col(column)), F.lit(column)
-    )
+    return RowRule("padded_text", F.col(column) != stripped(F.col(column)), F.lit(column))
 
 
 def inconsistent_case(df: DataFrame, table: str, column: str) -> DataFrame:
@@ -76,37 +94,42 @@ def duplicate_rows(raw: DataFrame, table: str, key: Sequence[str], columns: Sequ
     return _findings(groups.where("_copies > 1"), table, "duplicate_row", F.col("_key"), F.col("_copies"))
 
 
-def number_format(raw: DataFrame, table: str, key: Sequence[str], column: str) -> DataFrame:
-    """Raw numbers written with a decimal comma, or not readable at all."""
+def number_format(column: str) -> RowRule:
+    """A raw number written with a decimal comma, or not readable at all."""
     text = stripped(F.col(column))
     finite = F.abs(parse_number(F.col(column))) < F.lit(float("inf"))
     unreadable = (text != "") & ~F.coalesce(finite, F.lit(False))
-    comma = text.contains(",")
-    return matching(
-        raw, table, "number_format", key, comma | unreadable, F.when(unreadable, "unreadable").otherwise("decimal_comma")
+    return RowRule(
+        "number_format", text.contains(",") | unreadable, F.when(unreadable, "unreadable").otherwise("decimal_comma")
     )
 
 
-def not_positive(raw: DataFrame, table: str, key: Sequence[str], column: str, zero_ok: bool = False) -> DataFrame:
-    """Raw measures that are negative, or zero unless zero is a legal value."""
+def not_positive(column: str, zero_ok: bool = False) -> RowRule:
+    """A raw measure that is negative, or zero unless zero is a legal value."""
     value = parse_number(F.col(column).cast("string"))
-    bad = value < 0 if zero_ok else value <= 0
-    return matching(raw, table, "not_positive", key, bad, F.when(value < 0, "negative").otherwise("zero"))
+    return RowRule(
+        "not_positive", value < 0 if zero_ok else value <= 0, F.when(value < 0, "negative").otherwise("zero")
+    )
 
 
-def out_of_bounds(raw: DataFrame, table: str, key: Sequence[str], column: str, low, high) -> DataFrame:
+def out_of_bounds(column: str, low, high) -> RowRule:
     value = parse_number(F.col(column).cast("string"))
-    return matching(raw, table, "out_of_bounds", key, ~value.between(low, high), F.lit(column))
+    return RowRule("out_of_bounds", ~value.between(low, high), F.lit(column))
+
 
+def date_format_mix(column: str) -> RowRule:
+    """A raw date written day first."""
+    return RowRule("date_format", F.col(column).rlike(_DAY_FIRST), F.col(column))
 
-def date_format_mix(raw: DataFrame, table: str, key: Sequence[str], column: str) -> DataFrame:
-    """Raw dates written day first."""
-    return matching(raw, table, "date_format", key, F.col(column).rlike(_DAY_FIRST), F.col(column))
 
+def unknown_value(column: str, domain: Sequence[str]) -> RowRule:
+    """A value outside a closed list; NULL is not judged here."""
+    return RowRule("unknown_value", ~F.col(column).isin(*domain), F.col(column))
 
-def unknown_value(df: DataFrame, table: str, key: Sequence[str], column: str, domain: Sequence[str]) -> DataFrame:
-    """Values outside a closed list; NULL is not judged here."""
-    return matching(df, table, "unknown_value", key, ~F.col(column).isin(*domain), F.col(column))
+
+def wrong_order(earlier: Column, later: Column) -> RowRule:
+    """Two moments in the wrong order: the one that must come later is before the other."""
+    return RowRule("wrong_order", later < earlier, later)
 
 
 def orphan_reference(
@@ -118,11 +141,6 @@ def orphan_reference(
     return _findings(orphans, table, "orphan_reference", record_key(key), F.col(fk))
 
 
-def wrong_order(df: DataFrame, table: str, key: Sequence[str], earlier: Column, later: Column) -> DataFrame:
-    """Two moments in the wrong order: the one that must come later is before the other."""
-    return matching(df, table, "wrong_order", key, later < earlier, later)
-
-
 def overlapping_periods(df: DataFrame, table: str, key: Sequence[str], start: str, end: str) -> DataFrame:
     """Periods (ends included) that begin before an earlier period is over, in (start, key) order.
 
@@ -166,7 +184,7 @@ def amount_mismatch(
     """Amounts that differ from the sum over the order's items; items are summed before the join."""
     totals = items.groupBy(F.col(item_order_key).alias(order_key)).agg(F.sum(item_amount).alias("_total"))
     joined = payments.join(totals, order_key)
-    return matching(joined, table, "amount_mismatch", key, F.col(amount) != F.col("_total"), F.col("_total"))
+    return matching(joined, table, key, RowRule("amount_mismatch", F.col(amount) != F.col("_total"), F.col("_total")))
 
 
 def price_drift(
@@ -182,9 +200,8 @@ def price_drift(
 ) -> DataFrame:
     """Item prices that differ from the list price current at the time of the sale."""
     priced = as_of(items, sold_at, list_prices, valid_from, [product_key], list_price, "_list_price")
-    return matching(
-        priced, table, "price_drift", key, F.col(price) != F.col("_list_price"), F.col("_list_price")
-    )
+    drift = RowRule("price_drift", F.col(price) != F.col("_list_price"), F.col("_list_price"))
+    return matching(priced, table, key, drift)
 
 
 def points_mismatch(
@@ -202,7 +219,7 @@ def points_mismatch(
     totals = items.groupBy(F.col(item_order_key).alias(order_key)).agg(F.sum(item_amount).alias("_total"))
     due = F.floor(F.col("_total") / unit)
     joined = points.join(totals, order_key).withColumn("_due", due)
-    return matching(joined, table, "points_mismatch", key, F.col(earned) != F.col("_due"), F.col("_due"))
+    return matching(joined, table, key, RowRule("points_mismatch", F.col(earned) != F.col("_due"), F.col("_due")))
 
 
 def cost_ratio(
@@ -221,7 +238,7 @@ def cost_ratio(
     inside = F.col(cost).between(
         F.col("_price") * F.lit(low).cast("decimal(4,2)"), F.col("_price") * F.lit(high).cast("decimal(4,2)")
     )
-    return matching(joined, table, "cost_ratio", key, ~inside, F.col("_price"))
+    return matching(joined, table, key, RowRule("cost_ratio", ~inside, F.col("_price")))
 
 
 def findings_per_rule(findings: DataFrame) -> DataFrame:

@@ -43,18 +43,24 @@ def build_session(app: str = "tillmark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+# Scratch folders of local sessions without a configured one, by application id.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's checkpoint folder.
 
-    A folder on this machine is used only when the cluster names none, as in local tests.
+    Only a session that runs on this machine alone may go without one, as tests do.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and spark.sparkContext.getCheckpointDir() is not None:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tillmark-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="tillmark-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

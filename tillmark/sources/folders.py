@@ -11,6 +11,14 @@ def _matches(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in fs.globStatus(path) or []]
 
 
+def total_bytes(spark: SparkSession, folders: list[str]) -> int:
+    total = 0
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return total
+
+
 def any_match(spark: SparkSession, pattern: str) -> bool:
     return bool(_matches(spark, pattern))
 

@@ -42,7 +42,7 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
 def raw_items(spark: SparkSession, sf: str) -> DataFrame:
     """Items with decimal-comma prices, and their ship date to split drops by."""
     return read(spark, sf, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_item_id"),
+        roles.item_id().alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),

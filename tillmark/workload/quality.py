@@ -31,7 +31,7 @@ def finding(table: str, rule: str, key: str, detail: str, rest: str) -> str:
 
 @query(finding("products", "missing_value", "p_partkey", "'category_id'", "FROM part WHERE p_size = 1"))
 def dq_missing_value(spark: SparkSession, sf: str) -> DataFrame:
-    return q.missing_value(roles.products(spark, sf), "products", ["product_id"], "category_id")
+    return q.matching(roles.products(spark, sf), "products", ["product_id"], q.missing_value("category_id"))
 
 
 @query(finding("customers", "padded_text", "c_custkey", "'name'", "FROM customer WHERE c_nationkey IN (3, 4)"))
@@ -42,7 +42,7 @@ def dq_padded_text(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("c_name"))
     )
     rows = read(spark, sf, "customer").withColumn("name", name)
-    return q.padded_text(rows, "customers", ["c_custkey"], "name")
+    return q.matching(rows, "customers", ["c_custkey"], q.padded_text("name"))
 
 
 @query(
@@ -93,7 +93,7 @@ def dq_number_format(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("l_extendedprice").cast("string"))
     )
     rows = read(spark, sf, "lineitem").withColumn("price", price)
-    return q.number_format(rows, "order_items", LINE, "price")
+    return q.matching(rows, "order_items", LINE, q.number_format("price"))
 
 
 @query(
@@ -103,15 +103,17 @@ def dq_number_format(spark: SparkSession, sf: str) -> DataFrame:
 )
 def dq_not_positive(spark: SparkSession, sf: str) -> DataFrame:
     """Balances may be zero but not negative; taxes must be positive."""
-    balances = q.not_positive(read(spark, sf, "customer"), "customers", ["c_custkey"], "c_acctbal", zero_ok=True)
-    return balances.unionByName(q.not_positive(read(spark, sf, "lineitem"), "order_items", LINE, "l_tax"))
+    balance, tax = q.not_positive("c_acctbal", zero_ok=True), q.not_positive("l_tax")
+    return q.matching(read(spark, sf, "customer"), "customers", ["c_custkey"], balance).unionByName(
+        q.matching(read(spark, sf, "lineitem"), "order_items", LINE, tax)
+    )
 
 
 @query(
     finding("order_items", "out_of_bounds", LINE_KEY, "'l_quantity'", "FROM lineitem WHERE l_quantity NOT BETWEEN 5 AND 45")
 )
 def dq_out_of_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return q.out_of_bounds(read(spark, sf, "lineitem"), "order_items", LINE, "l_quantity", 5, 45)
+    return q.matching(read(spark, sf, "lineitem"), "order_items", LINE, q.out_of_bounds("l_quantity", 5, 45))
 
 
 @query(
@@ -124,14 +126,15 @@ def dq_date_format(spark: SparkSession, sf: str) -> DataFrame:
     day = F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd")
     )
-    return q.date_format_mix(read(spark, sf, "orders").withColumn("day", day), "orders", ["o_orderkey"], "day")
+    rows = read(spark, sf, "orders").withColumn("day", day)
+    return q.matching(rows, "orders", ["o_orderkey"], q.date_format_mix("day"))
 
 
 @query(
     finding("orders", "unknown_value", "o_orderkey", "o_orderstatus", "FROM orders WHERE o_orderstatus NOT IN ('O', 'F')")
 )
 def dq_unknown_value(spark: SparkSession, sf: str) -> DataFrame:
-    return q.unknown_value(read(spark, sf, "orders"), "orders", ["o_orderkey"], "o_orderstatus", ["O", "F"])
+    return q.matching(read(spark, sf, "orders"), "orders", ["o_orderkey"], q.unknown_value("o_orderstatus", ["O", "F"]))
 
 
 @query(
@@ -156,7 +159,7 @@ def dq_orphan_reference(spark: SparkSession, sf: str) -> DataFrame:
 def dq_wrong_order(spark: SparkSession, sf: str) -> DataFrame:
     orders = read(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     rows = read(spark, sf, "lineitem").join(orders, "l_orderkey")
-    return q.wrong_order(rows, "shipments", LINE, F.col("o_orderdate"), F.col("l_shipdate"))
+    return q.matching(rows, "shipments", LINE, q.wrong_order(F.col("o_orderdate"), F.col("l_shipdate")))
 
 
 @query(
@@ -268,24 +271,27 @@ def dq_cost_ratio(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-DETECTORS = {
-    "dq_missing_value": dq_missing_value,
-    "dq_padded_text": dq_padded_text,
-    "dq_number_format": dq_number_format,
-    "dq_not_positive": dq_not_positive,
-    "dq_out_of_bounds": dq_out_of_bounds,
-    "dq_unknown_value": dq_unknown_value,
-    "dq_orphan_reference": dq_orphan_reference,
-    "dq_wrong_order": dq_wrong_order,
-}
-
-
 @query(
     "SELECT table_name, rule, count(*) AS findings FROM (\n"
-    + "\nUNION ALL ".join(f"SELECT * FROM ({ORACLE[name]})" for name in DETECTORS)
+    + "\nUNION ALL ".join(
+        [
+            finding("order_items", "out_of_bounds", "1", "1", "FROM lineitem WHERE l_quantity NOT BETWEEN 5 AND 45"),
+            finding("order_items", "not_positive", "1", "1", "FROM lineitem WHERE l_tax = 0"),
+            finding("order_items", "unknown_value", "1", "1", "FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')"),
+            ORACLE["dq_missing_value"],
+            ORACLE["dq_unknown_value"],
+            ORACLE["dq_orphan_reference"],
+        ]
+    )
     + ") GROUP BY 1, 2"
 )
 def dq_findings_per_rule(spark: SparkSession, sf: str) -> DataFrame:
-    """Findings of several detectors, counted per table and rule."""
-    found = reduce(DataFrame.unionByName, [detect(spark, sf) for detect in DETECTORS.values()])
-    return q.findings_per_rule(found)
+    """Several rules checked in one pass over the lines, joined by other detectors, counted per rule."""
+    lines = q.check_rows(
+        read(spark, sf, "lineitem"),
+        "order_items",
+        LINE,
+        [q.out_of_bounds("l_quantity", 5, 45), q.not_positive("l_tax"), q.unknown_value("l_returnflag", ["A", "N"])],
+    )
+    others = [detect(spark, sf) for detect in (dq_missing_value, dq_unknown_value, dq_orphan_reference)]
+    return q.findings_per_rule(reduce(DataFrame.unionByName, [lines, *others]))

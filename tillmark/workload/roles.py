@@ -89,10 +89,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def item_id():
+    """Line numbers repeat inside an order; with part, supplier and ship date a line is unique."""
+    day = F.date_format("l_shipdate", "yyyyMMdd")
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day)
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One item per line; line numbers repeat inside an order, so part and supplier are in the id too."""
+    """One item per line."""
     return read(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_item_id"),
+        item_id().alias("order_item_id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -129,7 +135,7 @@ CTE = {
          o_orderdate AS _loaded_at
   FROM orders)""",
     "order_items": """order_items AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_item_id,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) AS order_item_id,
          CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
          CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(18,4)) AS unit_price,
          l_shipdate AS _loaded_at
