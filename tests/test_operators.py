@@ -133,7 +133,7 @@ def test_keyed_table_equals_upserts_in_order(spark, root):
             if k not in state or at >= state[k][1]:
                 state[k] = (v, at)
         assert collected(table.read()) == sorted((k, *v) for k, v in state.items())
-    assert table._runs("snapshot", None) == [2, 5]
+    assert table._runs("snapshot") == [2, 5]
     assert {r.k for r in table.changes(after=6).collect()} <= set(batch)
 
 
@@ -142,7 +142,7 @@ def test_snapshots_wait_for_enough_changes(spark, root):
     table.merge(keyed(spark, [(f"k{i}", i, 0) for i in range(5000)]), 0)
     for run in range(1, 6):
         table.merge(keyed(spark, [("k1", run, run)]), run)
-    assert table._runs("snapshot", None) == [0, 4]
+    assert table._runs("snapshot") == [0, 4]
     assert table.read().count() == 5000 and table.read().where("k = 'k1'").first().v == 5
 
 

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import islice
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.operators.incremental import EPOCH
+from tillmark.operators.incremental import rows_since
 from tillmark.session import side_by_side
 from tillmark.sources.csv_drops import list_drops, read_drops
-from tillmark.sources.folders import finished_runs
+from tillmark.sources.folders import finished_runs, last_finished
 from tillmark.specs import TABLES, TableSpec
 
 LOAD_LOG = (
@@ -22,6 +25,12 @@ INGEST_STATS = "table string, files_loaded bigint, rows_loaded bigint"
 FILES_PER_BATCH = 10_000
 
 
+class Ingested(NamedTuple):
+    table: str
+    files_loaded: int
+    rows_loaded: int
+
+
 @dataclass(frozen=True)
 class Bronze:
     spark: SparkSession
@@ -33,46 +42,62 @@ class Bronze:
     def log_path(self, table: str) -> str:
         return f"{self.root}/control/load_log/table_name={table}"
 
+    def _log_of(self, table: str, batches: Sequence[int]) -> DataFrame:
+        reader = self.spark.read.schema(LOAD_LOG).option("basePath", f"{self.root}/control/load_log")
+        return reader.parquet(*[f"{self.log_path(table)}/_batch_id={b}" for b in batches])
+
     def load_log(self, table: str) -> DataFrame:
         """Files already loaded: (file_path, row_count, loaded_at, table_name, _batch_id)."""
-        if not finished_runs(self.spark, self.log_path(table), "_batch_id"):
-            return self.spark.createDataFrame([], LOAD_LOG)
-        reader = self.spark.read.schema(LOAD_LOG).option("basePath", f"{self.root}/control/load_log")
-        return reader.parquet(self.log_path(table))
+        batches = finished_runs(self.spark, self.log_path(table), "_batch_id")
+        return self._log_of(table, batches) if batches else self.spark.createDataFrame([], LOAD_LOG)
+
+    def _last_batch(self, table: str) -> int:
+        return last_finished(self.spark, self.log_path(table), "_batch_id")
 
-    def last_loaded_at(self, table: str) -> dt.datetime:
-        return self.load_log(table).agg(F.max("loaded_at")).first()[0] or EPOCH
+    def loaded_at(self, table: str, batch: int) -> dt.datetime:
+        """The load time all rows of a batch carry; it grows with the batch number."""
+        return self._log_of(table, [batch]).first().loaded_at
 
-    def read(self, table: str, after: dt.datetime = EPOCH) -> DataFrame:
-        """Rows of the logged batches loaded after a moment.
+    def since(self, table: str, mark: dt.datetime) -> DataFrame | None:
+        """Rows loaded after the mark, None when there are none.
 
-        The log names the batches, so only their folders are listed and a batch that was cut off before
-        it was logged is not seen.
+        Batches are looked at from the newest back, so only the folders of new ones are opened. A batch
+        that was cut off before it was logged is not seen.
         """
-        spec = TABLES[table]
-        newer = self.load_log(table).where(F.col("loaded_at") > F.lit(after).cast("timestamp_ntz"))
-        batches = sorted(row._batch_id for row in newer.select("_batch_id").distinct().collect())
-        if not batches:
-            return self.spark.createDataFrame([], spec.bronze_schema())
-        reader = self.spark.read.schema(spec.bronze_schema()).option("basePath", self.table_path(table))
+        new: list[int] = []
+        for batch in reversed(finished_runs(self.spark, self.log_path(table), "_batch_id")):
+            if self.loaded_at(table, batch) <= mark:
+                break
+            new.append(batch)
+        return rows_since(self._rows(table, sorted(new)), mark) if new else None
+
+    def _rows(self, table: str, batches: Sequence[int]) -> DataFrame:
+        reader = self.spark.read.schema(TABLES[table].bronze_schema()).option("basePath", self.table_path(table))
         return reader.parquet(*[f"{self.table_path(table)}/_batch_id={b}" for b in batches])
 
+    def read(self, table: str) -> DataFrame:
+        """All rows of the logged batches."""
+        batches = finished_runs(self.spark, self.log_path(table), "_batch_id")
+        if not batches:
+            return self.spark.createDataFrame([], TABLES[table].bronze_schema())
+        return self._rows(table, batches)
+
     def new_files(self, listing: DataFrame, table: str) -> DataFrame:
         """Listed files that are not in the load log."""
         return listing.join(self.load_log(table).select("file_path"), "file_path", "left_anti")
 
-    def append(self, files: list[tuple[str, str]], spec: TableSpec, loaded_at: dt.datetime | None = None) -> None:
-        """Load files as one batch. The log entry is written last and makes the batch visible.
+    def append(self, files: list[tuple[str, str]], spec: TableSpec) -> int:
+        """Load files as one batch and return its number. The log entry is written last and makes it visible.
 
-        The batch number follows the last logged one, so a repeated attempt replaces what a failed one left.
+        The number follows the last logged one, so a repeated attempt replaces what a failed one left.
         """
-        batch = max(finished_runs(self.spark, self.log_path(spec.name), "_batch_id"), default=-1) + 1
+        last = self._last_batch(spec.name)
         # One load time per batch, and never before an earlier batch, whatever the clock does.
-        now = loaded_at or dt.datetime.now(dt.UTC).replace(tzinfo=None)
-        now = max(now, self.last_loaded_at(spec.name) + dt.timedelta(microseconds=1))
+        now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        if last >= 0:
+            now = max(now, self.loaded_at(spec.name, last) + dt.timedelta(microseconds=1))
         stamp = F.lit(now).cast("timestamp_ntz")
-
-        target = f"{self.table_path(spec.name)}/_batch_id={batch}"
+        target = f"{self.table_path(spec.name)}/_batch_id={last + 1}"
         rows = read_drops(self.spark, files, spec).withColumn("_loaded_at", stamp)
         rows.write.mode("overwrite").parquet(target)
 
@@ -86,37 +111,26 @@ class Bronze:
         log = names.join(counts, "file_path", "left").select(
             "file_path", F.coalesce("row_count", F.lit(0)).alias("row_count"), stamp.alias("loaded_at")
         )
-        log.coalesce(1).write.mode("overwrite").parquet(f"{self.log_path(spec.name)}/_batch_id={batch}")
-
-    def load_listing(self, listing: DataFrame, table: str, files_per_batch: int = FILES_PER_BATCH) -> int:
-        """Load the listed files that are new, in name order. Returns the number of files."""
-        rows = self.new_files(listing, table).orderBy("file_path").toLocalIterator()
-        pending: list[tuple[str, str]] = []
-        loaded = 0
-        for row in rows:
-            pending.append((row.path, row.file_path))
-            if len(pending) == files_per_batch:
-                self.append(pending, TABLES[table])
-                loaded, pending = loaded + len(pending), []
-        if pending:
-            self.append(pending, TABLES[table])
-        return loaded + len(pending)
-
-    def ingest(self, raw_dir: str, table: str) -> DataFrame:
-        """Load a table's new drops; statistics of this run as one row. No folder means zeros."""
-        mark = self.last_loaded_at(table)
+        log.coalesce(1).write.mode("overwrite").parquet(f"{self.log_path(spec.name)}/_batch_id={last + 1}")
+        return last + 1
+
+    def load_listing(self, listing: DataFrame, table: str, files_per_batch: int = FILES_PER_BATCH) -> list[int]:
+        """Load the listed files that are new, in name order. Returns the numbers of the new batches."""
+        new = self.new_files(listing, table).orderBy("file_path").toLocalIterator()
+        files = ((row.path, row.file_path) for row in new)
+        batches = []
+        while batch := list(islice(files, files_per_batch)):
+            batches.append(self.append(batch, TABLES[table]))
+        return batches
+
+    def ingest(self, raw_dir: str, table: str) -> Ingested:
+        """Load a table's new drops. No folder, or nothing new, means zeros."""
         listing = list_drops(self.spark, raw_dir, table)
-        if listing is not None:
-            self.load_listing(listing, table)
-        return self.stats(table, mark)
-
-    def stats(self, table: str, since: dt.datetime) -> DataFrame:
-        run = self.load_log(table).where(F.col("loaded_at") > F.lit(since).cast("timestamp_ntz"))
-        return run.agg(
-            F.lit(table).alias("table"),
-            F.count(F.lit(1)).alias("files_loaded"),
-            F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows_loaded"),
-        )
+        batches = [] if listing is None else self.load_listing(listing, table)
+        if not batches:
+            return Ingested(table, 0, 0)
+        counts = self._log_of(table, batches).agg(F.count(F.lit(1)), F.sum("row_count")).first()
+        return Ingested(table, *counts)
 
 
 def tenant_dir(raw_root: str, tenant: str) -> str:
@@ -127,8 +141,7 @@ def tenant_dir(raw_root: str, tenant: str) -> str:
 def ingest_all(spark: SparkSession, root: str, raw_dir: str, tables=tuple(TABLES)) -> DataFrame:
     """Load every table's new drops, in layout order; one statistics row per table."""
     bronze = Bronze(spark, root)
-    rows = side_by_side(lambda table: bronze.ingest(raw_dir, table).first(), tables)
-    return spark.createDataFrame([tuple(r) for r in rows], INGEST_STATS)
+    return spark.createDataFrame(side_by_side(lambda table: bronze.ingest(raw_dir, table), tables), INGEST_STATS)
 
 
 def totals(stats: DataFrame) -> DataFrame:

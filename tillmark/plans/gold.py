@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tillmark.functions.calendar import calendar_columns, date_key
 from tillmark.operators.integrity import reference_violations, split_by_references
 from tillmark.plans.silver import Silver
-from tillmark.sources.folders import finished_runs
+from tillmark.sources.folders import last_finished
 from tillmark.sources.keyed_table import KeyedTable
 from tillmark.specs import CORE
 
@@ -125,14 +125,14 @@ class Gold:
     def _mark(self, step: str) -> dict[str, int]:
         """Last silver run per core table this step has processed."""
         path = f"{self.root}/control/gold/step={step}"
-        runs = finished_runs(self.spark, path, "run")
-        if not runs:
+        run = last_finished(self.spark, path, "run")
+        if run < 0:
             return dict.fromkeys(CORE, -1)
-        return {r.table_name: r.silver_run for r in self.spark.read.parquet(f"{path}/run={runs[-1]}").collect()}
+        return {r.table_name: r.silver_run for r in self.spark.read.parquet(f"{path}/run={run}").collect()}
 
     def _set_mark(self, step: str, marks: dict[str, int]) -> None:
         path = f"{self.root}/control/gold/step={step}"
-        run = max(finished_runs(self.spark, path, "run"), default=-1) + 1
+        run = last_finished(self.spark, path, "run") + 1
         rows = self.spark.createDataFrame(list(marks.items()), "table_name string, silver_run bigint")
         rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/run={run}")
 
@@ -191,10 +191,10 @@ class Gold:
 
     def _held_back(self) -> DataFrame | None:
         path = f"{self.root}/gold/fact_sales_quarantine"
-        runs = finished_runs(self.spark, path, "run")
-        if not runs:
+        run = last_finished(self.spark, path, "run")
+        if run < 0:
             return None
-        return self.spark.read.schema(FACT_SALES).parquet(f"{path}/run={runs[-1]}").select(
+        return self.spark.read.schema(FACT_SALES).parquet(f"{path}/run={run}").select(
             T._parse_datatype_string(FACT_SALES).names
         )
 

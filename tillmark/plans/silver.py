@@ -14,7 +14,7 @@ from tillmark.operators.integrity import MISSING_KEY, reject_rows, split_missing
 from tillmark.operators.versions import latest_by_key
 from tillmark.plans.bronze import Bronze
 from tillmark.session import side_by_side
-from tillmark.sources.folders import finished_runs
+from tillmark.sources.folders import any_match, last_finished
 from tillmark.sources.keyed_table import KeyedTable
 from tillmark.specs import TABLES, VERSION, TableSpec
 
@@ -53,14 +53,14 @@ class Silver:
 
     def _last_mark(self, name: str) -> tuple[int, dt.datetime]:
         """(number of the last finished run, its high-water mark)."""
-        runs = finished_runs(self.spark, self._marks_path(name), "run")
-        if not runs:
+        run = last_finished(self.spark, self._marks_path(name), "run")
+        if run < 0:
             return -1, EPOCH
-        mark = self.spark.read.schema(MARKS).parquet(f"{self._marks_path(name)}/run={runs[-1]}").first()
-        return runs[-1], mark.last_loaded_at
+        mark = self.spark.read.schema(MARKS).parquet(f"{self._marks_path(name)}/run={run}").first()
+        return run, mark.last_loaded_at
 
     def rejects(self) -> DataFrame:
-        if not finished_runs(self.spark, f"{self.root}/silver_rejects/table_name=*", "run"):
+        if not any_match(self.spark, f"{self.root}/silver_rejects/table_name=*/run=*/_SUCCESS"):
             return self.spark.createDataFrame([], REJECTS)
         rows = self.spark.read.schema(REJECTS).parquet(f"{self.root}/silver_rejects")
         return rows.select("table_name", "reason", "row_json", "source_file", "rejected_at")
@@ -74,8 +74,8 @@ class Silver:
         spec = TABLES[name]
         last_run, mark = self._last_mark(name)
         run = last_run + 1
-        fresh = Bronze(self.spark, self.root).read(name, mark)
-        if fresh.isEmpty():
+        fresh = Bronze(self.spark, self.root).since(name, mark)
+        if fresh is None or fresh.isEmpty():
             return name, 0, 0
 
         cleaned = clean(fresh, spec)

@@ -1,29 +1,56 @@
-"""Folder listings on whatever file system the path names."""
+"""Folder listings on whatever file system the path names.
+
+Runs write to numbered folders. A run's folder counts once Spark's _SUCCESS marker is in it; only the folders
+a caller needs are probed for it, so a long history costs one listing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
 
-def _matches(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [status.getPath().toString() for status in fs.globStatus(path) or []]
+def _path_and_fs(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    path, fs = _path_and_fs(spark, pattern)
+    return bool(fs.globStatus(path))
 
 
 def total_bytes(spark: SparkSession, folders: list[str]) -> int:
     total = 0
     for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        path, fs = _path_and_fs(spark, folder)
+        total += fs.getContentSummary(path).getLength()
     return total
 
 
-def any_match(spark: SparkSession, pattern: str) -> bool:
-    return bool(_matches(spark, pattern))
+def _numbers(spark: SparkSession, root: str, label: str) -> list[int]:
+    path, fs = _path_and_fs(spark, root)
+    if not fs.exists(path):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(path)]
+    return sorted(int(name.removeprefix(f"{label}=")) for name in names if name.startswith(f"{label}="))
+
+
+def _is_finished(spark: SparkSession, root: str, label: str, number: int) -> bool:
+    path, fs = _path_and_fs(spark, f"{root}/{label}={number}/_SUCCESS")
+    return fs.exists(path)
+
+
+def finished_runs(
+    spark: SparkSession, root: str, label: str, after: int = -1, before: int | None = None
+) -> list[int]:
+    """Numbers n, after < n < before, of the folders ``root/label=n`` whose write job completed."""
+    wanted = [n for n in _numbers(spark, root, label) if n > after and (before is None or n < before)]
+    return [n for n in wanted if _is_finished(spark, root, label, n)]
 
 
-def finished_runs(spark: SparkSession, root: str, label: str) -> list[int]:
-    """Numbers n of the folders ``root/label=n`` whose write job completed (Spark's _SUCCESS marker)."""
-    marks = _matches(spark, f"{root}/{label}=*/_SUCCESS")
-    return sorted(int(mark.rsplit(f"/{label}=", 1)[1].split("/", 1)[0]) for mark in marks)
+def last_finished(spark: SparkSession, root: str, label: str, before: int | None = None) -> int:
+    """The highest such number, -1 when there is none."""
+    for number in reversed(_numbers(spark, root, label)):
+        if (before is None or number < before) and _is_finished(spark, root, label, number):
+            return number
+    return -1

@@ -120,10 +120,10 @@ def bronze_rerun_skips(spark: SparkSession, sf: str) -> DataFrame:
     raw_dir, root = raw_and_root(spark)
     bronze, rows = Bronze(spark, root), raw_orders(spark, sf)
     drop(rows.where(early("order_date")), raw_dir, "orders", FIRST)
-    first = bronze.ingest(raw_dir, "orders").first()
-    second = bronze.ingest(raw_dir, "orders").first()
+    first = bronze.ingest(raw_dir, "orders")
+    second = bronze.ingest(raw_dir, "orders")
     drop(rows.where(~early("order_date")), raw_dir, "orders", SECOND)
-    third = bronze.ingest(raw_dir, "orders").first()
+    third = bronze.ingest(raw_dir, "orders")
     runs = [("first", first.rows_loaded), ("second", second.rows_loaded), ("third", third.rows_loaded)]
     return spark.createDataFrame(runs, "run string, rows_loaded bigint")
 
