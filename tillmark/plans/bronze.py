@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators.incremental import rows_since
-from tillmark.session import side_by_side
+from tillmark.session import no_rows, side_by_side
 from tillmark.sources.csv_drops import list_drops, read_drops
 from tillmark.sources.folders import finished_runs, last_finished
 from tillmark.specs import TABLES, TableSpec
@@ -49,7 +49,7 @@ class Bronze:
     def load_log(self, table: str) -> DataFrame:
         """Files already loaded: (file_path, row_count, loaded_at, table_name, _batch_id)."""
         batches = finished_runs(self.spark, self.log_path(table), "_batch_id")
-        return self._log_of(table, batches) if batches else self.spark.createDataFrame([], LOAD_LOG)
+        return self._log_of(table, batches) if batches else no_rows(self.spark, LOAD_LOG)
 
     def _last_batch(self, table: str) -> int:
         return last_finished(self.spark, self.log_path(table), "_batch_id")
@@ -58,18 +58,13 @@ class Bronze:
         """The load time all rows of a batch carry; it grows with the batch number."""
         return self._log_of(table, [batch]).first().loaded_at
 
-    def since(self, table: str, mark: dt.datetime) -> DataFrame | None:
-        """Rows loaded after the mark, None when there are none.
+    def since(self, table: str, batch: int, mark: dt.datetime) -> tuple[int, DataFrame | None]:
+        """Rows loaded after the mark, which was set at a batch: (last batch, rows or None).
 
-        Batches are looked at from the newest back, so only the folders of new ones are opened. A batch
-        that was cut off before it was logged is not seen.
+        Only the folders of later batches are opened. One that was cut off before it was logged is not seen.
         """
-        new: list[int] = []
-        for batch in reversed(finished_runs(self.spark, self.log_path(table), "_batch_id")):
-            if self.loaded_at(table, batch) <= mark:
-                break
-            new.append(batch)
-        return rows_since(self._rows(table, sorted(new)), mark) if new else None
+        new = finished_runs(self.spark, self.log_path(table), "_batch_id", after=batch)
+        return (new[-1], rows_since(self._rows(table, new), mark)) if new else (batch, None)
 
     def _rows(self, table: str, batches: Sequence[int]) -> DataFrame:
         reader = self.spark.read.schema(TABLES[table].bronze_schema()).option("basePath", self.table_path(table))
@@ -79,7 +74,7 @@ class Bronze:
         """All rows of the logged batches."""
         batches = finished_runs(self.spark, self.log_path(table), "_batch_id")
         if not batches:
-            return self.spark.createDataFrame([], TABLES[table].bronze_schema())
+            return no_rows(self.spark, TABLES[table].bronze_schema())
         return self._rows(table, batches)
 
     def new_files(self, listing: DataFrame, table: str) -> DataFrame:

@@ -13,13 +13,14 @@ from tillmark.operators.incremental import EPOCH, next_mark
 from tillmark.operators.integrity import MISSING_KEY, reject_rows, split_missing_key
 from tillmark.operators.versions import latest_by_key
 from tillmark.plans.bronze import Bronze
-from tillmark.session import side_by_side
+from tillmark.session import no_rows, side_by_side
 from tillmark.sources.folders import any_match, last_finished
 from tillmark.sources.keyed_table import KeyedTable
 from tillmark.specs import TABLES, VERSION, TableSpec
 
 MARKS = (
-    "last_loaded_at timestamp_ntz, rows_upserted bigint, rows_rejected bigint, table_name string, run bigint"
+    "last_loaded_at timestamp_ntz, last_batch bigint, rows_upserted bigint, rows_rejected bigint, "
+    "table_name string, run bigint"
 )
 REJECTS = "table_name string, reason string, row_json string, source_file string, rejected_at timestamp_ntz"
 TRANSFORM_STATS = "table string, rows_upserted bigint, rows_rejected bigint"
@@ -51,17 +52,17 @@ class Silver:
     def _marks_path(self, name: str) -> str:
         return f"{self.root}/control/silver/table_name={name}"
 
-    def _last_mark(self, name: str) -> tuple[int, dt.datetime]:
-        """(number of the last finished run, its high-water mark)."""
+    def _last_mark(self, name: str) -> tuple[int, int, dt.datetime]:
+        """(number of the last finished run, last bronze batch it read, its high-water mark)."""
         run = last_finished(self.spark, self._marks_path(name), "run")
         if run < 0:
-            return -1, EPOCH
+            return -1, -1, EPOCH
         mark = self.spark.read.schema(MARKS).parquet(f"{self._marks_path(name)}/run={run}").first()
-        return run, mark.last_loaded_at
+        return run, mark.last_batch, mark.last_loaded_at
 
     def rejects(self) -> DataFrame:
         if not any_match(self.spark, f"{self.root}/silver_rejects/table_name=*/run=*/_SUCCESS"):
-            return self.spark.createDataFrame([], REJECTS)
+            return no_rows(self.spark, REJECTS)
         rows = self.spark.read.schema(REJECTS).parquet(f"{self.root}/silver_rejects")
         return rows.select("table_name", "reason", "row_json", "source_file", "rejected_at")
 
@@ -72,9 +73,9 @@ class Silver:
         was cut off is repeated under the same number and leaves nothing twice.
         """
         spec = TABLES[name]
-        last_run, mark = self._last_mark(name)
+        last_run, batch, mark = self._last_mark(name)
         run = last_run + 1
-        fresh = Bronze(self.spark, self.root).since(name, mark)
+        batch, fresh = Bronze(self.spark, self.root).since(name, batch, mark)
         if fresh is None or fresh.isEmpty():
             return name, 0, 0
 
@@ -93,6 +94,7 @@ class Silver:
         counted = (name, upserted.get["rows"], rejected.get["rows"])
         fresh.agg(next_mark(previous=mark).alias("last_loaded_at")).select(
             "last_loaded_at",
+            F.lit(batch).cast("bigint").alias("last_batch"),
             F.lit(counted[1]).cast("bigint").alias("rows_upserted"),
             F.lit(counted[2]).cast("bigint").alias("rows_rejected"),
         ).coalesce(1).write.mode("overwrite").parquet(f"{self._marks_path(name)}/run={run}")

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 Item = TypeVar("Item")
 Result = TypeVar("Result")
@@ -63,6 +63,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[context.applicationId]
 
 
+def no_rows(spark: SparkSession, schema) -> DataFrame:
+    """An empty frame the optimizer knows to be empty: whatever is joined to it is planned away."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.filenames import batch_ts
+from tillmark.operators.quality import findings_per_rule
 from tillmark.plans import medallion
+from tillmark.plans.audit import warehouse_audit
 from tillmark.plans.bronze import Bronze, ingest_all, totals
 from tillmark.plans.gold import Gold
 from tillmark.plans.silver import Silver, transform_all
@@ -290,6 +292,22 @@ def silver_rerun_updates(spark: SparkSession, sf: str) -> DataFrame:
     return silver.read("orders").select("order_id", "order_date", "status")
 
 
+@query(
+    """WITH i AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-07-01')
+SELECT 'products' AS table_name, 'missing_value' AS rule, count(*) AS findings FROM part WHERE p_size = 1
+UNION ALL SELECT 'order_items', 'number_format', count(*) FROM i
+UNION ALL SELECT 'order_items', 'price_drift', count(*) FROM i JOIN part ON l_partkey = p_partkey
+  WHERE CAST(l_extendedprice AS DECIMAL(18,4)) <> CAST(p_retailprice AS DECIMAL(18,4))"""
+)
+def raw_to_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Every detector of the retail audit over freshly loaded tables, counted per rule."""
+    raw_dir, root = raw_and_root(spark)
+    drop_core(spark, sf, raw_dir)
+    ingest_all(spark, root, raw_dir)
+    transform_all(spark, root)
+    return findings_per_rule(warehouse_audit(spark, root))
+
+
 @query(with_ctes(*FACT, "stores") + V_STORE)
 def raw_to_views(spark: SparkSession, sf: str) -> DataFrame:
     """The whole run over two rounds of drops, from CSV to revenue by store."""
