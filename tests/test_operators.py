@@ -62,7 +62,8 @@ def test_latest_by_key_limits_groups_before_the_exchange(frame):
 
 @pytest.mark.parametrize("following", [False, True])
 def test_with_previous_crosses_slots(frame, rows, following):
-    got = with_previous(frame, ["k"], ["at", "id"], ["state", "id"], "n", F.date_trunc("hour", "at"), following)
+    slotted = frame.withColumn("hour", F.date_trunc("hour", "at"))
+    got = with_previous(slotted, ["k"], ["at", "id"], ["state", "id"], "n", "hour", following)
     want = []
     for group in by_key(rows).values():
         shifted = [*group[1:], None] if following else [None, *group[:-1]]

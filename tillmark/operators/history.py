@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.operators.timeline import with_previous
@@ -36,8 +36,9 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: Sequence[str]) -> Da
     )
 
 
-def _hour(column: str) -> Column:
-    return F.date_trunc("hour", F.col(column))
+def _slotted(versions: DataFrame, columns: Sequence[str], time: str) -> DataFrame:
+    """The columns a history needs, and the hour that cuts a key's rows into slots."""
+    return versions.select(*dict.fromkeys(columns), F.date_trunc("hour", F.col(time)).alias("_slot"))
 
 
 def change_history(
@@ -47,14 +48,13 @@ def change_history(
 
     ``order[0]`` is the version time; re-emissions that change nothing are merged into the state before.
     """
-    slot = _hour(order[0])
-    slim = versions.select(*dict.fromkeys([*key, *order, *tracked]))
-    compared = with_previous(slim, key, order, tracked, "_before", slot)
+    slim = _slotted(versions, [*key, *order, *tracked], order[0])
+    compared = with_previous(slim, key, order, tracked, "_before", "_slot")
     changed = F.col("_before").isNull()
     for name in tracked:
         changed = changed | ~F.col(f"_before.{name}").eqNullSafe(F.col(name))
     states = compared.where(changed).drop("_before")
-    return with_previous(states, key, order, [order[0]], "_after", slot, following=True).select(
+    return with_previous(states, key, order, [order[0]], "_after", "_slot", following=True).select(
         *key,
         *tracked,
         F.col(order[0]).alias("valid_from"),
@@ -74,8 +74,8 @@ def status_transitions(
 
     The first status of a key has no predecessor and is not a transition.
     """
-    slim = versions.select(*dict.fromkeys([*key, *order, status]))
-    previous = with_previous(slim, key, order, [status], "_before", _hour(order[0]))
+    slim = _slotted(versions, [*key, *order, status], order[0])
+    previous = with_previous(slim, key, order, [status], "_before", "_slot")
     moved = previous.where(F.col("_before").isNotNull() & ~F.col(f"_before.{status}").eqNullSafe(F.col(status)))
     pair = F.struct(F.col(f"_before.{status}"), F.col(status))
     legal = F.lit(False)
