@@ -3,9 +3,12 @@
 from importlib import import_module
 
 MODULES = (
-    "token_count_query",
+    "toxicity_query",
+    "language_query",
+    "secrets_query",
     "token_files_query",
     "packing_query",
+    "token_count_query",
 )
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +23,28 @@ ARROW = {
 }
 
 
+# Applications whose executors were given this package.
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark hand the package to executors that don't have it installed. Its file server reads the archive."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = f"{tempfile.mkdtemp(prefix='tillmark-package-')}/tillmark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings that the operators of this subpackage rely on."""
     configure(spark)
+    ship(spark)
     for key, value in ARROW.items():
         spark.conf.set(key, value)
     return spark
