@@ -4,9 +4,11 @@ from importlib import import_module
 
 MODULES = (
     "toxicity_query",
+    "warc_query",
     "language_query",
     "secrets_query",
     "token_files_query",
+    "decontaminate_query",
     "packing_query",
     "token_count_query",
 )
