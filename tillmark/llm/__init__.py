@@ -6,6 +6,7 @@ MODULES = (
     "toxicity_query",
     "warc_query",
     "language_query",
+    "fingerprint_query",
     "secrets_query",
     "token_files_query",
     "decontaminate_query",
