@@ -8,10 +8,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark.llm import secrets_query  # noqa: F401 - registers the query
+from tillmark.llm import secret_scan_query  # noqa: F401 - registers the query
 from tillmark.llm.registry import QUERIES
-from tillmark.llm.secrets import decode_base64, der_items, find_secrets, is_der_key, is_ssh_key, redact
-from tillmark.llm.secrets import redact_documents, scan_documents
+from tillmark.llm.secret_scan import decode_base64, der_items, find_secrets, is_der_key, is_ssh_key, redact
+from tillmark.llm.secret_scan import redact_documents, scan_documents
 
 
 def tlv(tag, content):

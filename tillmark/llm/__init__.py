@@ -7,7 +7,7 @@ MODULES = (
     "warc_query",
     "language_query",
     "fingerprint_query",
-    "secrets_query",
+    "secret_scan_query",
     "token_files_query",
     "decontaminate_query",
     "packing_query",

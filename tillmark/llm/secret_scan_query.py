@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm.registry import query, table
-from tillmark.llm.secrets import BASE_KINDS, scan_documents
+from tillmark.llm.secret_scan import BASE_KINDS, scan_documents
 
 
 def _joined(spans: Column) -> Column:
