@@ -12,6 +12,7 @@ MODULES = (
     "decontaminate_query",
     "packing_query",
     "token_count_query",
+    "jaccard_query",
 )
 
 
