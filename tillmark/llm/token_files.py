@@ -92,7 +92,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     sums = segments.groupBy("part").agg(F.sum("n_ids").alias("_ids"), F.min("first_doc").alias("_first"))
     before = Window.orderBy("_first", "part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("part", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_before"))
-    return segments.join(starts, "part").withColumn("start", F.col("_before") + F.col("part_start")).drop("_before")
+    return segments.join(F.broadcast(starts), "part").withColumn("start", F.col("_before") + F.col("part_start")).drop("_before")
 
 
 def map_documents(segments: DataFrame, of_ids: Callable[[np.ndarray], object], kind: pa.DataType, sql: str) -> DataFrame:
