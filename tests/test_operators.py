@@ -122,7 +122,7 @@ def test_upsert_guard(spark):
 def test_keyed_table_equals_upserts_in_order(spark, root):
     rnd = random.Random(11)
     schema = keyed(spark, []).schema
-    table = KeyedTable(spark, root, ("k",), schema, compact_every=3, compact_share=0.0)
+    table = KeyedTable(spark, root, ("k",), schema)
     assert table.read().count() == 0 and table.last_run() == -1
     state = {}
     for run in range(8):
@@ -130,6 +130,8 @@ def test_keyed_table_equals_upserts_in_order(spark, root):
         table.merge(keyed(spark, [(k, *v) for k, v in batch.items()]), run)
         if run == 4:  # a repeated run changes nothing
             table.merge(keyed(spark, [(k, *v) for k, v in batch.items()]), run)
+        if run in (2, 5):
+            table.compact()
         for k, (v, at) in batch.items():
             if k not in state or at >= state[k][1]:
                 state[k] = (v, at)
@@ -138,13 +140,18 @@ def test_keyed_table_equals_upserts_in_order(spark, root):
     assert {r.k for r in table.changes(after=6).collect()} <= set(batch)
 
 
-def test_snapshots_wait_for_enough_changes(spark, root):
-    table = KeyedTable(spark, root, ("k",), keyed(spark, []).schema, compact_every=1, compact_share=0.5, compact_at_most=4)
-    table.merge(keyed(spark, [(f"k{i}", i, 0) for i in range(5000)]), 0)
-    for run in range(1, 6):
-        table.merge(keyed(spark, [("k1", run, run)]), run)
-    assert table._runs("snapshot") == [0, 4]
-    assert table.read().count() == 5000 and table.read().where("k = 'k1'").first().v == 5
+def test_compaction_is_a_step_of_its_own(spark, root):
+    table = KeyedTable(spark, root, ("k",), keyed(spark, []).schema)
+    table.compact()
+    for run in range(3):
+        table.merge(keyed(spark, [("k1", run, run), (f"k{run + 2}", run, run)]), run)
+    before = collected(table.read())
+    assert table._runs("snapshot") == []
+    table.compact(before=2)
+    table.compact()
+    table.compact()
+    assert table._runs("snapshot") == [1, 2] and collected(table.read()) == before
+    assert {r.k for r in table.read(before=2).collect()} == {"k1", "k2", "k3"}
 
 
 def test_missing_keys_and_rejects(spark):

@@ -17,8 +17,17 @@ WHITESPACE = (
 # White space around a value is part of its pattern, so reading takes one pass over the text.
 _PAD = f"[{WHITESPACE}]*"
 _NUMBER = rf"^{_PAD}([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){_PAD}$"
-_DAY_FIRST = rf"^{_PAD}(\d{{2}})/(\d{{2}})/(\d{{4}})"
-_ISO_MOMENT = rf"^{_PAD}(\d{{4}}-\d{{2}}-\d{{2}}(?:[ T]\d{{2}}:\d{{2}}:\d{{2}}(?:\.\d{{1,6}})?)?){_PAD}$"
+# A day: year first with -, / or . between or nothing at all, or day first with any of them.
+_YEAR_FIRST = rf"^{_PAD}(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}})(?!\d)"
+_COMPACT = rf"^{_PAD}(\d{{4}})(\d{{2}})(\d{{2}})(?=$|[ T{WHITESPACE}])"
+_DAY_FIRST = rf"^{_PAD}(\d{{1,2}})[-/.](\d{{1,2}})[-/.](\d{{4}})(?!\d)"
+# After the day: hour and minute, seconds with a fraction if given, and a zone that is read as written there.
+_MOMENT = (
+    rf"^{_PAD}(\d{{4}}-\d{{1,2}}-\d{{1,2}}(?!\d)(?:[ T]\d{{1,2}}:\d{{2}}(?!\d)(?::\d{{2}}(?!\d)(?:\.\d{{1,6}})?)?)?)"
+    rf"\d*{_PAD}(?:Z|[+-]00:?00)?{_PAD}$"
+)
+# Spellings that need no rearranging, over stripped text.
+ISO_SPELLING = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]00:?00)?)?$"
 
 
 def stripped(col: Column) -> Column:
@@ -61,12 +70,16 @@ def to_count(col: Column) -> Column:
 
 
 def parse_moment(col: Column) -> Column:
-    """ISO or day-first date, with or without time, to a timestamp without zone; else NULL.
+    """A date, year first or day first, with or without time, to a timestamp without zone; else NULL.
 
-    The day-first form is rearranged to ISO, so one cast serves both and no parser exception is raised.
+    Read are 2026-07-08, 2026/7/8, 20260708, 08/07/2026, 8-7-2026, each alone or with 13:25 or 13:25:10.5 behind a
+    blank or T, and a final Z or zero offset. All are rearranged to one form, so one cast serves them and no parser
+    exception is raised. Other offsets are not read: the result has no zone to keep them in.
     """
     iso = F.regexp_replace(col, _DAY_FIRST, "$3-$2-$1")
-    return F.regexp_extract(iso, _ISO_MOMENT, 1).try_cast("timestamp_ntz")
+    iso = F.regexp_replace(iso, _COMPACT, "$1-$2-$3")
+    iso = F.regexp_replace(iso, _YEAR_FIRST, "$1-$2-$3")
+    return F.regexp_extract(iso, _MOMENT, 1).try_cast("timestamp_ntz")
 
 
 def parsed(spec: TableSpec, name: str) -> Column:

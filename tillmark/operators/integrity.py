@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.functions.cleaning import stripped
+from tillmark.session import fresh_dir
+
 MISSING_KEY = "missing_primary_key"
 
 
@@ -17,7 +20,7 @@ def has_key(key: Sequence[str], cleaned: bool = False) -> Column:
     In ``cleaned`` columns blank is already NULL.
     """
     present = [
-        F.col(k).isNotNull() if cleaned else F.coalesce(F.trim(F.col(k).cast("string")) != "", F.lit(False))
+        F.col(k).isNotNull() if cleaned else F.coalesce(stripped(F.col(k).cast("string")) != "", F.lit(False))
         for k in key
     ]
     return reduce(Column.__and__, present)
@@ -41,41 +44,50 @@ def reject_rows(df: DataFrame, table: str, reason: str, rejected_at: Column) ->
     )
 
 
-def missing_references(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Foreign key values without a parent row, and how many child rows carry each. NULL passes.
+def reference_violations(child: DataFrame, references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """All broken references of a table: (fk, key_value as text, row_count). NULL passes.
 
-    Child keys are counted before the join, so a hot key reaches it as one row.
+    The child is read once. Its keys are counted before the join, so a hot key reaches it as one row.
     """
-    used = child.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("key_value")).agg(
-        F.count(F.lit(1)).alias("row_count")
+    pairs = F.array(
+        *[F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("key_value")) for fk in references]
+    )
+    used = (
+        child.select(F.explode(pairs).alias("_pair"))
+        .select("_pair.fk", "_pair.key_value")
+        .where("key_value IS NOT NULL")
+        .groupBy("fk", "key_value")
+        .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    known = parent.select(F.col(pk).alias("key_value"))
-    return used.join(known, "key_value", "left_anti")
+    known = [
+        parent.select(F.lit(fk).alias("fk"), F.col(pk).cast("string").alias("key_value"))
+        for fk, (parent, pk) in references.items()
+    ]
+    return used.join(reduce(DataFrame.unionByName, known), ["fk", "key_value"], "left_anti")
 
 
-def reference_violations(child: DataFrame, references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """All broken references of a table: (fk, key_value as text, row_count)."""
-    found = [
-        missing_references(child, fk, parent, pk).select(
-            F.lit(fk).alias("fk"), F.col("key_value").cast("string").alias("key_value"), "row_count"
+def flag_broken(child: DataFrame, references: Mapping[str, tuple[DataFrame, str]], out: str = "_broken") -> DataFrame:
+    """The child with ``out``: whether any of its references has no parent row.
+
+    Broken keys are found first and written out; being few as a rule, Spark then broadcasts them by their size.
+    """
+    spark = child.sparkSession
+    path = fresh_dir(spark, "broken-keys")
+    reference_violations(child, references).write.parquet(path)
+    broken = spark.read.schema("fk string, key_value string").parquet(path)
+    flagged, flags = child, []
+    for fk in references:
+        keys = broken.where(F.col("fk") == fk).select(
+            F.col("key_value").alias(f"_key_{fk}"), F.lit(True).alias(f"_broken_{fk}")
         )
-        for fk, (parent, pk) in references.items()
-    ]
-    return reduce(DataFrame.unionByName, found)
+        flagged = flagged.join(keys, F.col(fk).cast("string") == F.col(f"_key_{fk}"), "left")
+        flags.append(F.col(f"_broken_{fk}").isNotNull())
+    return flagged.select(*child.columns, reduce(Column.__or__, flags).alias(out))
 
 
 def split_by_references(
     child: DataFrame, references: Mapping[str, tuple[DataFrame, str]]
 ) -> tuple[DataFrame, DataFrame]:
     """(rows whose references all resolve or are NULL, the other rows)."""
-    flagged = child
-    for fk, (parent, pk) in references.items():
-        broken = missing_references(child, fk, parent, pk).select(
-            F.col("key_value").alias(fk), F.lit(True).alias(f"_broken_{fk}")
-        )
-        flagged = flagged.join(broken, fk, "left")
-    any_broken = reduce(Column.__or__, [F.col(f"_broken_{fk}").isNotNull() for fk in references])
-    return (
-        flagged.where(~any_broken).select(child.columns),
-        flagged.where(any_broken).select(child.columns),
-    )
+    flagged = flag_broken(child, references)
+    return flagged.where("NOT _broken").drop("_broken"), flagged.where("_broken").drop("_broken")

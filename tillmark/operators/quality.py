@@ -11,11 +11,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.functions.cleaning import parse_number, stripped
+from tillmark.functions.cleaning import ISO_SPELLING, parse_moment, parse_number, stripped
 from tillmark.operators.timeline import as_of
 
 FINDING = ["table_name", "rule", "record_key", "detail"]
-_DAY_FIRST = r"^\s*\d{2}/\d{2}/\d{4}"
 
 
 def record_key(key: Sequence[str]) -> Column:
@@ -118,8 +117,11 @@ def out_of_bounds(column: str, low, high) -> RowRule:
 
 
 def date_format_mix(column: str) -> RowRule:
-    """A raw date written day first."""
-    return RowRule("date_format", F.col(column).rlike(_DAY_FIRST), F.col(column))
+    """A raw date that isn't written as ISO 8601 (found with the text), or not readable at all (`unreadable`)."""
+    text = stripped(F.col(column))
+    unreadable = (text != "") & parse_moment(F.col(column)).isNull()
+    other = (text != "") & ~text.rlike(ISO_SPELLING)
+    return RowRule("date_format", other, F.when(unreadable, "unreadable").otherwise(F.col(column)))
 
 
 def unknown_value(column: str, domain: Sequence[str]) -> RowRule:
@@ -171,6 +173,25 @@ def overlapping_periods(df: DataFrame, table: str, key: Sequence[str], start: st
     return _findings(clashing, table, "overlapping_period", F.col("_key"), F.col("_start"))
 
 
+def _with_total(
+    rows: DataFrame,
+    order_key: str,
+    items: DataFrame,
+    item_order_key: str,
+    item_amount: Column,
+    orders: DataFrame | None,
+) -> DataFrame:
+    """Rows with ``_total``, the sum over their order's items; items are summed before the join.
+
+    With ``orders`` given, rows that refer to none of them are left out: those are orphans, another rule's finding.
+    """
+    totals = items.groupBy(F.col(item_order_key).alias(order_key)).agg(F.sum(item_amount).alias("_total"))
+    known = rows.where(F.col(order_key).isNotNull())
+    if orders is not None:
+        known = known.join(orders.select(order_key), order_key, "left_semi")
+    return known.join(totals, order_key, "left").withColumn("_total", F.coalesce("_total", F.lit(0)))
+
+
 def amount_mismatch(
     payments: DataFrame,
     table: str,
@@ -180,10 +201,10 @@ def amount_mismatch(
     items: DataFrame,
     item_order_key: str,
     item_amount: Column,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """Amounts that differ from the sum over the order's items; items are summed before the join."""
-    totals = items.groupBy(F.col(item_order_key).alias(order_key)).agg(F.sum(item_amount).alias("_total"))
-    joined = payments.join(totals, order_key)
+    """Amounts that differ from the sum over the order's items, which is zero for an order without usable items."""
+    joined = _with_total(payments, order_key, items, item_order_key, item_amount, orders)
     return matching(joined, table, key, RowRule("amount_mismatch", F.col(amount) != F.col("_total"), F.col("_total")))
 
 
@@ -214,11 +235,11 @@ def points_mismatch(
     item_order_key: str,
     item_amount: Column,
     unit: int,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """Earned points that are not one per full ``unit`` of the order's total."""
-    totals = items.groupBy(F.col(item_order_key).alias(order_key)).agg(F.sum(item_amount).alias("_total"))
+    """Earned points that are not one per full ``unit`` of the order's total, zero for an order without usable items."""
     due = F.floor(F.col("_total") / unit)
-    joined = points.join(totals, order_key).withColumn("_due", due)
+    joined = _with_total(points, order_key, items, item_order_key, item_amount, orders).withColumn("_due", due)
     return matching(joined, table, key, RowRule("points_mismatch", F.col(earned) != F.col("_due"), F.col("_due")))
 
 

@@ -21,7 +21,7 @@ LOAD_LOG = (
     "file_path string, row_count bigint, loaded_at timestamp_ntz, table_name string, _batch_id bigint"
 )
 INGEST_STATS = "table string, files_loaded bigint, rows_loaded bigint"
-# Files per batch: bounds the path list a single read holds, not what is loaded.
+# Files per batch: bounds the path list a single read holds. No result depends on it.
 FILES_PER_BATCH = 10_000
 
 
@@ -55,8 +55,14 @@ class Bronze:
         return last_finished(self.spark, self.log_path(table), "_batch_id")
 
     def loaded_at(self, table: str, batch: int) -> dt.datetime:
-        """The load time all rows of a batch carry; it grows with the batch number."""
-        return self._log_of(table, [batch]).first().loaded_at
+        """The load time of a batch's last file; it grows with the batch number."""
+        return self._log_of(table, [batch]).agg(F.max("loaded_at")).first()[0]
+
+    def next_stamp(self, table: str) -> dt.datetime:
+        """A load time after that of every file logged so far, whatever the clock does."""
+        now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        last = self._last_batch(table)
+        return now if last < 0 else max(now, self.loaded_at(table, last) + dt.timedelta(microseconds=1))
 
     def since(self, table: str, batch: int, mark: dt.datetime) -> tuple[int, DataFrame | None]:
         """Rows loaded after the mark, which was set at a batch: (last batch, rows or None).
@@ -81,19 +87,22 @@ class Bronze:
         """Listed files that are not in the load log."""
         return listing.join(self.load_log(table).select("file_path"), "file_path", "left_anti")
 
-    def append(self, files: list[tuple[str, str]], spec: TableSpec) -> int:
+    def append(self, files: list[tuple[str, str]], spec: TableSpec, first: dt.datetime | None = None) -> int:
         """Load files as one batch and return its number. The log entry is written last and makes it visible.
 
-        The number follows the last logged one, so a repeated attempt replaces what a failed one left.
+        Every file has a load time of its own: ``first`` and a microsecond more for each file before it. The number
+        follows the last logged one, so a repeated attempt replaces what a failed one left.
         """
         last = self._last_batch(spec.name)
-        # One load time per batch, and never before an earlier batch, whatever the clock does.
-        now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
-        if last >= 0:
-            now = max(now, self.loaded_at(spec.name, last) + dt.timedelta(microseconds=1))
-        stamp = F.lit(now).cast("timestamp_ntz")
+        first = self.next_stamp(spec.name) if first is None else first
         target = f"{self.table_path(spec.name)}/_batch_id={last + 1}"
-        rows = read_drops(self.spark, files, spec).withColumn("_loaded_at", stamp)
+        stamps = self.spark.createDataFrame(
+            [(name, first + dt.timedelta(microseconds=i)) for i, (_, name) in enumerate(files)],
+            "file_path string, loaded_at timestamp_ntz",
+        )
+        # One row per file of the batch, whose number is bounded.
+        of_file = F.broadcast(stamps.toDF("_source_file", "_loaded_at"))
+        rows = read_drops(self.spark, files, spec).join(of_file, "_source_file")
         rows.write.mode("overwrite").parquet(target)
 
         counts = (
@@ -101,21 +110,24 @@ class Bronze:
             .groupBy(F.col("_source_file").alias("file_path"))
             .agg(F.count(F.lit(1)).alias("row_count"))
         )
-        names = self.spark.createDataFrame([(name,) for _, name in files], "file_path string")
         # A file without rows is logged too, else it would be read again every time.
-        log = names.join(counts, "file_path", "left").select(
-            "file_path", F.coalesce("row_count", F.lit(0)).alias("row_count"), stamp.alias("loaded_at")
+        log = stamps.join(counts, "file_path", "left").select(
+            "file_path", F.coalesce("row_count", F.lit(0)).alias("row_count"), "loaded_at"
         )
         log.coalesce(1).write.mode("overwrite").parquet(f"{self.log_path(spec.name)}/_batch_id={last + 1}")
         return last + 1
 
     def load_listing(self, listing: DataFrame, table: str, files_per_batch: int = FILES_PER_BATCH) -> list[int]:
-        """Load the listed files that are new, in name order. Returns the numbers of the new batches."""
+        """Load the listed files that are new, in name order. Returns the numbers of the new batches.
+
+        Load times follow the order of the names, wherever one batch ends and the next begins.
+        """
         new = self.new_files(listing, table).orderBy("file_path").toLocalIterator()
         files = ((row.path, row.file_path) for row in new)
-        batches = []
+        batches, stamp = [], self.next_stamp(table)
         while batch := list(islice(files, files_per_batch)):
-            batches.append(self.append(batch, TABLES[table]))
+            batches.append(self.append(batch, TABLES[table], stamp))
+            stamp += dt.timedelta(microseconds=len(batch))
         return batches
 
     def ingest(self, raw_dir: str, table: str) -> Ingested:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tillmark.functions.calendar import calendar_columns, date_key
 from tillmark.operators.integrity import reference_violations, split_by_references
 from tillmark.plans.silver import Silver
+from tillmark.session import no_rows
 from tillmark.sources.folders import last_finished
 from tillmark.sources.keyed_table import KeyedTable
 from tillmark.specs import CORE
@@ -58,7 +59,7 @@ def dim_date(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR
 
 
 def _project(df: DataFrame, layout: str) -> DataFrame:
-    return df.select(T._parse_datatype_string(layout).names)
+    return df.select(T.StructType.fromDDL(layout).names)
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ class Gold:
 
     def table(self, name: str) -> KeyedTable:
         key, layout = TABLE_KEYS[name]
-        schema = T._parse_datatype_string(layout)
+        schema = T.StructType.fromDDL(layout)
         return KeyedTable(self.spark, f"{self.root}/gold/{name}", (key,), schema)
 
     def read(self, name: str) -> DataFrame:
@@ -138,7 +139,7 @@ class Gold:
 
     def _silver_runs(self) -> dict[str, int]:
         silver = Silver(self.spark, self.root)
-        return {name: silver.table(name).last_run() for name in CORE}
+        return {name: silver.last_run(name) for name in CORE}
 
     def _merge(self, name: str, rows: DataFrame) -> None:
         table = self.table(name)
@@ -151,7 +152,7 @@ class Gold:
         moved = {name: now[name] > done[name] for name in CORE}
 
         def changed(name: str) -> DataFrame:
-            return silver.table(name).changes(after=done[name])
+            return silver.changes(name, after=done[name])
 
         if moved["customers"]:
             self._merge("dim_customer", dim_customer(changed("customers")))
@@ -177,9 +178,9 @@ class Gold:
         items, orders = silver.read("order_items"), silver.read("orders")
         if done["orders"] < 0:
             return fact_sales(items, orders)
-        touched = silver.table("orders").changes(after=done["orders"]).select("order_id")
+        touched = silver.changes("orders", after=done["orders"]).select("order_id")
         touched = touched.unionByName(
-            silver.table("order_items").changes(after=done["order_items"]).select("order_id")
+            silver.changes("order_items", after=done["order_items"]).select("order_id")
         )
         held_back = self._held_back()
         if held_back is not None:
@@ -189,13 +190,18 @@ class Gold:
             items.join(touched, "order_id", "left_semi"), orders.join(touched, "order_id", "left_semi")
         )
 
+    def held_back(self) -> DataFrame:
+        """Sales that broken references keep out of the fact table for now."""
+        pending = self._held_back()
+        return no_rows(self.spark, FACT_SALES) if pending is None else pending
+
     def _held_back(self) -> DataFrame | None:
         path = f"{self.root}/gold/fact_sales_quarantine"
         run = last_finished(self.spark, path, "run")
         if run < 0:
             return None
         return self.spark.read.schema(FACT_SALES).parquet(f"{path}/run={run}").select(
-            T._parse_datatype_string(FACT_SALES).names
+            T.StructType.fromDDL(FACT_SALES).names
         )
 
     def build_fact(self, on_violation: str = "fail") -> None:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmark.plans.bronze import ingest_all
-from tillmark.plans.gold import CALENDAR, Gold
-from tillmark.plans.silver import transform_all
+from tillmark.plans.gold import CALENDAR, TABLE_KEYS, Gold
+from tillmark.plans.silver import Silver, transform_all
 from tillmark.plans.views import all_views, create_views
-from tillmark.session import configure
+from tillmark.session import configure, side_by_side
+from tillmark.specs import TABLES
 
 STAR = ("dim_date", "dim_customer", "dim_store", "dim_product", "fact_sales")
 
@@ -17,6 +18,20 @@ def star_schema(gold: Gold) -> dict[str, DataFrame]:
     return {name: gold.read(name) for name in STAR}
 
 
+def compact(spark: SparkSession, root: str) -> None:
+    """Write the current state of every stored table as the start of later reads. Nothing does this on its own."""
+    silver, gold = Silver(spark, root), Gold(spark, root)
+    side_by_side(silver.compact, TABLES)
+    side_by_side(lambda name: gold.table(name).compact(), TABLE_KEYS)
+
+
+def stored_views(spark: SparkSession, root: str, calendar: tuple[str, str] = CALENDAR) -> dict[str, DataFrame]:
+    """The views over the stored star schema, for readers in any later session."""
+    star = star_schema(Gold(configure(spark), root, calendar))
+    create_views(star)
+    return all_views(star)
+
+
 def run(
     spark: SparkSession,
     raw_dir: str,
@@ -27,7 +42,8 @@ def run(
     """Bring the warehouse below ``root`` up to date with the drops in ``raw_dir``.
 
     Returns ingest statistics, transform statistics and the views. Running again without new files
-    changes nothing.
+    changes nothing. With ``quarantine``, sales of a day outside the calendar are held back until a
+    run with a calendar that has it; Gold.held_back() lists what is held back.
     """
     configure(spark)
     ingested = ingest_all(spark, root, raw_dir)

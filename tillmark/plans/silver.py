@@ -14,7 +14,7 @@ from tillmark.operators.integrity import MISSING_KEY, reject_rows, split_missing
 from tillmark.operators.versions import latest_by_key
 from tillmark.plans.bronze import Bronze
 from tillmark.session import no_rows, side_by_side
-from tillmark.sources.folders import any_match, last_finished
+from tillmark.sources.folders import last_finished
 from tillmark.sources.keyed_table import KeyedTable
 from tillmark.specs import TABLES, VERSION, TableSpec
 
@@ -46,25 +46,42 @@ class Silver:
         spec = TABLES[name]
         return KeyedTable(self.spark, f"{self.root}/silver/{name}", spec.key, spec.silver_schema())
 
+    def last_run(self, name: str) -> int:
+        """The last run whose mark was written; what later runs left is not there yet."""
+        return last_finished(self.spark, self._marks_path(name), "run")
+
     def read(self, name: str) -> DataFrame:
-        return self.table(name).read()
+        return self.table(name).read(before=self.last_run(name) + 1)
+
+    def changes(self, name: str, after: int) -> DataFrame:
+        """Rows changed by the finished runs after ``after``, newest per key."""
+        return self.table(name).changes(after, before=self.last_run(name) + 1)
 
     def _marks_path(self, name: str) -> str:
         return f"{self.root}/control/silver/table_name={name}"
 
     def _last_mark(self, name: str) -> tuple[int, int, dt.datetime]:
         """(number of the last finished run, last bronze batch it read, its high-water mark)."""
-        run = last_finished(self.spark, self._marks_path(name), "run")
+        run = self.last_run(name)
         if run < 0:
             return -1, -1, EPOCH
         mark = self.spark.read.schema(MARKS).parquet(f"{self._marks_path(name)}/run={run}").first()
         return run, mark.last_batch, mark.last_loaded_at
 
+    def compact(self, name: str) -> None:
+        """Let reads of a table start from its state after the last finished run."""
+        self.table(name).compact(before=self.last_run(name) + 1)
+
     def rejects(self) -> DataFrame:
-        if not any_match(self.spark, f"{self.root}/silver_rejects/table_name=*/run=*/_SUCCESS"):
+        """Rejected rows of the finished runs."""
+        last = {name: run for name in TABLES if (run := self.last_run(name)) >= 0}
+        if not last:
             return no_rows(self.spark, REJECTS)
-        rows = self.spark.read.schema(REJECTS).parquet(f"{self.root}/silver_rejects")
-        return rows.select("table_name", "reason", "row_json", "source_file", "rejected_at")
+        rows = self.spark.read.schema(f"{REJECTS}, run bigint").parquet(f"{self.root}/silver_rejects")
+        finished = F.lit(False)
+        for name, run in last.items():
+            finished = finished | ((F.col("table_name") == name) & (F.col("run") <= run))
+        return rows.where(finished).select("table_name", "reason", "row_json", "source_file", "rejected_at")
 
     def transform(self, name: str) -> tuple[str, int, int]:
         """Fold the new bronze rows of one table in: (table, rows_upserted, rows_rejected).

@@ -19,14 +19,6 @@ def any_match(spark: SparkSession, pattern: str) -> bool:
     return bool(fs.globStatus(path))
 
 
-def total_bytes(spark: SparkSession, folders: list[str]) -> int:
-    total = 0
-    for folder in folders:
-        path, fs = _path_and_fs(spark, folder)
-        total += fs.getContentSummary(path).getLength()
-    return total
-
-
 def _numbers(spark: SparkSession, root: str, label: str) -> list[int]:
     path, fs = _path_and_fs(spark, root)
     if not fs.exists(path):

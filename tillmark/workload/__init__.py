@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("star", "cleaning", "state", "ingest", "quality")
+MODULES = ("star", "cleaning", "state", "ingest", "quality", "audit")
 
 
 def load_all() -> None:

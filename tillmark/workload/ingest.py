@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.filenames import batch_ts
-from tillmark.operators.quality import findings_per_rule
 from tillmark.plans import medallion
-from tillmark.plans.audit import warehouse_audit
+from tillmark.plans.audit import table_history
 from tillmark.plans.bronze import Bronze, ingest_all, totals
 from tillmark.plans.gold import Gold
-from tillmark.plans.silver import Silver, transform_all
+from tillmark.plans.silver import Silver, clean, current_rows, transform_all
 from tillmark.session import fresh_dir
+from tillmark.sources.csv_drops import list_drops
 from tillmark.specs import CORE, TABLES
 from tillmark.streaming.ingest import ingest_available
 from tillmark.workload import roles
@@ -21,8 +21,8 @@ from tillmark.workload.registry import query
 from tillmark.workload.roles import FACT, read, with_ctes
 from tillmark.workload.star import V_STORE
 
-# The stamps of the first and second drop.
-FIRST, SECOND = "20260708_132510", "20260708_141106"
+# The stamps of the drops.
+FIRST, SECOND, THIRD = "20260708_132510", "20260708_141106", "20260708_150000"
 CUT = "1998-07-01"
 
 
@@ -220,8 +220,7 @@ def schema_alignment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(doc_id AS VARCHAR) AS review_id, md5(replace(text, chr(13), '')) AS text_digest,
-  source AS customer_id FROM documents"""
+    "SELECT CAST(doc_id AS VARCHAR) AS review_id, md5(text) AS text_digest, source AS customer_id FROM documents"
 )
 def multiline_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """Review texts with line breaks and quotes inside a field stay one record."""
@@ -232,15 +231,14 @@ def multiline_reviews(spark: SparkSession, sf: str) -> DataFrame:
     drop(rows, raw_dir, "product_reviews", FIRST)
     bronze = Bronze(spark, root)
     bronze.ingest(raw_dir, "product_reviews")
-    text = F.replace("review_text", F.lit("\r"), F.lit(""))
-    return bronze.read("product_reviews").select("review_id", "customer_id", F.md5(text).alias("text_digest"))
+    return bronze.read("product_reviews").select("review_id", "customer_id", F.md5("review_text").alias("text_digest"))
 
 
 COUNTS = """SELECT 'categories' AS t, count(DISTINCT p_brand) AS n FROM part
 UNION ALL SELECT 'stores', count(*) FROM supplier UNION ALL SELECT 'products', count(*) FROM part
 UNION ALL SELECT 'customers', count(*) FROM customer
-UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01'
-UNION ALL SELECT 'order_items', count(*) FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-07-01'
+UNION ALL SELECT 'orders', count(*) FROM orders
+UNION ALL SELECT 'order_items', count(*) FROM lineitem
 UNION ALL SELECT 'suppliers', CAST(0 AS BIGINT) FROM (SELECT count(*) FROM region)"""
 
 
@@ -252,6 +250,7 @@ def ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Rows loaded per table and in total; a table without drops counts zero."""
     raw_dir, root = raw_and_root(spark)
     drop_core(spark, sf, raw_dir)
+    drop_core_again(spark, sf, raw_dir)
     stats = ingest_all(spark, root, raw_dir, (*CORE, "suppliers"))
     total = totals(stats).select(F.lit("total").alias("table"), "files_loaded", "rows_loaded")
     return stats.unionByName(total).select(
@@ -260,13 +259,17 @@ def ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH c AS ({COUNTS}) SELECT 'first' AS run, t AS table_name, n AS rows_upserted, CAST(0 AS BIGINT) AS rows_rejected
+    f"""WITH c AS ({COUNTS}) SELECT 'first' AS run, t AS table_name, n AS rows_upserted,
+  CASE WHEN t = 'orders' THEN (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT') ELSE 0 END AS rows_rejected
   FROM c UNION ALL SELECT 'second', t, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM c"""
 )
 def transform_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows upserted per table by a run and by its repetition."""
+    """Rows upserted and rejected per table by a run and by its repetition; urgent orders come once without a key."""
     raw_dir, root = raw_and_root(spark)
     drop_core(spark, sf, raw_dir)
+    drop_core_again(spark, sf, raw_dir)
+    keyless = raw_orders(spark, sf).where("payment_method = '1-URGENT'").withColumn("order_id", F.lit("\t\u00a0"))
+    drop(keyless, raw_dir, "orders", THIRD)
     tables = (*CORE, "suppliers")
     ingest_all(spark, root, raw_dir, tables)
     first = transform_all(spark, root, tables).withColumn("run", F.lit("first"))
@@ -293,22 +296,63 @@ def silver_rerun_updates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """WITH i AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-07-01')
-SELECT 'products' AS table_name, 'missing_value' AS rule, count(*) AS findings FROM part WHERE p_size = 1
-UNION ALL SELECT 'order_items', 'number_format', count(*) FROM i
-UNION ALL SELECT 'order_items', 'price_drift', count(*) FROM i JOIN part ON l_partkey = p_partkey
-  WHERE CAST(l_extendedprice AS DECIMAL(18,4)) <> CAST(p_retailprice AS DECIMAL(18,4))"""
+    """SELECT CAST(s_suppkey AS VARCHAR) AS store_id, s_name AS store_name,
+  'NATION_' || CAST(s_nationkey AS VARCHAR) AS city FROM supplier"""
 )
-def raw_to_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Every detector of the retail audit over freshly loaded tables, counted per rule."""
+def silver_cut_off(spark: SparkSession, sf: str) -> DataFrame:
+    """A silver run is cut off before its mark, gold is built, another drop arrives: no row is lost."""
     raw_dir, root = raw_and_root(spark)
-    drop_core(spark, sf, raw_dir)
-    ingest_all(spark, root, raw_dir)
-    transform_all(spark, root)
-    return findings_per_rule(warehouse_audit(spark, root))
+    bronze, silver, gold = Bronze(spark, root), Silver(spark, root), Gold(spark, root)
+    rows = roles.stores(spark, sf).select(*TABLES["stores"].names)
+    rich = rows.join(
+        read(spark, sf, "supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").cast("string").alias("store_id")),
+        "store_id",
+        "left_semi",
+    )
+    drop(rich, raw_dir, "stores", FIRST)
+    bronze.ingest(raw_dir, "stores")
+    # What a run leaves that ended between its changes and its mark.
+    silver.table("stores").merge(current_rows(clean(bronze.read("stores"), TABLES["stores"]), TABLES["stores"]), 0)
+    gold.build_dims()
+    drop(rows.join(rich, "store_id", "left_anti"), raw_dir, "stores", SECOND)
+    bronze.ingest(raw_dir, "stores")
+    silver.transform("stores")
+    gold.build_dims()
+    return gold.read("dim_store").select("store_id", "store_name", "city")
 
 
-@query(with_ctes(*FACT, "stores") + V_STORE)
+BATCHES = (1, 2, 100)
+
+
+@query(
+    f"""SELECT b.unnest AS files_per_batch, CAST(c_custkey AS VARCHAR) AS customer_id, 'S' || s.unnest AS segment,
+  s.unnest = 3 AS is_current, false AS empty FROM customer, unnest([{", ".join(map(str, BATCHES))}]) AS b,
+  unnest([1, 2, 3]) AS s"""
+)
+def history_by_batch_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Three drops of all customers loaded in batches of one, two and many files: the same history each time."""
+    parts = []
+    for size in BATCHES:
+        raw_dir, root = raw_and_root(spark)
+        for number in (1, 2, 3):
+            rows = roles.customers(spark, sf).withColumn("segment", F.lit(f"S{number}"))
+            drop(rows.select(*TABLES["customers"].names), raw_dir, "customers", f"2026070{number}_000000")
+        bronze = Bronze(spark, root)
+        bronze.load_listing(list_drops(spark, raw_dir, "customers"), "customers", size)
+        history = table_history(bronze.read, "customers")
+        parts.append(
+            history.select(
+                F.lit(size).alias("files_per_batch"),
+                "customer_id",
+                "segment",
+                "is_current",
+                F.coalesce(F.col("valid_from") >= F.col("valid_to"), F.lit(False)).alias("empty"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(V_STORE)
 def raw_to_views(spark: SparkSession, sf: str) -> DataFrame:
     """The whole run over two rounds of drops, from CSV to revenue by store."""
     raw_dir, root = raw_and_root(spark)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.calendar import calendar_columns
-from tillmark.operators.integrity import reference_violations, split_by_references
+from tillmark.operators.integrity import reference_violations, flag_broken
 from tillmark.plans import gold, report, views
 from tillmark.session import fresh_dir
 from tillmark.workload import roles
@@ -196,67 +196,64 @@ FROM f"""
 )
 def fk_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Every fact row, marked by whether a broken reference holds it back."""
-    passed, held = split_by_references(_perturbed_fact(spark, sf), _references(spark, sf))
-    columns = ["order_item_id", "product_id", "store_id"]
-    return passed.select(*columns, F.lit(False).alias("held_back")).unionByName(
-        held.select(*columns, F.lit(True).alias("held_back"))
-    )
+    flagged = flag_broken(_perturbed_fact(spark, sf), _references(spark, sf), "held_back")
+    return flagged.select("order_item_id", "product_id", "store_id", "held_back")
 
 
 # --- views ----------------------------------------------------------------------------------------
 
-V_STORE = """SELECT s.store_id, s.store_name, s.city, count(DISTINCT f.order_id) AS order_count,
-       CAST(sum(f.line_amount) AS DOUBLE) AS revenue
-FROM fact_sales f JOIN stores s ON f.store_id = s.store_id
-WHERE f.order_status <> 'cancelled' GROUP BY 1, 2, 3"""
-V_PRODUCT = """SELECT p.product_id, p.product_name, p.category_name, CAST(sum(f.quantity) AS BIGINT) AS units_sold,
-       CAST(sum(f.line_amount) AS DOUBLE) AS revenue
-FROM fact_sales f JOIN dim_product p ON f.product_id = p.product_id
-WHERE f.order_status <> 'cancelled' GROUP BY 1, 2, 3"""
-V_MONTH = """SELECT CAST(date_key // 10000 AS BIGINT) AS year, CAST(date_key // 100 % 100 AS BIGINT) AS month,
-       monthname(strptime(CAST(date_key AS VARCHAR), '%Y%m%d')) AS month_name,
-       CAST(sum(line_amount) AS DOUBLE) AS revenue, count(DISTINCT order_id) AS order_count
-FROM fact_sales WHERE order_status <> 'cancelled' GROUP BY 1, 2, 3"""
-V_SEGMENT = """SELECT c.segment, count(DISTINCT c.customer_id) AS customer_count,
-       CAST(sum(f.line_amount) AS DOUBLE) AS revenue,
-       round(CAST(sum(f.line_amount) AS DOUBLE) / nullif(count(DISTINCT f.order_id), 0), 4) AS avg_order_value
-FROM fact_sales f JOIN customers c ON f.customer_id = c.customer_id
-WHERE f.order_status <> 'cancelled' GROUP BY 1"""
-V_PAYMENT = """SELECT payment_method, count(DISTINCT order_id) AS order_count,
-       CAST(sum(line_amount) AS DOUBLE) AS revenue
-FROM fact_sales WHERE order_status <> 'cancelled' GROUP BY 1"""
-PRODUCT = (*FACT, "products", "categories", "dim_product")
-
-
-@query(with_ctes(*FACT, "stores") + V_STORE)
+# Straight from the given tables: a line counts for its order unless that is cancelled ('F').
+SOLD = """(
+  SELECT orders.*, l_partkey, CAST(l_quantity AS BIGINT) AS units,
+         CAST(CAST(l_quantity AS BIGINT) * CAST(l_extendedprice AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS amount
+  FROM orders, lineitem WHERE o_orderkey = l_orderkey AND o_orderstatus IN ('O', 'P')) AS sold"""
+V_STORE = f"""SELECT CAST(s_suppkey AS VARCHAR) AS store_id, any_value(s_name) AS store_name,
+       'NATION_' || CAST(any_value(s_nationkey) AS VARCHAR) AS city, count(DISTINCT o_orderkey) AS order_count,
+       CAST(sum(amount) AS DOUBLE) AS revenue
+FROM supplier, {SOLD} WHERE s_suppkey = o_custkey // 15 GROUP BY s_suppkey"""
+V_PRODUCT = f"""SELECT CAST(p_partkey AS VARCHAR) AS product_id, any_value(p_name) AS product_name,
+       any_value(CASE WHEN p_size > 1 THEN upper(p_brand) END) AS category_name,
+       CAST(sum(units) AS BIGINT) AS units_sold, CAST(sum(amount) AS DOUBLE) AS revenue
+FROM part, {SOLD} WHERE p_partkey = l_partkey GROUP BY p_partkey"""
+V_MONTH = f"""SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, any_value(monthname(o_orderdate)) AS month_name,
+       CAST(sum(amount) AS DOUBLE) AS revenue, count(DISTINCT o_orderkey) AS order_count
+FROM {SOLD} GROUP BY 1, 2"""
+V_SEGMENT = f"""SELECT segment, count(*) AS customer_count, CAST(sum(spent) AS DOUBLE) AS revenue,
+       round(CAST(sum(spent) AS DOUBLE) / sum(bought), 4) AS avg_order_value
+FROM (SELECT c_custkey, c_mktsegment AS segment, sum(amount) AS spent, count(DISTINCT o_orderkey) AS bought
+      FROM customer, {SOLD} WHERE c_custkey = o_custkey GROUP BY 1, 2) AS buyers GROUP BY segment"""
+V_PAYMENT = f"""SELECT o_orderpriority AS payment_method, count(DISTINCT o_orderkey) AS order_count,
+       CAST(sum(amount) AS DOUBLE) AS revenue FROM {SOLD} GROUP BY o_orderpriority"""
+
+
+@query(V_STORE)
 def revenue_by_store(spark: SparkSession, sf: str) -> DataFrame:
     return views.revenue_by_store(fact(spark, sf), roles.stores(spark, sf))
 
 
-@query(with_ctes(*PRODUCT) + V_PRODUCT)
+@query(V_PRODUCT)
 def top_products(spark: SparkSession, sf: str) -> DataFrame:
     return views.top_products(fact(spark, sf), dim_product(spark, sf))
 
 
-@query(with_ctes(*FACT) + V_MONTH)
+@query(V_MONTH)
 def monthly_sales_trend(spark: SparkSession, sf: str) -> DataFrame:
     return views.monthly_sales_trend(fact(spark, sf), dates(spark))
 
 
-@query(with_ctes(*FACT, "customers") + V_SEGMENT)
+@query(V_SEGMENT)
 def segment_revenue(spark: SparkSession, sf: str) -> DataFrame:
     view = views.customer_segment_revenue(fact(spark, sf), roles.customers(spark, sf))
     return view.withColumn("avg_order_value", F.round("avg_order_value", 4))
 
 
-@query(with_ctes(*FACT) + V_PAYMENT)
+@query(V_PAYMENT)
 def payment_mix(spark: SparkSession, sf: str) -> DataFrame:
     return views.payment_method_mix(fact(spark, sf))
 
 
 @query(
-    with_ctes(*PRODUCT, "stores", "customers")
-    + f""", a AS ({V_STORE}), b AS ({V_PRODUCT}), c AS ({V_MONTH}), d AS ({V_SEGMENT}), e AS ({V_PAYMENT})
+    f"""WITH a AS ({V_STORE}), b AS ({V_PRODUCT}), c AS ({V_MONTH}), d AS ({V_SEGMENT}), e AS ({V_PAYMENT})
 SELECT 'vw_revenue_by_store' AS view_name, count(*) AS row_count, CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE) AS revenue FROM a
 UNION ALL SELECT 'vw_top_products', count(*), CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE) FROM b
 UNION ALL SELECT 'vw_monthly_sales_trend', count(*), CAST(sum(CAST(revenue AS DECIMAL(28,4))) AS DOUBLE) FROM c
@@ -281,35 +278,32 @@ def view_registry(spark: SparkSession, sf: str) -> DataFrame:
 # --- report ---------------------------------------------------------------------------------------
 
 
-@query(with_ctes(*FACT, "stores") + f"SELECT store_name, revenue FROM ({V_STORE})")
+@query(f"SELECT store_name, revenue FROM ({V_STORE})")
 def store_revenue_chart(spark: SparkSession, sf: str) -> DataFrame:
     return report.store_revenue(revenue_by_store(spark, sf))
 
 
 @query(
-    with_ctes(*PRODUCT)
-    + f"SELECT product_id, product_name, revenue FROM ({V_PRODUCT}) ORDER BY revenue DESC, product_id LIMIT 10"
+    f"SELECT product_id, product_name, revenue FROM ({V_PRODUCT}) ORDER BY revenue DESC, product_id LIMIT 10"
 )
 def top10_products(spark: SparkSession, sf: str) -> DataFrame:
     return report.best_products(top_products(spark, sf))
 
 
 @query(
-    with_ctes(*FACT)
-    + f"SELECT CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS label, revenue FROM ({V_MONTH})"
+    f"SELECT CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS label, revenue FROM ({V_MONTH})"
 )
 def month_label(spark: SparkSession, sf: str) -> DataFrame:
     return report.monthly_trend(monthly_sales_trend(spark, sf))
 
 
-@query(with_ctes(*FACT, "customers") + f"SELECT segment, revenue FROM ({V_SEGMENT})")
+@query(f"SELECT segment, revenue FROM ({V_SEGMENT})")
 def segment_revenue_chart(spark: SparkSession, sf: str) -> DataFrame:
     return report.segment_revenue(segment_revenue(spark, sf))
 
 
 @query(
-    with_ctes(*FACT)
-    + f"""SELECT payment_method, revenue, round(100 * revenue / sum(revenue) OVER (), 1) AS share_pct
+    f"""SELECT payment_method, revenue, round(100 * revenue / sum(revenue) OVER (), 1) AS share_pct
 FROM ({V_PAYMENT})"""
 )
 def payment_share_pct(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,8 +311,7 @@ def payment_share_pct(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    with_ctes(*FACT, "stores")
-    + f"SELECT store_id, store_name, city, CAST(order_count AS BIGINT) AS order_count, revenue FROM ({V_STORE})"
+    f"SELECT store_id, store_name, city, CAST(order_count AS BIGINT) AS order_count, revenue FROM ({V_STORE})"
 )
 def report_export(spark: SparkSession, sf: str) -> DataFrame:
     """All views written as files; the store report read back."""
