@@ -49,6 +49,19 @@ def test_counts_round_half_even_after_the_bounds(spark):
         ("08/07/2026", dt.datetime(2026, 7, 8)),
         ("25/07/2026 10:11:12", dt.datetime(2026, 7, 25, 10, 11, 12)),
         (" 2026-07-08\t", dt.datetime(2026, 7, 8)),
+        ("2026-07-08 13:25", dt.datetime(2026, 7, 8, 13, 25)),
+        ("2026-07-08T13:25:10Z", dt.datetime(2026, 7, 8, 13, 25, 10)),
+        ("2026-07-08T13:25:10.123456789+00:00", dt.datetime(2026, 7, 8, 13, 25, 10, 123456)),
+        ("8/7/2026", dt.datetime(2026, 7, 8)),
+        ("08-07-2026 9:05", dt.datetime(2026, 7, 8, 9, 5)),
+        ("8.7.2026", dt.datetime(2026, 7, 8)),
+        ("2026/07/08", dt.datetime(2026, 7, 8)),
+        ("20260708", dt.datetime(2026, 7, 8)),
+        ("20260708 13:25:10", dt.datetime(2026, 7, 8, 13, 25, 10)),
+        ("2026-7-123", None),
+        ("2026-07-08 13:2", None),
+        ("2026-07-08T13:25:10+07:00", None),
+        ("202607081", None),
         ("07/25/2026", None),
         ("2026-02-30", None),
         ("2026", None),

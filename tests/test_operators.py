@@ -12,6 +12,7 @@ from tillmark.operators.history import change_history, snapshot_diff, status_tra
 from tillmark.operators.integrity import reference_violations, reject_rows, split_by_references, split_missing_key
 from tillmark.operators.timeline import as_of, with_previous
 from tillmark.operators.versions import drop_stale, first_by_key, insert_if_absent, latest_by_key, overlay, upsert
+from tillmark.sources import folders
 from tillmark.sources.keyed_table import KeyedTable
 
 START = dt.datetime(2026, 1, 1)
@@ -136,7 +137,7 @@ def test_keyed_table_equals_upserts_in_order(spark, root):
             if k not in state or at >= state[k][1]:
                 state[k] = (v, at)
         assert collected(table.read()) == sorted((k, *v) for k, v in state.items())
-    assert table._runs("snapshot") == [2, 5]
+    assert table._last_snapshot() == 5 and table._last_snapshot(before=5) == 2
     assert {r.k for r in table.changes(after=6).collect()} <= set(batch)
 
 
@@ -146,14 +147,27 @@ def test_compaction_is_a_step_of_its_own(spark, root):
     for run in range(3):
         table.merge(keyed(spark, [("k1", run, run), (f"k{run + 2}", run, run)]), run)
     before = collected(table.read())
-    assert table._runs("snapshot") == []
+    assert table._last_snapshot() == -1
     table.compact(before=2)
     table.compact()
     table.compact()
-    assert table._runs("snapshot") == [1, 2] and collected(table.read()) == before
+    assert (table._last_snapshot(), table._last_snapshot(before=2)) == (2, 1) and collected(table.read()) == before
     assert {r.k for r in table.read(before=2).collect()} == {"k1", "k2", "k3"}
 
 
+def test_probes_do_not_grow_with_the_history(spark, root, monkeypatch):
+    probes = []
+    monkeypatch.setattr(folders, "_is_finished", lambda spark, root, label, n: probes.append(n) or 0 <= n <= last)
+    monkeypatch.setattr(folders, "_numbers", lambda *_: pytest.fail("a listing"))
+    for last in (-1, 0, 1, 6, 7, 49, 50, 35_000):
+        probes.clear()
+        assert folders.last_finished(spark, root, "run") == last
+        assert len(probes) <= 2 + 2 * max(last, 1).bit_length()
+        after = max(last - 3, -1)
+        assert folders.finished_runs(spark, root, "run", after) == list(range(after + 1, last + 1))
+    assert folders.last_finished(spark, root, "run", before=9) == 8
+
+
 def test_missing_keys_and_rejects(spark):
     df = spark.createDataFrame(
         [("a", "x", 1), (" ", "x", 2), (None, "x", 3), ("b", None, 4)], "k1 string, k2 string, _source_file int"

@@ -130,6 +130,63 @@ def test_two_rounds(spark, raw, root):
     assert [r.store_id for r in back.collect()] == ["S2", "S1"]
 
 
+STAR = {
+    "dim_date": "date_key int, full_date date, year int, quarter int, month int, month_name string, day int, "
+    "day_name string, is_weekend boolean",
+    "dim_customer": "customer_id string, name string, email string, phone string, city string, segment string, "
+    "join_date timestamp_ntz, _loaded_at timestamp_ntz",
+    "dim_store": "store_id string, store_name string, city string, opened_date timestamp_ntz, _loaded_at timestamp_ntz",
+    "dim_product": "product_id string, product_name string, category_id string, category_name string, "
+    "unit_price decimal(18,4), _loaded_at timestamp_ntz",
+    "fact_sales": "order_item_id string, order_id string, date_key int, customer_id string, product_id string, "
+    "store_id string, payment_method string, order_status string, quantity bigint, unit_price decimal(18,4), "
+    "line_amount decimal(18,4), _loaded_at timestamp_ntz",
+}
+ITEMS = "order_item_id string, order_id string, product_id string, quantity bigint, unit_price decimal(18,4)"
+
+
+def test_types_of_the_stored_tables(spark, raw, root):
+    first_drop(raw)
+    _, _, views = medallion.run(spark, raw.dir, root)
+    gold, silver = Gold(spark, root), Silver(spark, root)
+
+    def types(df):
+        return [(f.name, f.dataType) for f in df.schema.fields]
+
+    for name, layout in STAR.items():
+        assert types(gold.read(name)) == types(spark.createDataFrame([], layout)), name
+    lineage = ", _source_file string, _loaded_at timestamp_ntz"
+    assert types(silver.read("order_items")) == types(spark.createDataFrame([], ITEMS + lineage))
+    assert {f.dataType.typeName() for v in views.values() for f in v.schema.fields if f.name == "revenue"} == {"decimal"}
+    mark = spark.read.parquet(f"{root}/control/silver/table_name=orders").first()
+    assert mark.last_loaded_at == silver.read("orders").agg(F.max("_loaded_at")).first()[0]
+
+
+def test_a_silver_run_without_its_mark_is_not_seen(spark, raw, root):
+    first_drop(raw)
+    silver, gold = Silver(spark, root), Gold(spark, root)
+    ingest_all(spark, root, raw.dir)
+    state = silver.table("stores")
+    state.merge(spark.createDataFrame([("S1", *[None] * 5)], state.schema), 0)
+    rejected = "reason string, row_json string, source_file string, rejected_at timestamp_ntz"
+    spark.createDataFrame([("r", "{}", "f", None)], rejected).write.parquet(f"{root}/silver_rejects/table_name=stores/run=0")
+    assert silver.read("stores").count() == 0 == silver.rejects().count()
+    gold.build_dims()
+    assert gold.read("dim_store").count() == 0
+    transform_all(spark, root)
+    gold.build_dims()
+    assert gold.read("dim_store").count() == 2 and silver.rejects().count() == 1
+    medallion.compact(spark, root)
+    assert gold.read("dim_store").count() == 2 == silver.read("stores").count()
+
+
+def test_views_are_there_for_later_sessions(spark, raw, root):
+    first_drop(raw)
+    _, _, views = medallion.run(spark, raw.dir, root)
+    stored = medallion.stored_views(spark, root)
+    assert {name: rows(v) for name, v in stored.items()} == {name: rows(v) for name, v in views.items()}
+
+
 def test_late_file_with_an_old_name_still_wins(spark, raw, root):
     bronze, silver = Bronze(spark, root), Silver(spark, root)
     raw("categories", TWO, "category_id,category_name\nK1,Second\n")

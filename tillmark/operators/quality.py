@@ -147,7 +147,8 @@ def overlapping_periods(df: DataFrame, table: str, key: Sequence[str], start: st
     """Periods (ends included) that begin before an earlier period is over, in (start, key) order.
 
     Only the latest end so far matters, so no pairs are formed. Periods are first reduced to one row per
-    start; the running maximum then goes over the starts inside a day and over the days of the calendar.
+    start; the running maximum then goes over the starts inside an hour, the hours inside a day and the days of
+    the calendar.
     """
     periods = df.where(F.col(start) <= F.col(end)).select(
         record_key(key).alias("_key"), F.col(start).alias("_start"), F.col(end).alias("_end")
@@ -155,17 +156,21 @@ def overlapping_periods(df: DataFrame, table: str, key: Sequence[str], start: st
     starts = (
         periods.groupBy("_start")
         .agg(F.max("_end").alias("_end"), F.min("_key").alias("_first_key"))
-        .withColumn("_day", F.to_date("_start"))
+        .withColumns({"_hour": F.date_trunc("hour", "_start"), "_day": F.to_date("_start")})
     )
-    in_day = Window.partitionBy("_day").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (Window.unboundedPreceding, -1)
+    in_hour = Window.partitionBy("_hour").orderBy("_start").rowsBetween(*earlier)
+    in_day = Window.partitionBy("_day").orderBy("_hour").rowsBetween(*earlier)
     # One row per calendar day that has a start: small however many periods there are.
-    over_days = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = starts.groupBy("_day").agg(F.max("_end").alias("_end"))
+    over_days = Window.orderBy("_day").rowsBetween(*earlier)
+    hours = starts.groupBy("_hour", "_day").agg(F.max("_end").alias("_end"))
+    days = hours.groupBy("_day").agg(F.max("_end").alias("_end"))
     days = days.select("_day", F.max("_end").over(over_days).alias("_before_day"))
+    hours = hours.select("_hour", "_day", F.max("_end").over(in_day).alias("_before_hour")).join(days, "_day")
     reach = (
-        starts.withColumn("_same_day", F.max("_end").over(in_day))
-        .join(days, "_day")
-        .select("_start", "_first_key", F.greatest("_same_day", "_before_day").alias("_reach"))
+        starts.withColumn("_same_hour", F.max("_end").over(in_hour))
+        .join(hours.drop("_day"), "_hour")
+        .select("_start", "_first_key", F.greatest("_same_hour", "_before_hour", "_before_day").alias("_reach"))
     )
     clashing = periods.join(reach, "_start").where(
         (F.col("_reach") >= F.col("_start")) | (F.col("_key") > F.col("_first_key"))

@@ -48,8 +48,11 @@ class Bronze:
 
     def load_log(self, table: str) -> DataFrame:
         """Files already loaded: (file_path, row_count, loaded_at, table_name, _batch_id)."""
-        batches = finished_runs(self.spark, self.log_path(table), "_batch_id")
-        return self._log_of(table, batches) if batches else no_rows(self.spark, LOAD_LOG)
+        last = self._last_batch(table)
+        if last < 0:
+            return no_rows(self.spark, LOAD_LOG)
+        reader = self.spark.read.schema(LOAD_LOG).option("basePath", f"{self.root}/control/load_log")
+        return reader.parquet(self.log_path(table)).where(F.col("_batch_id") <= last)
 
     def _last_batch(self, table: str) -> int:
         return last_finished(self.spark, self.log_path(table), "_batch_id")
@@ -78,10 +81,11 @@ class Bronze:
 
     def read(self, table: str) -> DataFrame:
         """All rows of the logged batches."""
-        batches = finished_runs(self.spark, self.log_path(table), "_batch_id")
-        if not batches:
+        last = self._last_batch(table)
+        if last < 0:
             return no_rows(self.spark, TABLES[table].bronze_schema())
-        return self._rows(table, batches)
+        reader = self.spark.read.schema(TABLES[table].bronze_schema())
+        return reader.parquet(self.table_path(table)).where(F.col("_batch_id") <= last)
 
     def new_files(self, listing: DataFrame, table: str) -> DataFrame:
         """Listed files that are not in the load log."""

@@ -13,7 +13,7 @@ from tillmark.functions.calendar import calendar_columns, date_key
 from tillmark.operators.integrity import reference_violations, split_by_references
 from tillmark.plans.silver import Silver
 from tillmark.session import no_rows
-from tillmark.sources.folders import last_finished
+from tillmark.sources.folders import last_finished, last_with_gaps
 from tillmark.sources.keyed_table import KeyedTable
 from tillmark.specs import CORE
 
@@ -197,7 +197,7 @@ class Gold:
 
     def _held_back(self) -> DataFrame | None:
         path = f"{self.root}/gold/fact_sales_quarantine"
-        run = last_finished(self.spark, path, "run")
+        run = last_with_gaps(self.spark, path, "run")
         if run < 0:
             return None
         return self.spark.read.schema(FACT_SALES).parquet(f"{path}/run={run}").select(

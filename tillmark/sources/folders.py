@@ -1,7 +1,9 @@
 """Folder listings on whatever file system the path names.
 
-Runs write to numbered folders. A run's folder counts once Spark's _SUCCESS marker is in it; only the folders
-a caller needs are probed for it, so a long history costs one listing.
+Runs write to folders numbered from 0 without gaps. A run's folder counts once Spark's _SUCCESS marker is in it, and
+a run that was cut off is repeated under its number, so the finished ones are always the first. The last is found by
+probing a few markers, as many as its number has digits in base two; no folder of an old run is opened or listed.
+Snapshots and the like have gaps in their numbers, and few folders: those are listed.
 """
 
 from __future__ import annotations
@@ -32,16 +34,26 @@ def _is_finished(spark: SparkSession, root: str, label: str, number: int) -> boo
     return fs.exists(path)
 
 
-def finished_runs(
-    spark: SparkSession, root: str, label: str, after: int = -1, before: int | None = None
-) -> list[int]:
-    """Numbers n, after < n < before, of the folders ``root/label=n`` whose write job completed."""
-    wanted = [n for n in _numbers(spark, root, label) if n > after and (before is None or n < before)]
-    return [n for n in wanted if _is_finished(spark, root, label, n)]
+def last_finished(spark: SparkSession, root: str, label: str, before: int | None = None) -> int:
+    """The highest finished run, below ``before`` if given; -1 when there is none."""
+    done, step = -1, 1
+    while _is_finished(spark, root, label, done + step):
+        done += step
+        step *= 2
+    while step > 1:
+        step //= 2
+        if _is_finished(spark, root, label, done + step):
+            done += step
+    return done if before is None else min(done, before - 1)
 
 
-def last_finished(spark: SparkSession, root: str, label: str, before: int | None = None) -> int:
-    """The highest such number, -1 when there is none."""
+def finished_runs(spark: SparkSession, root: str, label: str, after: int = -1, before: int | None = None) -> list[int]:
+    """Numbers n, after < n < before, of the finished runs."""
+    return list(range(after + 1, last_finished(spark, root, label, before) + 1))
+
+
+def last_with_gaps(spark: SparkSession, root: str, label: str, before: int | None = None) -> int:
+    """The highest finished number where numbers may be missing; -1 when there is none."""
     for number in reversed(_numbers(spark, root, label)):
         if (before is None or number < before) and _is_finished(spark, root, label, number):
             return number
