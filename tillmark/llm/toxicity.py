@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tillmark.llm.pieces import _Memory
 
 # Labelled documents that training reads of each class at most; they are those of smallest hash of doc_id.
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 1500
 BUCKETS = 1 << 18
 # First letters of a word that are features of their own, for words that share a stem.
 PREFIXES = (3, 4, 5)
@@ -60,8 +60,9 @@ def _telling(words: np.ndarray, word_sentence: np.ndarray, label: np.ndarray) ->
     _, first = np.unique(np.add.reduceat(mixed * np.uint64(0xBF58476D1CE4E5B9), starts), return_index=True)
     different = np.zeros(len(label), bool)
     different[word_sentence[starts[first]]] = True
-    use = different[word_sentence]
-    pairs = np.unique(word_sentence[use] * BUCKETS + words[use])
+    often = np.bincount(words, minlength=BUCKETS) >= LEAST_SENTENCES
+    use = different[word_sentence] & often[words]
+    pairs = np.unique(word_sentence[use].astype(np.int64) * BUCKETS + words[use])
     toxic = label[pairs // BUCKETS] == 1
     ones = np.bincount(pairs[toxic] % BUCKETS, minlength=BUCKETS)
     zeros = np.bincount(pairs[~toxic] % BUCKETS, minlength=BUCKETS)
@@ -79,10 +80,10 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, share:
     """
     if not docs or labels.min() == labels.max():
         return Model({}, 12.0 if len(labels) and labels.min() == 1 else -12.0)
-    words = np.concatenate([w for w, _ in docs]).astype(np.int64)
-    per_sentence = np.concatenate([s for _, s in docs]).astype(np.int64)
-    sentence_doc = np.repeat(np.arange(len(docs)), [len(s) for _, s in docs])
-    word_sentence = np.repeat(np.arange(len(per_sentence)), per_sentence)
+    words = np.concatenate([w for w, _ in docs])
+    per_sentence = np.concatenate([s for _, s in docs])
+    sentence_doc = np.repeat(np.arange(len(docs), dtype=np.int32), [len(s) for _, s in docs])
+    word_sentence = np.repeat(np.arange(len(per_sentence), dtype=np.int32), per_sentence)
     kept = _telling(words, word_sentence, labels[sentence_doc])
     place = np.full(BUCKETS, -1)
     place[kept] = np.arange(len(kept))
