@@ -9,6 +9,8 @@ from __future__ import annotations
 import numpy as np
 
 WORDS = 5
+# Code points that are worked on at once, longer texts alone: bounds the memory of the running sums.
+CHUNK = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -29,9 +31,12 @@ def _series(factor: int, size: int) -> np.ndarray:
 
 
 def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; those of the usual size are kept."""
     global _powers, _inverses
+    if size > 4 * CHUNK:
+        return _series(_BASE, size), _series(_INVERSE, size)
     if len(_powers) < size:
-        _powers, _inverses = _series(_BASE, 2 * size), _series(_INVERSE, 2 * size)
+        _powers, _inverses = _series(_BASE, 4 * CHUNK), _series(_INVERSE, 4 * CHUNK)
     return _powers[:size], _inverses[:size]
 
 
@@ -61,6 +66,17 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The set of each text, sorted: its runs of five words, or all its words as one run if it has fewer."""
+    sets, group, size = [], [], 0
+    for text in texts:
+        if group and size + len(text or "") > CHUNK:
+            sets += _sets(group)
+            group, size = [], 0
+        group.append(text)
+        size += len(text or "")
+    return sets + _sets(group) if group else sets
+
+
+def _sets(texts: list[str | None]) -> list[np.ndarray]:
     words, ends = word_hashes(texts)
     places = [np.uint64(p) for p in _PLACES]
     runs = max(0, len(words) - WORDS + 1)
