@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.operators.incremental import rows_since
+from tillmark.operators.incremental import next_mark, rows_since
 from tillmark.session import no_rows, side_by_side
 from tillmark.sources.csv_drops import list_drops, read_drops
 from tillmark.sources.folders import finished_runs, last_finished
@@ -67,13 +67,20 @@ class Bronze:
         last = self._last_batch(table)
         return now if last < 0 else max(now, self.loaded_at(table, last) + dt.timedelta(microseconds=1))
 
-    def since(self, table: str, batch: int, mark: dt.datetime) -> tuple[int, DataFrame | None]:
-        """Rows loaded after the mark, which was set at a batch: (last batch, rows or None).
+    def since(self, table: str, batch: int, mark: dt.datetime) -> tuple[int, dt.datetime, DataFrame | None]:
+        """Rows loaded after the mark, which was set at a batch: (last batch, its mark, rows or None).
 
-        Only the folders of later batches are opened. One that was cut off before it was logged is not seen.
+        Only the folders of later batches are opened, and whether they hold rows and how new those are is read from
+        the log. A batch that was cut off before it was logged is not seen.
         """
         new = finished_runs(self.spark, self.log_path(table), "_batch_id", after=batch)
-        return (new[-1], rows_since(self._rows(table, new), mark)) if new else (batch, None)
+        if not new:
+            return batch, mark, None
+        logged = self._log_of(table, new).agg(
+            F.sum("row_count").alias("rows"), next_mark("loaded_at", mark).alias("mark")
+        ).first()
+        rows = rows_since(self._rows(table, new), mark) if logged.rows else None
+        return new[-1], logged.mark, rows
 
     def _rows(self, table: str, batches: Sequence[int]) -> DataFrame:
         reader = self.spark.read.schema(TABLES[table].bronze_schema()).option("basePath", self.table_path(table))

@@ -9,19 +9,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.cleaning import clean_columns
-from tillmark.operators.incremental import EPOCH, next_mark
-from tillmark.operators.integrity import MISSING_KEY, reject_rows, split_missing_key
+from tillmark.operators.incremental import EPOCH
+from tillmark.operators.integrity import MISSING_KEY, has_key, reject_rows, split_missing_key
 from tillmark.operators.versions import latest_by_key
 from tillmark.plans.bronze import Bronze
 from tillmark.session import no_rows, side_by_side
-from tillmark.sources.folders import last_finished
+from tillmark.sources.folders import any_match, last_finished
 from tillmark.sources.keyed_table import KeyedTable
 from tillmark.specs import TABLES, VERSION, TableSpec
 
-MARKS = (
-    "last_loaded_at timestamp_ntz, last_batch bigint, rows_upserted bigint, rows_rejected bigint, "
-    "table_name string, run bigint"
-)
+MARK = "last_loaded_at timestamp_ntz, last_batch bigint, rows_upserted bigint, rows_rejected bigint"
+MARKS = f"{MARK}, table_name string, run bigint"
 REJECTS = "table_name string, reason string, row_json string, source_file string, rejected_at timestamp_ntz"
 TRANSFORM_STATS = "table string, rows_upserted bigint, rows_rejected bigint"
 
@@ -46,6 +44,9 @@ class Silver:
         spec = TABLES[name]
         return KeyedTable(self.spark, f"{self.root}/silver/{name}", spec.key, spec.silver_schema())
 
+    def _rejects_path(self, name: str) -> str:
+        return f"{self.root}/silver_rejects/table_name={name}"
+
     def last_run(self, name: str) -> int:
         """The last run whose mark was written; what later runs left is not there yet."""
         return last_finished(self.spark, self._marks_path(name), "run")
@@ -75,7 +76,7 @@ class Silver:
     def rejects(self) -> DataFrame:
         """Rejected rows of the finished runs."""
         last = {name: run for name in TABLES if (run := self.last_run(name)) >= 0}
-        if not last:
+        if not any_match(self.spark, f"{self._rejects_path('*')}/run=*/_SUCCESS"):
             return no_rows(self.spark, REJECTS)
         rows = self.spark.read.schema(f"{REJECTS}, run bigint").parquet(f"{self.root}/silver_rejects")
         finished = F.lit(False)
@@ -87,34 +88,34 @@ class Silver:
         """Fold the new bronze rows of one table in: (table, rows_upserted, rows_rejected).
 
         Changes and rejects go to folders numbered by the run and the mark is written last, so a run that
-        was cut off is repeated under the same number and leaves nothing twice.
+        was cut off is repeated under the same number and leaves nothing twice. The new rows are read once,
+        and once more only if some of them have to be rejected.
         """
         spec = TABLES[name]
         last_run, batch, mark = self._last_mark(name)
         run = last_run + 1
-        batch, fresh = Bronze(self.spark, self.root).since(name, batch, mark)
-        if fresh is None or fresh.isEmpty():
+        batch, mark, fresh = Bronze(self.spark, self.root).since(name, batch, mark)
+        if fresh is None:
             return name, 0, 0
 
-        cleaned = clean(fresh, spec)
         upserted, rejected = Observation(), Observation()
+        cleaned = clean(fresh, spec)
+        without_key = F.count_if(~has_key(spec.key, cleaned=True))
         # Load times only grow from batch to batch, so no row here can be older than the current one.
-        self.table(name).merge(current_rows(cleaned, spec), run, guard=False, counted=upserted)
-
-        _, without_key = split_missing_key(cleaned, spec.key, cleaned=True)
-        rows = reject_rows(without_key, name, MISSING_KEY, F.localtimestamp()).drop("table_name")
-        rows.observe(rejected, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-            f"{self.root}/silver_rejects/table_name={name}/run={run}"
-        )
+        current = current_rows(cleaned.observe(rejected, without_key.alias("rows")), spec)
+        self.table(name).merge(current, run, guard=False, counted=upserted)
+        counted = (name, upserted.get["rows"], rejected.get["rows"])
+        rejects = f"{self._rejects_path(name)}/run={run}"
+        # What an attempt left that was cut off is replaced too, be it by nothing.
+        if counted[2] or any_match(self.spark, rejects):
+            _, refused = split_missing_key(cleaned, spec.key, cleaned=True)
+            rows = reject_rows(refused, name, MISSING_KEY, F.localtimestamp()).drop("table_name")
+            rows.write.mode("overwrite").parquet(rejects)
 
         # Rejected rows count as read: the mark passes them.
-        counted = (name, upserted.get["rows"], rejected.get["rows"])
-        fresh.agg(next_mark(previous=mark).alias("last_loaded_at")).select(
-            "last_loaded_at",
-            F.lit(batch).cast("bigint").alias("last_batch"),
-            F.lit(counted[1]).cast("bigint").alias("rows_upserted"),
-            F.lit(counted[2]).cast("bigint").alias("rows_rejected"),
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self._marks_path(name)}/run={run}")
+        self.spark.createDataFrame([(mark, batch, *counted[1:])], MARK).coalesce(1).write.mode("overwrite").parquet(
+            f"{self._marks_path(name)}/run={run}"
+        )
         return counted
 
 
