@@ -8,11 +8,12 @@ lists of shingles that prefixes share are looked at:
   to fill their prefix and are done.
 - Index-level skipping: an entry carries the size of its set and its position there; entries whose sizes, or what is
   left behind their positions, cannot reach the overlap needed are skipped.
-- Answer-level skipping: each class is first compared with one leader, the smallest class of its lists. Classes that
-  this already connects need no link among themselves. For two others with one leader, their distances to it bound
-  their own (the Jaccard distance is a metric), and what the bound excludes is derived, not computed.
+- Answer-level skipping: each class is first compared with one leader, the smallest class of its lists, and in some
+  rounds more with leaders of other groups. Classes that this already connects need no link among themselves, and a
+  list with one group left is closed. For two others with one leader, their distances to it bound their own (the
+  Jaccard distance is a metric), and what the bound excludes is derived, not computed.
 
-So a group of copies costs one comparison a member, not one a pair; what remains is compared exactly. How many
+So a group of copies costs a few comparisons a member, not one a pair; what remains is compared exactly. How many
 documents hold a shingle is counted over all documents: map tasks send sorted blocks of hash prefixes to ranges of the
 hash, and shingles frequent inside a block are summed before they are sent.
 """
@@ -36,6 +37,8 @@ from tillmark.session import fresh_dir
 
 # A shingle in more documents of a batch than this is sent as a sum.
 FREQUENT = 64
+# Rounds of comparisons with a leader before the rest is compared pair by pair.
+ROUNDS = 3
 # Class ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 # Two 32-bit counts in front of each block.
@@ -325,7 +328,32 @@ def _linked() -> Column:
     return F.col("shared") * 100 >= F.col("total") * 75
 
 
-def link_classes(docs: DataFrame, described: DataFrame, text: str = "text") -> DataFrame:
+def _several(entries: DataFrame) -> DataFrame:
+    """Entries of lists that hold classes of several groups."""
+    lists = entries.groupBy("shingle").agg(F.min("group").alias("_low"), F.max("group").alias("_high"))
+    return entries.join(lists.where(F.col("_low") != F.col("_high")).select("shingle"), "shingle", "left_semi")
+
+
+def _regrouped(entries: DataFrame, links: DataFrame, path: str) -> DataFrame:
+    """Entries with the groups that links between groups lead to, of lists that still hold several; written.
+
+    A group takes the smallest number among its neighbours, and once more from there: what this doesn't join yet stays
+    open, and costs comparisons but no link.
+    """
+    a, b = links.columns
+    both = links.toDF("group", "to").unionByName(links.select(F.col(b).alias("group"), F.col(a).alias("to")))
+    step = both.groupBy("group").agg(F.min("to").alias("to")).where(F.col("to") < F.col("group"))
+    further = step.select(F.col("group").alias("to"), F.col("to").alias("_further"))
+    step = step.join(further, "to", "left").select("group", F.coalesce("_further", "to").alias("to"))
+    moved = entries.join(step, "group", "left").withColumn("group", F.coalesce("to", "group")).drop("to")
+    return written(_several(moved), path)
+
+
+def _similar_sizes(x: str, y: str) -> Column:
+    return 4 * F.least(x, y) >= 3 * F.greatest(x, y)
+
+
+def link_classes(docs: DataFrame, described: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Roots of classes (node, root) that have a link to another class."""
     path = fresh_dir(docs.sparkSession, "jaccard")
     index = written(prefixes(docs, text), f"{path}/prefixes")
@@ -339,35 +367,55 @@ def link_classes(docs: DataFrame, described: DataFrame, text: str = "text") -> D
     # First answers: every class with its leader, the smallest class that shares a list with it.
     led = entries.groupBy(F.col("class").alias("a")).agg(F.min("leader").alias("b")).where(F.col("a") != F.col("b"))
     led = written(compare(led, sets), f"{path}/led")
-    first = led.where(_linked()).select("a", "b")
-    grouped = written(components(first), f"{path}/groups")
-    # What is still open: lists that hold classes of several groups.
-    answered = led.select(F.col("a").alias("class"), F.col("b").alias("led_by"), (1 - F.col("shared") / F.col("total")).alias("far"))
-    placed = (
-        entries.join(grouped.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("group", F.coalesce("root", "class"))
-        .join(answered, "class", "left")
-        .select("shingle", "class", "n", "place", "group", "led_by", "far")
+    asked, links = led.select("a", "b"), led.where(_linked()).select("a", "b")
+    answered = led.select(
+        F.col("a").alias("class"), F.col("b").alias("led_by"), (1 - F.col("shared") / F.col("total")).alias("far")
     )
-    several = placed.groupBy("shingle").agg(F.min("group").alias("_low"), F.max("group").alias("_high"))
-    several = several.where(F.col("_low") != F.col("_high")).select("shingle")
-    open_entries = written(placed.join(several, "shingle", "left_semi"), f"{path}/open")
-    x = open_entries.select("shingle", *[F.col(c).alias(f"x_{c}") for c in open_entries.columns if c != "shingle"])
-    y = open_entries.select("shingle", *[F.col(c).alias(f"y_{c}") for c in open_entries.columns if c != "shingle"])
-    size = F.col("x_n") + F.col("y_n")
+    entries = entries.join(answered, "class", "left").withColumn("group", F.col("class")).drop("leader")
+    entries = _regrouped(entries, links, f"{path}/open-0")
+    # More answers of the same kind for what is still open: each class with one of another group that leads one of its
+    # lists, another one each round. Every round costs one comparison a class and joins groups whose members differ too
+    # much from the first leader.
+    for number in range(1, rounds + 1):
+        if entries.isEmpty():
+            break
+        turn = F.xxhash64("class", F.lit(number))
+        heads = entries.groupBy("shingle").agg(
+            F.min_by(F.struct(F.col("class").alias("b"), F.col("n").alias("_n"), F.col("group").alias("_group")), turn).alias("_h")
+        )
+        met = entries.join(heads.select("shingle", "_h.*"), "shingle").where(
+            (F.col("group") != F.col("_group")) & _similar_sizes("n", "_n")
+        )
+        met = met.select(
+            F.greatest("class", "b").alias("a"), F.least("class", "b").alias("b"), F.col("class").alias("_class"),
+            F.when(F.col("class") > F.col("b"), F.col("group")).otherwise(F.col("_group")).alias("_group_a"),
+            F.when(F.col("class") > F.col("b"), F.col("_group")).otherwise(F.col("group")).alias("_group_b"),
+        )
+        met = met.join(asked, ["a", "b"], "left_anti")
+        one = met.groupBy("_class").agg(
+            F.min_by(F.struct("a", "b", "_group_a", "_group_b"), F.xxhash64("a", "b", F.lit(number))).alias("_p")
+        )
+        found = written(compare(one.select("_p.*").distinct(), sets), f"{path}/asked-{number}")
+        asked = asked.unionByName(found.select("a", "b"))
+        new = found.where(_linked())
+        links = links.unionByName(new.select("a", "b"))
+        entries = _regrouped(entries, new.select("_group_a", "_group_b"), f"{path}/open-{number}")
+    # Whatever is left is compared pair by pair, but for what sizes, places and the answers so far exclude.
+    x = entries.select("shingle", *[F.col(c).alias(f"x_{c}") for c in entries.columns if c != "shingle"])
+    y = entries.select("shingle", *[F.col(c).alias(f"y_{c}") for c in entries.columns if c != "shingle"])
     left = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
     excluded = F.col("x_led_by").eqNullSafe(F.col("y_led_by")) & (F.abs(F.col("x_far") - F.col("y_far")) > 0.25 + 1e-9)
     pairs = x.join(y, "shingle").where(
         (F.col("x_class") < F.col("y_class"))
         & (F.col("x_group") != F.col("y_group"))
-        & (4 * F.least("x_n", "y_n") >= 3 * F.greatest("x_n", "y_n"))
-        & (7 * left >= 3 * size)
+        & _similar_sizes("x_n", "y_n")
+        & (7 * left >= 3 * (F.col("x_n") + F.col("y_n")))
         & ~F.coalesce(excluded, F.lit(False))
     )
     pairs = pairs.select(F.col("y_class").alias("a"), F.col("x_class").alias("b")).distinct()
-    pairs = pairs.join(led.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = pairs.join(asked, ["a", "b"], "left_anti")
     rest = written(compare(pairs, sets), f"{path}/rest").where(_linked()).select("a", "b")
-    return components(first.unionByName(rest))
+    return components(links.unionByName(rest))
 
 
 def _resolved(docs: DataFrame, text: str) -> DataFrame:
