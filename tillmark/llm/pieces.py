@@ -36,7 +36,7 @@ def as_bytes(ids: Iterable[int]) -> bytes:
     return packed.tobytes()
 
 
-class _Memory(dict):
+class Memory(dict):
     """Values of pieces; a missing one is made. When full, it turns into the older half, of which what is used again
     comes back, and the older half before it is forgotten."""
 
@@ -70,9 +70,9 @@ class PieceEncoder:
             spec = json.load(f)
         self.kind = self._kind(spec)
         self._letters = _byte_letters()
-        self._ids = _Memory(self._encode_piece, most)
-        self._counts = _Memory(lambda piece: len(self._encode_piece(piece)) // 4, most)
-        self._cores = _Memory(self._merge, most)
+        self._ids = Memory(self._encode_piece, most)
+        self._counts = Memory(lambda piece: len(self._encode_piece(piece)) // 4, most)
+        self._cores = Memory(self._merge, most)
 
     @staticmethod
     def _kind(spec: dict) -> str:

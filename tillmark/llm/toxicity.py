@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.pieces import _Memory
+from tillmark.llm.pieces import Memory
 
 # Labelled documents that training reads of each class at most; they are those of smallest hash of doc_id.
 SAMPLE_ROWS = 1500
@@ -196,7 +196,7 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     @F.arrow_udf("struct<score: double, offending: array<struct<start: long, end: long, score: double>>>")
     def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = shared.value
-        weights = _Memory(lambda token: sum(known.weights.get(b, 0.0) for b in features(token)), 300_000)
+        weights = Memory(lambda token: sum(known.weights.get(b, 0.0) for b in features(token)), 300_000)
         for batch in batches:
             rated = [score_text(t, weights, known.bias) for t in batch.to_pylist()]
             offending = [[dict(zip(("start", "end", "score"), s)) for s in o] for _, o in rated]
