@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
+from tillmark.llm.pieces import forget
 from tillmark.llm.registry import partitions, written
 from tillmark.llm.shingles import shingle_sets
 from tillmark.session import fresh_dir
@@ -62,6 +63,7 @@ def describe(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, the class of the set (null without words) and a hash of the text, of every row."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = shingle_sets(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -109,6 +111,7 @@ def _requests(ranges: Ranges):
     """Map side: of each batch, the shingles that go to each range, and what stays with the batch (range -1)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             sets = [s for s in shingle_sets(batch.column(0).to_pylist()) if len(s)]

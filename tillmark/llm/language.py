@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.llm.pieces import forget
+
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 # Labelled rows that training reads for each language at most; they are those of smallest hash of doc_id.
@@ -123,6 +125,7 @@ def fit(
         wanted = wanted | ((F.col("_lang") == lang) & (F.col("_hash") < int(part * (1 << 40))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         totals: dict[str, np.ndarray] = {}
         texts: dict[str, int] = {}
         for batch in batches:
@@ -168,6 +171,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
         known = shared.value
         for batch in batches:
             texts = batch.to_pylist()

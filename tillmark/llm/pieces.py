@@ -63,7 +63,7 @@ class PieceEncoder:
     by default.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
         # The file is the library's input on each executor, read by path as the library does.
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -145,6 +145,12 @@ class PieceEncoder:
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
+def forget() -> None:
+    """Drop the encoders of this process. Python workers outlive the stage that filled their memories; operators that
+    need room of their own call this first."""
+    _ENCODERS.clear()
+
+
 def encoder(path: str) -> PieceEncoder:
     """The encoder of a file, one per Python process."""
     if path not in _ENCODERS:
