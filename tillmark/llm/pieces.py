@@ -70,6 +70,8 @@ class PieceEncoder:
             spec = json.load(f)
         self.kind = self._kind(spec)
         self._letters = _byte_letters()
+        if self.kind == "word":  # without case and spaces there are fewer different pieces
+            most = 2 * most // 3
         self._ids = Memory(self._encode_piece, most)
         self._counts = Memory(lambda piece: len(self._encode_piece(piece)) // 4, most)
         self._cores = Memory(self._merge, most)

@@ -18,8 +18,8 @@ ORACLE: dict[str, str] = {}
 
 # Batches handed to Python stay small whatever the length of a text: by rows, and by bytes where texts are long.
 ARROW = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
