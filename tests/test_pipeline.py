@@ -395,3 +395,21 @@ def test_audit(spark, raw, root):
     assert [(r.category_id, r.category_name, r.is_current) for r in history] == [
         ("K1", "Toys", False), ("K1", "Games", True), ("K2", "Books", True)
     ]
+
+
+def test_audit_compares_payments_of_unknown_orders(spark, raw, root):
+    first_drop(raw)  # O9 has an item of 1 but no order head, O99 has neither
+    raw(
+        "payments", ONE,
+        "payment_id,order_id,method,amount,status,paid_at\n"
+        "Y1,O9,cod,1,pending,\nY2,O9,cod,2,pending,\nY3,O99,cod,5,pending,\nY4,O1,cod,41,pending,\nY5,,cod,5,pending,\n",
+    )
+    raw("loyalty_points", ONE, "loyalty_id,customer_id,order_id,points_earned,points_redeemed\nL1,C1,O99,7,0\n")
+    ingest_all(spark, root, raw.dir)
+    transform_all(spark, root)
+    found = audit.warehouse_audit(spark, root).where(F.col("table_name").isin("payments", "loyalty_points")).collect()
+    assert {(r.rule, r.record_key, r.detail) for r in found} == {
+        ("amount_mismatch", "Y2", "1.0000"),
+        ("amount_mismatch", "Y3", "0.0000"),
+        ("orphan_reference", "L1", "O99"),
+    }

@@ -184,7 +184,7 @@ def _with_total(
     items: DataFrame,
     item_order_key: str,
     item_amount: Column,
-    orders: DataFrame | None,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with ``_total``, the sum over their order's items; items are summed before the join.
 
@@ -206,10 +206,12 @@ def amount_mismatch(
     items: DataFrame,
     item_order_key: str,
     item_amount: Column,
-    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """Amounts that differ from the sum over the order's items, which is zero for an order without usable items."""
-    joined = _with_total(payments, order_key, items, item_order_key, item_amount, orders)
+    """Amounts that differ from the sum over the order's items, which is zero for an order without usable items.
+
+    No other rule judges a payment's order, so payments of orders that aren't in the orders table are compared too.
+    """
+    joined = _with_total(payments, order_key, items, item_order_key, item_amount)
     return matching(joined, table, key, RowRule("amount_mismatch", F.col(amount) != F.col("_total"), F.col("_total")))
 
 
