@@ -39,9 +39,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark, each row judged by its own text."""
     prepare(spark)
-    return without_items(docs, table(spark, sf_dir, "benchmark"))
+    return without_items(docs, table(spark, sf_dir, "benchmark"), by_row=True)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

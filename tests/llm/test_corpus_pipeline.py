@@ -68,3 +68,15 @@ def test_stages_are_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "ngram_jaccard", "decontamination", "secret_scan", "packing"
     ]
+
+
+def test_rows_of_one_id_are_judged_each_by_its_own_text(spark, documents, folder):
+    words = ITEM.split()
+    halves = [" ".join(words[:9]), " ".join(words[5:])]  # 5 and 6 of the item's 11 shingles
+    clean = [(None, "clean"), (None, None), (3, "other"), (3, "other"), (4, halves[0]), (4, halves[1]), (5, None)]
+    rows = [*clean, (None, ITEM), (3, ITEM), (3, ITEM), (None, f"x {ITEM}"), (6, ITEM)]
+    docs = documents(pairs=rows).withColumns({"_doc": F.lit(1), "row": F.lit("clash"), "hash": F.lit("clash")})
+    sf = folder(benchmark=spark.createDataFrame([(1, ITEM)], ITEMS))
+    kept = corpus_pipeline.decontaminate(spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(clean, key=repr)

@@ -171,7 +171,23 @@ def find_items(
     return scored.where(F.col("containment") >= least - 1e-12).select(*columns)
 
 
-def without_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that hold no item; all columns and repeated rows stay."""
-    dirty = find_items(docs, items, **options).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, docs[options.get("doc_id", "doc_id")].eqNullSafe(F.col("_dirty")), "left_anti")
+def without_items(
+    docs: DataFrame,
+    items: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    by_row: bool = False,
+    **options,
+) -> DataFrame:
+    """The documents that hold no item; all columns and repeated rows stay.
+
+    Rows that share a doc_id, null included, are read as one document and go together. With `by_row` each row is judged
+    by its own text alone: rows are told apart by doc_id and a 64-bit hash of the text.
+    """
+    if not by_row:
+        dirty = find_items(docs, items, doc_id, text, **options).select(F.col("doc_id").alias("_dirty")).distinct()
+        return docs.join(dirty, docs[doc_id].eqNullSafe(F.col("_dirty")), "left_anti")
+    row = F.struct(docs[doc_id].alias("id"), F.xxhash64(docs[text]).alias("hash"))
+    rows = docs.select(row.alias("row"), docs[text].alias("text"))
+    dirty = find_items(rows, items, "row", "text", **options).select(F.col("doc_id").alias("_dirty")).distinct()
+    return docs.join(dirty, row.eqNullSafe(F.col("_dirty")), "left_anti")
