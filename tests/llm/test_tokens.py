@@ -116,6 +116,23 @@ def test_token_files_of_odd_rows(spark, documents, tmp_path):
         write_tokens(documents(pairs=[(None, "a")]), f"{tmp_path}/null", BYTE)
 
 
+def test_token_files_keep_rows_without_an_id(spark, documents, folder, tmp_path):
+    ids = library(BYTE)
+    nameless = [f"text {i}" for i in range(60)] + ["text 1", None, ""]
+    named = [(-(2**63), "least"), (0, "zero"), (3, None), (3, "b")]
+    docs = documents(pairs=[*((None, t) for t in nameless), *named])
+    got = QUERIES["op6_token_files"](spark, folder(documents=docs)).orderBy("start").collect()
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+    crc = lambda text: zlib.crc32(array("I", [*ids(text), 0]).tobytes())
+    assert sorted(r.ids_crc32 for r in got[: len(nameless)]) == sorted(map(crc, nameless))
+    assert all(r.doc_id is None for r in got[: len(nameless)])
+    want = [(-(2**63), "least"), (0, "zero"), (3, ""), (3, "b")]
+    assert [(r.doc_id, r.ids_crc32) for r in got[len(nameless) :]] == [(i, crc(t)) for i, t in want]
+    write_tokens(docs, f"{tmp_path}/t", BYTE, segment_ids=20, null_ids=True)
+    parts = read_tokens(spark, f"{tmp_path}/t").orderBy("start").collect()
+    assert [(r.doc_id, r.start, r.n_tokens) for r in parts] == [(r.doc_id, r.start, r.n_tokens) for r in got]
+
+
 def check_pieces(rows, sizes, capacity):
     """Every id in one piece; sequences gapless and within capacity. Returns the fill of each sequence."""
     by_doc, by_sequence = {}, {}

@@ -6,7 +6,7 @@ and its upper bits. Where each block starts is indexed, so any block decodes alo
 
 Image of a segment, all little endian:
   header      magic u32, documents u32, values u64, exceptions u64, words u64
-  documents   doc_id i64 each, end of the document's values u64 each
+  documents   doc_id i64 each, whether it is null u8 each, end of the document's values u64 each
   blocks      first word u64 each, first exception u64 each, minimum u32 each, width u8 each
   packed      words u64, blocks in order; value i of a block starts at bit i * width
   exceptions  place in the block u8 each, upper bits u32 each
@@ -19,7 +19,7 @@ import struct
 import numpy as np
 
 BLOCK = 128
-MAGIC = 0x524F4650
+MAGIC = 0x324F4650
 _HEADER = struct.Struct("<IIQQQ")
 
 
@@ -58,8 +58,18 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
     return values.T
 
 
-def encode(doc_ids: np.ndarray, ends: np.ndarray, values: np.ndarray, percentile: float = 90) -> bytes:
-    """Image of the values of some documents; ends[i] is where the values of doc_ids[i] end."""
+def encode(
+    doc_ids: np.ndarray,
+    ends: np.ndarray,
+    values: np.ndarray,
+    percentile: float = 90,
+    nulls: np.ndarray | None = None,
+) -> bytes:
+    """Image of the values of some documents; ends[i] is where the values of doc_ids[i] end.
+
+    `nulls` tells which documents have no id, whatever stands for it in doc_ids; without it all have one.
+    """
+    nulls = np.zeros(len(doc_ids), np.uint8) if nulls is None else nulls
     count = len(values)
     blocks = -(-count // BLOCK)
     padded = np.empty(blocks * BLOCK, np.uint32)
@@ -86,6 +96,7 @@ def encode(doc_ids: np.ndarray, ends: np.ndarray, values: np.ndarray, percentile
         [
             _HEADER.pack(MAGIC, len(doc_ids), count, len(row), len(packed)),
             np.asarray(doc_ids, "<i8").tobytes(),
+            np.asarray(nulls, "u1").tobytes(),
             np.asarray(ends, "<u8").tobytes(),
             first_word[:-1].tobytes(),
             first_exception.tobytes(),
@@ -114,7 +125,7 @@ class Segment:
             at += found.nbytes
             return found
 
-        self.doc_ids, self.ends = part("<i8", docs), part("<u8", docs)
+        self.doc_ids, self.nulls, self.ends = part("<i8", docs), part("u1", docs).astype(bool), part("<u8", docs)
         self.first_word, self.first_exception = part("<u8", self.blocks), part("<u8", self.blocks)
         self.minimum, self.widths = part("<u4", self.blocks), part("u1", self.blocks)
         self.packed = part("<u8", words)

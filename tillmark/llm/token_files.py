@@ -36,7 +36,9 @@ def _segments(tokenizer: str, end_id: int, percentile: float, segment_ids: int)
         def close() -> pa.RecordBatch:
             nonlocal number, start, held
             values = np.frombuffer(b"".join(chunks), "<u4")
-            image = pfor.encode(np.array(ids, np.int64), np.array(ends, np.uint64), values, percentile)
+            nulls = np.array([i is None for i in ids])
+            known = np.array([0 if i is None else i for i in ids], np.int64)
+            image = pfor.encode(known, np.array(ends, np.uint64), values, percentile, nulls)
             columns = [[part], [number], [ids[0]], [start], [held], [image]]
             types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["part", "segment", "first_doc", "part_start", "n_ids", "image"]
@@ -67,18 +69,22 @@ def write_tokens(
     text: str = "text",
     percentile: float = 90,
     segment_ids: int = SEGMENT_IDS,
+    null_ids: bool = False,
 ) -> None:
     """Encode every whole text, append end_id, and write the ids in ascending order of doc_id.
 
-    Null and empty texts have the end id alone. Rows of equal doc_id are all written, by text. Rows without a doc_id
-    have no place in the order and are refused with an error. An empty table gives an empty folder. Other columns are
-    not read.
+    Null and empty texts have the end id alone. Rows of equal doc_id are all written, by text. With `null_ids` rows
+    without a doc_id come first, by a hash of the text, then by text; otherwise they are refused with an error. An empty
+    table gives an empty folder. Other columns are not read.
     """
-    named = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.raise_error(F.lit("doc_id is null")).cast("long")).alias("doc_id"),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
-    )
-    ordered = named.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    doc_id = F.col("doc_id").cast("long")
+    if not null_ids:
+        doc_id = F.coalesce(doc_id, F.raise_error(F.lit("doc_id is null")).cast("long"))
+    named = docs.select(doc_id.alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    # Rows without a doc_id may be many: the hash divides them between parts, which stay in order.
+    named = named.withColumn("_deal", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    ranged = named.repartitionByRange(partitions(docs.sparkSession), "doc_id", "_deal")
+    ordered = ranged.sortWithinPartitions("doc_id", "_deal", "text").drop("_deal")
     segments = ordered.mapInArrow(_segments(tokenizer, end_id, percentile, segment_ids), SEGMENTS)
     segments.write.option("compression", "uncompressed").parquet(path)
 
@@ -86,7 +92,8 @@ def write_tokens(
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """The segments with `start`: ids of all documents before the segment.
 
-    Sums of whole parts are added up in one place: one row for each part of the writing job, never more.
+    Sums of whole parts are added up in one place: one row for each part of the writing job, never more. Parts of rows
+    without a doc_id have no first one and come first, in the order of their numbers.
     """
     segments = spark.read.schema(SEGMENTS).parquet(path)
     sums = segments.groupBy("part").agg(F.sum("n_ids").alias("_ids"), F.min("first_doc").alias("_first"))
@@ -108,7 +115,7 @@ def map_documents(segments: DataFrame, of_ids: Callable[[np.ndarray], object], k
                 made = [of_ids(values[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(segment.doc_ids),
+                        pa.array(segment.doc_ids, mask=segment.nulls),
                         pa.array(starts + start),
                         pa.array(ends - starts),
                         pa.array(made, kind),

@@ -16,5 +16,5 @@ END_ID = 0
 @query()
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "token-files")
-    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID, null_ids=True)
     return read_digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
