@@ -16,8 +16,12 @@ from tillmark.llm.shingles import shingle_sets
 from .conftest import SF
 
 
+def plain_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
 def plain_set(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    words = plain_words(text)
     if len(words) < 5:
         return {tuple(words)} if words else set()
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}

@@ -13,6 +13,7 @@ MODULES = (
     "packing_query",
     "token_count_query",
     "jaccard_query",
+    "superminhash_query",
 )
 
 

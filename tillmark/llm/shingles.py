@@ -64,30 +64,30 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return _mix(hashed + (stops - starts).astype(np.uint64)), np.searchsorted(starts, ends)
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """The set of each text, sorted: its runs of five words, or all its words as one run if it has fewer."""
+def shingle_sets(texts: list[str | None], width: int = WORDS) -> list[np.ndarray]:
+    """The set of each text, sorted: its runs of `width` words (five at most), or all its words as one run if it has fewer."""
     sets, group, size = [], [], 0
     for text in texts:
         if group and size + len(text or "") > CHUNK:
-            sets += _sets(group)
+            sets += _sets(group, width)
             group, size = [], 0
         group.append(text)
         size += len(text or "")
-    return sets + _sets(group) if group else sets
+    return sets + _sets(group, width) if group else sets
 
 
-def _sets(texts: list[str | None]) -> list[np.ndarray]:
+def _sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     words, ends = word_hashes(texts)
-    places = [np.uint64(p) for p in _PLACES]
-    runs = max(0, len(words) - WORDS + 1)
+    places = [np.uint64(p) for p in _PLACES[:width]]
+    runs = max(0, len(words) - width + 1)
     mixed = np.zeros(runs, np.uint64)
     for k, place in enumerate(places):
         mixed += words[k : k + runs] * place
     mixed = _mix(mixed)
     sets, start = [], 0
     for end in ends.tolist():
-        if end - start >= WORDS:
-            own = np.sort(mixed[start : end - WORDS + 1])
+        if end - start >= width:
+            own = np.sort(mixed[start : end - width + 1])
             new = np.ones(len(own), bool)
             np.not_equal(own[1:], own[:-1], out=new[1:])
             sets.append(own[new])
