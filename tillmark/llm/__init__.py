@@ -14,6 +14,7 @@ MODULES = (
     "token_count_query",
     "jaccard_query",
     "superminhash_query",
+    "merkle_query",
 )
 
 
