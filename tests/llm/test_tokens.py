@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillmark.llm import packing, pfor
-from tillmark.llm.pieces import PieceEncoder, as_bytes
+from tillmark.llm.pieces import BatchEncoder, Kept, as_bytes, balanced
 from tillmark.llm import packing_query, token_count_query, token_files_query  # noqa: F401 - registers the queries
 from tillmark.llm.registry import QUERIES
-from tillmark.llm.token_count import balanced, count_tokens, safe_parts
+from tillmark.llm.token_count import count_tokens, safe_parts
 from tillmark.llm.token_files import read_tokens, write_tokens
 
 from .conftest import SF
@@ -33,13 +33,47 @@ def library(path):
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
-def test_pieces_give_the_ids_of_the_library(path, given):
-    ids, own = library(path), PieceEncoder(path, most=50)
+@pytest.mark.parametrize("budget", [0, 20_000, 1 << 25])
+def test_batches_give_the_ids_of_the_library(path, budget, given):
+    ids, kept = library(path), Kept(budget)
+    own = BatchEncoder(path, kept=kept)
     random.seed(7)
     texts = ["".join(random.choices(ODD, k=random.randint(0, 9))) for _ in range(4000)] + list(given.values())[:60]
-    for text in texts:
-        assert own.ids(text) == as_bytes(ids(text)), repr(text)
-        assert own.count(text) == len(ids(text)), repr(text)
+    for start in range(0, len(texts), 700):
+        some = texts[start : start + 700]
+        values, counts = own.batch(some)
+        want = [ids(t) for t in some]
+        assert counts.tolist() == [len(w) for w in want] == own.counts(some).tolist()
+        assert values.tobytes() == as_bytes(i for w in want for i in w)
+        assert kept.spent <= budget
+    assert own.batch([])[0].size == 0 and own.counts([]).size == 0
+
+
+def test_special_strings_may_be_plain_text():
+    tokenizer = Tokenizer.from_file(BYTE)
+    tokenizer.encode_special_tokens = True
+    for text in (" a<|endoftext|> b", "<|endoftext|>", "x <|endoftext|>"):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert BatchEncoder(BYTE, True, Kept(1000)).batch([text])[0].tolist() == want != library(BYTE)(text)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_a_text_without_spaces_is_not_kept(path):
+    kept = Kept(1 << 20)
+    text = "x1" * 5_000_000
+    assert BatchEncoder(path, kept=kept).counts([text, "a b"])[0] > 0
+    assert kept.spent < 2000 and max(map(len, kept.of(next(iter(kept.known))))) < 70
+
+
+def test_a_batch_is_one_call_of_the_library(monkeypatch):
+    calls = []
+    own = BatchEncoder(BYTE, kept=Kept(1 << 20))
+    ask = own._library
+    monkeypatch.setattr(own, "_library", lambda texts: calls.append(texts) or ask(texts))
+    own.batch(["one two one, two.\n\nTwo", "one three"])
+    own.batch(["two three", "one"])
+    # Each unit is asked for once: the first word as it is, words apart from marks and line breaks.
+    assert calls == [["one", " two", " one", ",", ".", "\n", "Two", " three"], ["two"]]
 
 
 def test_long_texts_are_cut_where_words_end():

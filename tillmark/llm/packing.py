@@ -18,10 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillmark.llm.pieces import encoder
+from tillmark.llm.pieces import balanced, encoder
 from tillmark.llm.registry import partitions, written
 from tillmark.session import fresh_dir
 
+# Characters of the texts that are encoded at once, whatever their number.
+BATCH_CHARS = 1 << 21
+
 TOKENS = "doc_id long, doc_tokens long, crcs array<long>, ids binary"
 
 
@@ -29,11 +32,15 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int
     """doc_id, doc_tokens, the crc32 of the ids of each cut of `capacity` ids, and all ids (unsigned 32-bit, binary)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(tokenizer).ids
+        encode = encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
         for batch in batches:
-            coded = [ids_of(t) + end for t in batch.column(1).to_pylist()]
+            texts, coded = batch.column(1).to_pylist(), []
+            for start, stop in balanced(list(map(len, texts)), BATCH_CHARS):
+                values, counts = encode.batch(texts[start:stop])
+                parts = np.split(values, np.cumsum(counts)[:-1])
+                coded += [p.tobytes() + end for p in parts]
             crcs = [[zlib.crc32(c[i : i + step]) for i in range(0, len(c), step)] for c in coded]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -1,33 +1,38 @@
-"""Token ids of texts through the tokenizers library, each distinct piece of text encoded once per Python worker.
+"""Token ids of batches of texts through the tokenizers library, each distinct piece of text encoded once.
 
-A tokenizer first cuts a text into words, and its merges never cross a cut. So a text may be cut beforehand wherever
-the tokenizer cuts anyway (here at spaces and line breaks), and the ids of a piece depend on nothing else. Pieces that
-are a plain word with punctuation behind it go to the library's merge model directly; all others go through its whole
-chain. The memory of pieces is bounded and emptied when full, which changes the time taken but no result.
+A tokenizer first cuts a text into words, and its merges never cross a cut. So a text may be cut beforehand wherever the
+tokenizer cuts anyway (here at spaces and line breaks), and the ids of a piece depend on nothing else. The pieces of a
+batch are dictionary-encoded, one call of the library encodes those that are new, and the ids of the texts are gathered
+from the dictionary's. A worker keeps short pieces for its next batches, within a budget of bytes that all its encoders
+share; what is kept changes the time taken but no result.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
-from tokenizers import Tokenizer
+import numpy as np
+import pyarrow as pa
 
+# Spark's tasks are what runs in parallel.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+from tokenizers import Tokenizer  # noqa: E402
+
+# Bytes of pieces that a worker keeps, and the longest piece kept.
+BUDGET, LONGEST = 32 << 20, 64
+# What an entry of a dict costs besides its characters and ids.
+_ENTRY = 200
 # Letters that lower-casing and composition map to one letter, then punctuation without an apostrophe.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 # A space or line break that another white space or the text's end follows.
 _RUN = re.compile(r"[ \n](?:\s|\Z)")
-# Places where any text may be cut before a space: a letter on both sides.
-_SAFE = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 stays, the rest moves up."""
-    stay = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    moved = [b for b in range(256) if b not in set(stay)]
-    return {b: chr(b) for b in stay} | {b: chr(256 + i) for i, b in enumerate(moved)}
+# Where a text with such runs may be cut: the space goes, line breaks stay with what follows.
+_CUT = re.compile(r" (?=\S)|(?<=\S)(?=\n)")
 
 
 def as_bytes(ids: Iterable[int]) -> bytes:
@@ -36,45 +41,52 @@ def as_bytes(ids: Iterable[int]) -> bytes:
     return packed.tobytes()
 
 
-class Memory(dict):
-    """Values of pieces; a missing one is made. When full, it turns into the older half, of which what is used again
-    comes back, and the older half before it is forgotten."""
+class Kept:
+    """Ids of pieces by encoder, within one budget: emptied when it is spent."""
+
+    def __init__(self, budget: int):
+        self.budget, self.spent, self.known = budget, 0, {}
+
+    def of(self, owner: str) -> dict[str, bytes]:
+        return self.known.setdefault(owner, {})
 
-    def __init__(self, make: Callable[[str], object], most: int):
-        super().__init__()
-        self.make, self.most, self.older = make, most, {}
+    def add(self, owner: str, pieces: list[str], ids: list[bytes]) -> None:
+        own = self.of(owner)
+        for piece, value in zip(pieces, ids):
+            if len(piece) <= LONGEST:
+                cost = 4 * len(piece) + len(value) + _ENTRY
+                if self.spent + cost > self.budget:
+                    self.clear()
+                    own = self.of(owner)
+                if cost > self.budget:
+                    continue
+                own[piece] = value
+                self.spent += cost
 
-    def __missing__(self, piece: str):
-        value = self.older.get(piece)
-        if value is None:
-            value = self.make(piece)
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        self[piece] = value
-        return value
+    def clear(self) -> None:
+        self.known.clear()
+        self.spent = 0
 
 
-class PieceEncoder:
+KEPT = Kept(BUDGET)
+
+
+class BatchEncoder:
     """Encodes texts with the tokenizer of a JSON file.
 
     Known chains (byte-level words that take a leading space, and lower-cased words with an end mark) are cut into
-    pieces; a text of any other tokenizer is one piece. Special strings inside texts are handled as the library does
-    by default.
+    pieces; a text of any other tokenizer is one piece. Special strings inside texts are handled as the library does by
+    default, or are plain text if `plain_specials` is set.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, plain_specials: bool = False, kept: Kept | None = None):
         # The file is the library's input on each executor, read by path as the library does.
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain_specials
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.kind = self._kind(spec)
-        self._letters = _byte_letters()
-        if self.kind == "word":  # without case and spaces there are fewer different pieces
-            most = 2 * most // 3
-        self._ids = Memory(self._encode_piece, most)
-        self._counts = Memory(lambda piece: len(self._encode_piece(piece)) // 4, most)
-        self._cores = Memory(self._merge, most)
+            self.kind = self._kind(json.load(f))
+        self.kept = KEPT if kept is None else kept
+        self.name = f"{path}:{plain_specials}"
 
     @staticmethod
     def _kind(spec: dict) -> str:
@@ -89,72 +101,120 @@ class PieceEncoder:
             return "word"
         return "whole"
 
-    def _merge(self, word: str) -> bytes:
-        letters = self._letters
-        spelled = "".join([letters[b] for b in word.encode("utf-8")])
-        return as_bytes([t.id for t in self.tokenizer.model.tokenize(spelled)])
+    def _library(self, texts: list[str]) -> list[bytes]:
+        """One call of the library."""
+        return [as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _library(self, text: str) -> bytes:
-        return as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def cut(self, text: str) -> list[str]:
+        """The pieces of a text. At byte level NUL marks the first, and a space went before any other but those that
+        start with a line break."""
+        if self.kind == "word":
+            return text.replace("\n", " ").split(" ")
+        if self.kind == "byte" and "\0" not in text:
+            pieces = _CUT.split(text) if _RUN.search(text) else text.replace("\n", " \n").split(" ")
+            pieces[0] = "\0" + pieces[0]
+            return pieces
+        return ["\0" + text]
 
-    def _encode_piece(self, piece: str) -> bytes:
-        if self.kind == "whole":
-            return self._library(piece)
+    def _units(self, piece: str) -> list[str]:
+        """What the library gets for a piece: plain words apart from the punctuation behind them."""
         if self.kind == "word":
             plain = _PLAIN.fullmatch(piece)
             if not plain:
-                return self._library(piece)
-            word, marks = plain.groups()
-            return self._cores[word.lower()] + (self._cores[marks] if marks else b"")
-        # Byte level: a first piece is marked by NUL, a piece after a line break keeps it, any other had a space before.
-        first, broken = piece[:1] == "\0", piece[:1] == "\n"
-        rest = piece[1:] if first or broken else piece
+                return [piece] if piece else []
+            return [plain[1].lower(), plain[2]] if plain[2] else [plain[1].lower()]
+        if piece[:1] == "\0":
+            return [piece[1:]]
+        rest = piece.lstrip("\n")
+        breaks = piece[: len(piece) - len(rest)]
         plain = _PLAIN.fullmatch(rest)
         if not plain:
-            return self._library(rest if first else piece if broken else " " + piece)
-        word, marks = plain.groups()
-        head = self._cores["\n"] if broken else b""
-        return head + self._cores[word if first or broken else " " + word] + (self._cores[marks] if marks else b"")
-
-    def _cut(self, text: str) -> list[str] | None:
-        """The pieces of a text; None if it must go to the library in larger parts."""
-        if self.kind == "word":
-            return text.replace("\n", " ").split(" ")
-        if self.kind == "byte" and "\0" not in text and not _RUN.search(text):
-            pieces = text.replace("\n", " \n").split(" ")
-            pieces[0] = "\0" + pieces[0]
-            return pieces
-        return None
-
-    def _parts(self, text: str) -> list[str]:
-        return _SAFE.split(text) if self.kind == "byte" else [text]
-
-    def ids(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        pieces = self._cut(text)
-        if pieces is None:
-            return b"".join([self._library(p) for p in self._parts(text)])
-        return b"".join(map(self._ids.__getitem__, pieces))
-
-    def count(self, text: str) -> int:
-        """How many ids a text has."""
-        pieces = self._cut(text)
-        if pieces is None:
-            return sum(len(self._library(p)) for p in self._parts(text)) // 4
-        return sum(map(self._counts.__getitem__, pieces))
-
-
-_ENCODERS: dict[str, PieceEncoder] = {}
+            return [piece if breaks else " " + piece]
+        # The last line break before a word is cut off from those before it.
+        units = [breaks[1:], breaks[:1], plain[1]] if breaks else [" " + plain[1]]
+        return [u for u in (*units, plain[2]) if u]
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces; those that are not kept go to the library together, as distinct units."""
+        known = self.kept.of(self.name)
+        found = list(map(known.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            units = [self._units(pieces[i]) for i in new]
+            # A unit is kept apart: as a piece it would stand for the text with a space before it.
+            apart = f"{self.name}:units"
+            met = self.kept.of(apart)
+            ids = {u: met.get(u) for own in units for u in own}
+            asked = [u for u, value in ids.items() if value is None]
+            if asked:
+                made = self._library(asked)
+                ids.update(zip(asked, made))
+                self.kept.add(apart, asked, made)
+            for i, own in zip(new, units):
+                found[i] = b"".join([ids[u] for u in own])
+            self.kept.add(self.name, [pieces[i] for i in new], [found[i] for i in new])
+        return found
+
+    def _gathered(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """The dictionary's number of each piece, the ids of its entries, and how many pieces each text has."""
+        pieces, sizes = [], []
+        for text in texts:
+            own = self.cut(text)
+            pieces += own
+            sizes.append(len(own))
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        return coded.indices.to_numpy(), self._ids_of(coded.dictionary.to_pylist()), np.array(sizes, np.int64)
+
+    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other (unsigned 32-bit), and how many each text has."""
+        if not texts:
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        codes, ids, sizes = self._gathered(texts)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        held = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        each = held[codes]
+        ends = np.cumsum(each)
+        # From place in the output to place in the dictionary's ids: a shift that is the same within a piece.
+        shift = (np.cumsum(held) - held)[codes] - (ends - each)
+        out = flat[np.repeat(shift, each) + np.arange(ends[-1])]
+        ends = np.append(0, ends)[np.append(0, np.cumsum(sizes))]
+        return out, np.diff(ends)
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """How many ids each text has."""
+        if not texts:
+            return np.empty(0, np.int64)
+        codes, ids, sizes = self._gathered(texts)
+        held = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ends = np.append(0, np.cumsum(held[codes]))[np.append(0, np.cumsum(sizes))]
+        return np.diff(ends)
+
+
+_ENCODERS: dict[tuple[str, bool], BatchEncoder] = {}
 
 
 def forget() -> None:
-    """Drop the encoders of this process. Python workers outlive the stage that filled their memories; operators that
-    need room of their own call this first."""
+    """Drop what this process keeps. Python workers outlive the stage that filled them; operators that need room of
+    their own call this first."""
+    KEPT.clear()
     _ENCODERS.clear()
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, plain_specials: bool = False) -> BatchEncoder:
     """The encoder of a file, one per Python process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    key = (path, plain_specials)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = BatchEncoder(path, plain_specials)
+    return _ENCODERS[key]
+
+
+def balanced(sizes: list[int], limit: int) -> Iterable[tuple[int, int]]:
+    """Ranges of neighbours whose sizes add up to the limit at most; a single larger one stands alone."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if total and total + size > limit:
+            yield start, i
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)

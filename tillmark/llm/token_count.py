@@ -1,31 +1,20 @@
-"""Token counts: Arrow functions that encode batches and return lengths only."""
+"""Token counts: Arrow functions that encode batches of balanced size and return lengths only."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.pieces import encoder
+from tillmark.llm.pieces import balanced, encoder
 
 # Bytes of text that one call encodes, whatever the number of texts; longer texts are cut at safe boundaries.
 BATCH_BYTES = 1 << 20
 
 
-def balanced(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of neighbours whose sizes add up to the limit at most; a single larger one stands alone."""
-    start = total = 0
-    for i, size in enumerate(sizes):
-        if total and total + size > limit:
-            yield start, i
-            start, total = i, 0
-        total += size
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def safe_parts(text: str, limit: int) -> Iterator[str]:
     """Cut a long text before a space or line break that has neither white space nor the text's end beside it.
 
@@ -57,17 +46,19 @@ def count_tokens(
     @F.arrow_udf("long")
     def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder(tokenizer)
-        split = encode.kind != "whole"
         for batch in batches:
-            texts = batch.to_pylist()
-            counts = []
-            for start, end in balanced([len(t) for t in texts], batch_bytes):
-                for t in texts[start:end]:
-                    if split and len(t) > batch_bytes:
-                        counts.append(sum(map(encode.count, safe_parts(t, batch_bytes))))
-                    else:
-                        counts.append(encode.count(t))
-            yield pa.array(counts, pa.int64())
+            parts, owners = [], []
+            for owner, t in enumerate(batch.to_pylist()):
+                # Code points: no part has more than four times as many bytes.
+                cut = list(safe_parts(t, batch_bytes)) if encode.kind != "whole" else [t]
+                parts += cut
+                owners += [owner] * len(cut)
+            sizes = [len(p.encode("utf-8", "surrogatepass")) for p in parts]
+            counts = [encode.counts(parts[a:b]) for a, b in balanced(sizes, batch_bytes)]
+            totals = np.zeros(len(batch), np.int64)
+            if counts:
+                np.add.at(totals, owners, np.concatenate(counts))
+            yield pa.array(totals)
 
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.withColumns({"n_bytes": F.octet_length(whole).cast("long"), "n_tokens": lengths(whole)}).withColumn(

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillmark.llm import pfor
-from tillmark.llm.pieces import encoder
+from tillmark.llm.pieces import balanced, encoder
 from tillmark.llm.registry import partitions
 
 # A segment is closed when it holds so many ids; one document is never divided between segments.
 SEGMENT_IDS = 1 << 20
+# Characters of the texts that are encoded at once, whatever their number.
+BATCH_CHARS = 1 << 21
 SEGMENTS = "part int, segment long, first_doc long, part_start long, n_ids long, image binary"
 
 
@@ -47,14 +49,18 @@ def _segments(tokenizer: str, end_id: int, percentile: float, segment_ids: int)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                coded = encode.ids(text) + end
-                ids.append(doc_id)
-                chunks.append(coded)
-                held += len(coded) // 4
-                ends.append(held)
-                if held >= segment_ids:
-                    yield close()
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in balanced(list(map(len, texts)), BATCH_CHARS):
+                values, counts = encode.batch(texts[a:b])
+                at = 0
+                for doc_id, count in zip(doc_ids[a:b], counts.tolist()):
+                    ids.append(doc_id)
+                    chunks += [values[at : at + count].tobytes(), end]
+                    at += count
+                    held += count + 1
+                    ends.append(held)
+                    if held >= segment_ids:
+                        yield close()
         if ids:
             yield close()
 
