@@ -15,6 +15,7 @@ MODULES = (
     "jaccard_query",
     "superminhash_query",
     "merkle_query",
+    "alignment_query",
 )
 
 

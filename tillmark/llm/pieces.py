@@ -13,7 +13,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,22 @@ class Kept:
         self.spent = 0
 
 
+class Memory(dict):
+    """Values of short pieces; a missing one is made, a long one every time. Emptied when full."""
+
+    def __init__(self, make: Callable[[str], object], most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, piece: str):
+        value = self.make(piece)
+        if len(piece) <= LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+            self[piece] = value
+        return value
+
+
 KEPT = Kept(BUDGET)
 
 
