@@ -121,7 +121,17 @@ def test_odd_rows(spark, documents):
     assert found(near_duplicates(documents([None, ""]))) == [(0, 0, 0), (1, 0, 1)]
     kept = keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, -1, 2, 3, 4, 4, 5, 11, 11, 12, 13]
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 3, 4, 5, 11, 11, 12, 13]
+
+
+def test_one_row_of_a_component_stays(spark, documents):
+    text = " ".join(f"w{i}" for i in range(30))
+    pairs = [(None, text)] * 4 + [(None, text + " x"), (None, "only this"), (7, "a b"), (7, "a b"), (7, "c d"), (None, None)]
+    pairs += [(None, None), (9, "")]
+    kept = keep_one(documents(pairs=pairs).withColumn("_id", F.lit(1)))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(None, min((text, text + " x"), key=lambda t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0]))]
+        + [(None, "only this"), (7, "a b"), (7, "c d"), (None, None), (None, None), (9, "")], key=repr)
 
 
 def test_components(spark):

@@ -6,16 +6,16 @@ lists of shingles that prefixes share are looked at:
 
 - Shingles that no other document holds come first in that order and need no list. Most documents have enough of them
   to fill their prefix and are done.
-- Index-level skipping: an entry carries the size of its set and its position there; entries whose sizes, or what is
-  left behind their positions, cannot reach the overlap needed are skipped.
-- Answer-level skipping: each class is first compared with one leader, the smallest class of its lists, and in some
-  rounds more with leaders of other groups. Classes that this already connects need no link among themselves, and a
-  list with one group left is closed. For two others with one leader, their distances to it bound their own (the
-  Jaccard distance is a metric), and what the bound excludes is derived, not computed.
-
-So a group of copies costs a few comparisons a member, not one a pair; what remains is compared exactly. How many
-documents hold a shingle is counted over all documents: map tasks send sorted blocks of hash prefixes to ranges of the
-hash, and shingles frequent inside a block are summed before they are sent.
+- Index-level skipping: lists are divided into blocks of sizes, and an entry is left out of a block whose sets its
+  position in its own set rules out. Blocks that cannot link never meet.
+- Answer-level skipping: each class of a block is compared with one leader. What the others have in common with each
+  other follows from their differences to a set that stands for the block (stars.py): the overlap of two sets is that
+  of their differences, corrected by their sizes. Most links need no common difference and are derived from weights
+  alone; for the others, only classes that share enough differences, rarest first, are compared.
+
+So a group of copies costs a few comparisons a member, not one a pair. How many documents hold a shingle is counted
+over all documents: map tasks send sorted blocks of hash prefixes to ranges of the hash, and shingles frequent inside a
+block are summed before they are sent.
 """
 
 from __future__ import annotations
@@ -27,19 +27,20 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
 from tillmark.llm.pieces import forget
 from tillmark.llm.registry import partitions, written
 from tillmark.llm.shingles import shingle_sets
+from tillmark.llm.stars import star_links
 from tillmark.session import fresh_dir
 
 # A shingle in more documents of a batch than this is sent as a sum.
 FREQUENT = 64
-# Rounds of comparisons with a leader before the rest is compared pair by pair.
-ROUNDS = 3
+# Similarity from which two documents link: P / Q.
+P, Q = 3, 4
 # Class ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 # Two 32-bit counts in front of each block.
@@ -306,123 +307,44 @@ def sets_of(docs: DataFrame, classes: DataFrame, described: DataFrame, text: str
     return chosen.mapInArrow(sets, "class long, set binary").dropDuplicates(["class"])
 
 
-def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add `shared` and `total` (sizes of intersection and union) to pairs of classes a and b."""
+def blocks(index: DataFrame) -> DataFrame:
+    """shingle, block and class: the lists of the prefixes' shingles, in blocks of sizes that may link.
 
-    @F.arrow_udf("struct<shared: long, total: long>")
-    def overlap(left: pa.Array, right: pa.Array) -> pa.Array:
-        shared, total = [], []
-        for x, y in zip(left.to_pylist(), right.to_pylist()):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            both = np.sort(np.concatenate([x, y]), kind="stable")
-            same = int(np.count_nonzero(both[1:] == both[:-1]))
-            shared.append(same)
-            total.append(len(both) - same)
-        return pa.StructArray.from_arrays([pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["shared", "total"])
-
-    a = sets.select(F.col("class").alias("a"), F.col("set").alias("_a"))
-    b = sets.select(F.col("class").alias("b"), F.col("set").alias("_b"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("_o", overlap("_a", "_b"))
-    kept = [c for c in pairs.columns if c not in ("a", "b")]
-    return both.select("a", "b", *kept, F.col("_o.shared").alias("shared"), F.col("_o.total").alias("total"))
-
-
-def _linked() -> Column:
-    return F.col("shared") * 100 >= F.col("total") * 75
-
-
-def _several(entries: DataFrame) -> DataFrame:
-    """Entries of lists that hold classes of several groups."""
-    lists = entries.groupBy("shingle").agg(F.min("group").alias("_low"), F.max("group").alias("_high"))
-    return entries.join(lists.where(F.col("_low") != F.col("_high")).select("shingle"), "shingle", "left_semi")
-
-
-def _regrouped(entries: DataFrame, links: DataFrame, path: str) -> DataFrame:
-    """Entries with the groups that links between groups lead to, of lists that still hold several; written.
-
-    A group takes the smallest number among its neighbours, and once more from there: what this doesn't join yet stays
-    open, and costs comparisons but no link.
+    Sizes fall into classes, each from 4/3 of the one before on. Sets that link are of one class or of neighbouring
+    ones, so an entry goes to the block of its own class and to the next, where it meets larger sets. There its place
+    decides: with i of its n elements passed, and partners of `least` elements or more, it is skipped unless
+    7 (n - i) >= 3 (n + least). Blocks whose sizes or places rule a link out thus never meet.
     """
-    a, b = links.columns
-    both = links.toDF("group", "to").unionByName(links.select(F.col(b).alias("group"), F.col(a).alias("to")))
-    step = both.groupBy("group").agg(F.min("to").alias("to")).where(F.col("to") < F.col("group"))
-    further = step.select(F.col("group").alias("to"), F.col("to").alias("_further"))
-    step = step.join(further, "to", "left").select("group", F.coalesce("_further", "to").alias("to"))
-    moved = entries.join(step, "group", "left").withColumn("group", F.coalesce("to", "group")).drop("to")
-    return written(_several(moved), path)
+    entries = index.select("class", "n", "alone", F.posexplode("shingles").alias("_i", "shingle"))
+    entries = entries.withColumns({"place": F.col("alone") + F.col("_i"), "_class": _size_class(F.col("n"))})
+    both = entries.withColumn("block", F.explode(F.array(F.col("_class"), F.col("_class") + 1)))
+    least = F.pow(F.lit(4 / 3), F.col("block"))
+    # A hair below, for the rounding of logarithms and powers.
+    reached = 7 * (F.col("n") - F.col("place")) >= 3 * (F.col("n") + least) * (1 - 1e-9)
+    return both.where((F.col("block") == F.col("_class")) | reached).select("shingle", "block", "class")
 
 
-def _similar_sizes(x: str, y: str) -> Column:
-    return 4 * F.least(x, y) >= 3 * F.greatest(x, y)
+def _size_class(n: Column) -> Column:
+    """The largest c with (4/3)^c <= n, or one less or more where rounding decides; equal sizes have equal classes."""
+    return F.floor(F.log(n) / F.log(F.lit(4 / 3)) + 1e-9).cast("int")
 
 
-def link_classes(docs: DataFrame, described: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def link_classes(docs: DataFrame, described: DataFrame, text: str = "text") -> DataFrame:
     """Roots of classes (node, root) that have a link to another class."""
     path = fresh_dir(docs.sparkSession, "jaccard")
     index = written(prefixes(docs, text), f"{path}/prefixes")
-    entries = index.select("class", "n", "alone", F.posexplode("shingles").alias("_i", "shingle")).select(
-        "shingle", "class", "n", (F.col("alone") + F.col("_i")).alias("place")
-    )
-    lists = entries.groupBy("shingle").agg(F.min("class").alias("leader"), F.max("class").alias("_last"))
+    entries = blocks(index)
+    lists = entries.groupBy("shingle", "block").agg(F.min("class").alias("leader"), F.max("class").alias("_last"))
     lists = lists.where(F.col("leader") != F.col("_last")).drop("_last")
-    entries = written(entries.join(lists, "shingle"), f"{path}/entries")
-    sets = written(sets_of(docs, entries.select("class").distinct(), described, text), f"{path}/sets", compression="none")
-    # First answers: every class with its leader, the smallest class that shares a list with it.
-    led = entries.groupBy(F.col("class").alias("a")).agg(F.min("leader").alias("b")).where(F.col("a") != F.col("b"))
-    led = written(compare(led, sets), f"{path}/led")
-    asked, links = led.select("a", "b"), led.where(_linked()).select("a", "b")
-    answered = led.select(
-        F.col("a").alias("class"), F.col("b").alias("led_by"), (1 - F.col("shared") / F.col("total")).alias("far")
-    )
-    entries = entries.join(answered, "class", "left").withColumn("group", F.col("class")).drop("leader")
-    entries = _regrouped(entries, links, f"{path}/open-0")
-    # More answers of the same kind for what is still open: each class with one of another group that leads one of its
-    # lists, another one each round. Every round costs one comparison a class and joins groups whose members differ too
-    # much from the first leader.
-    for number in range(1, rounds + 1):
-        if entries.isEmpty():
-            break
-        turn = F.xxhash64("class", F.lit(number))
-        heads = entries.groupBy("shingle").agg(
-            F.min_by(F.struct(F.col("class").alias("b"), F.col("n").alias("_n"), F.col("group").alias("_group")), turn).alias("_h")
-        )
-        met = entries.join(heads.select("shingle", "_h.*"), "shingle").where(
-            (F.col("group") != F.col("_group")) & _similar_sizes("n", "_n")
-        )
-        met = met.select(
-            F.greatest("class", "b").alias("a"), F.least("class", "b").alias("b"), F.col("class").alias("_class"),
-            F.when(F.col("class") > F.col("b"), F.col("group")).otherwise(F.col("_group")).alias("_group_a"),
-            F.when(F.col("class") > F.col("b"), F.col("_group")).otherwise(F.col("group")).alias("_group_b"),
-        )
-        met = met.join(asked, ["a", "b"], "left_anti")
-        one = met.groupBy("_class").agg(
-            F.min_by(F.struct("a", "b", "_group_a", "_group_b"), F.xxhash64("a", "b", F.lit(number))).alias("_p")
-        )
-        found = written(compare(one.select("_p.*").distinct(), sets), f"{path}/asked-{number}")
-        asked = asked.unionByName(found.select("a", "b"))
-        new = found.where(_linked())
-        links = links.unionByName(new.select("a", "b"))
-        entries = _regrouped(entries, new.select("_group_a", "_group_b"), f"{path}/open-{number}")
-    # Whatever is left is compared pair by pair, but for what sizes, places and the answers so far exclude.
-    x = entries.select("shingle", *[F.col(c).alias(f"x_{c}") for c in entries.columns if c != "shingle"])
-    y = entries.select("shingle", *[F.col(c).alias(f"y_{c}") for c in entries.columns if c != "shingle"])
-    left = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
-    excluded = F.col("x_led_by").eqNullSafe(F.col("y_led_by")) & (F.abs(F.col("x_far") - F.col("y_far")) > 0.25 + 1e-9)
-    pairs = x.join(y, "shingle").where(
-        (F.col("x_class") < F.col("y_class"))
-        & (F.col("x_group") != F.col("y_group"))
-        & _similar_sizes("x_n", "y_n")
-        & (7 * left >= 3 * (F.col("x_n") + F.col("y_n")))
-        & ~F.coalesce(excluded, F.lit(False))
-    )
-    pairs = pairs.select(F.col("y_class").alias("a"), F.col("x_class").alias("b")).distinct()
-    pairs = pairs.join(asked, ["a", "b"], "left_anti")
-    rest = written(compare(pairs, sets), f"{path}/rest").where(_linked()).select("a", "b")
-    return components(links.unionByName(rest))
+    stars = entries.join(lists, ["shingle", "block"]).where(F.col("class") != F.col("leader"))
+    stars = written(stars.select("leader", "class").distinct(), f"{path}/stars")
+    ends = stars.select("class").unionByName(stars.select(F.col("leader").alias("class"))).distinct()
+    sets = written(sets_of(docs, ends, described, text), f"{path}/sets", compression="none")
+    return components(star_links(stars, sets, P, Q, path))
 
 
 def _resolved(docs: DataFrame, text: str) -> DataFrame:
-    """What near_duplicates returns, with text_hash."""
+    """What near_duplicates returns, with text_hash and _root, which tells components apart (null without words)."""
     path = fresh_dir(docs.sparkSession, "near-duplicates")
     described = written(describe(docs, text), f"{path}/described")
     roots = link_classes(docs, described, text)
@@ -435,6 +357,7 @@ def _resolved(docs: DataFrame, text: str) -> DataFrame:
         "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"),
         "text_hash",
+        "_root",
     )
 
 
@@ -446,15 +369,28 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     Rows that share a doc_id are documents of their own. Rows without a doc_id link like others; a component of such
     rows alone has none. An empty table gives no rows; other columns are not read.
     """
-    return _resolved(docs, text).drop("text_hash")
+    return _resolved(docs, text).drop("text_hash", "_root")
 
 
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents without near duplicates: of each component those of the smallest doc_id.
+    """One document of each component: that of smallest doc_id, those without one last, then by a hash of the text.
 
-    Documents without words stay, as do rows without a doc_id. All columns stay.
+    Documents without words all stay. Of rows alike in doc_id and text one stays, whichever sorts first by a hash of
+    the other columns. All columns stay.
     """
-    found = _resolved(docs, text).where(F.col("doc_id") != F.col("component_id"))
-    dropped = found.select(F.col("doc_id").alias("_dropped"), F.col("text_hash").alias("_hash")).distinct()
-    same = (docs["doc_id"] == F.col("_dropped")) & (F.xxhash64(docs[text]) == F.col("_hash"))
-    return docs.join(dropped, same, "left_anti")
+    found = _resolved(docs, text).where(F.col("_root").isNotNull())
+    found = written(found, f"{fresh_dir(docs.sparkSession, 'keep-one')}/rows")
+    key = F.struct(F.col("doc_id").isNull().alias("_last"), "doc_id", "text_hash")
+    first = found.groupBy("_root").agg(F.min(key).alias("_first")).select("_root", "_first.doc_id", "_first.text_hash")
+    rows = found.groupBy("_root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in ("_root", "doc_id", "text_hash")]
+    others = rows.alias("r").join(first.alias("f"), same, "left_anti")
+    dropped = others.select(F.col("doc_id").alias("_keep_for"), F.col("text_hash").alias("_keep_of"))
+    again = rows.where("_rows > 1").select(F.col("doc_id").alias("_keep_for"), F.col("text_hash").alias("_keep_of"))
+    marked = docs.withColumns({"_keep_id": F.col("doc_id").cast("long"), "_keep_hash": F.xxhash64(F.col(f"`{text}`"))})
+    match = F.col("_keep_id").eqNullSafe(F.col("_keep_for")) & (F.col("_keep_hash") == F.col("_keep_of"))
+    kept = marked.join(dropped, match, "left_anti")
+    repeated = kept.join(again, match, "left_semi")
+    alike = Window.partitionBy("_keep_id", "_keep_hash").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    repeated = repeated.withColumn("_keep_rank", F.row_number().over(alike)).where("_keep_rank = 1")
+    return kept.join(again, match, "left_anti").select(*docs.columns).unionByName(repeated.select(*docs.columns))

@@ -27,6 +27,8 @@ from tillmark.llm.registry import written
 
 # Members of one star that meet its set in one task; larger stars are dealt over several.
 MEMBERS = 2_000
+# Large stars whose numbers of parts are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def _numbers(data: bytes) -> np.ndarray:
@@ -41,6 +43,9 @@ def beside(pairs: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (leader, class, ...) with `_head`, the set of the leader in heads (leader, set), and `_own`, that of the class."""
     counts = pairs.groupBy("leader").agg(F.floor(F.count(F.lit(1)) / MEMBERS).cast("int").alias("_more"))
     large = counts.where(F.col("_more") > 0)
+    # One row for each MEMBERS pairs at most.
+    if large.count() <= BROADCAST_ROWS:
+        large = F.broadcast(large)
     dealt = pairs.join(large, "leader", "left").withColumn(
         "_part", F.pmod(F.xxhash64("class"), F.coalesce("_more", F.lit(0)) + 1).cast("int")
     )
