@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tillmark.operators import integrity
 from tillmark.operators import quality as q
 from tillmark.operators.history import change_history, snapshot_diff, status_transitions
 from tillmark.operators.integrity import reference_violations, reject_rows, split_by_references, split_missing_key
@@ -182,6 +183,23 @@ def test_missing_keys_and_rejects(spark):
     ]
 
 
+@pytest.mark.parametrize("few", [0, 1, 1000])
+def test_references_by_broadcast_and_by_counted_keys(spark, monkeypatch, few):
+    monkeypatch.setattr(integrity, "BROADCAST_KEYS", few)
+    rows = [(i, None if i % 7 == 0 else f"k{i % 5}", None if i % 11 == 0 else i % 4) for i in range(60)]
+    child = spark.createDataFrame(rows, "id int, fk string, number int")
+    texts = spark.createDataFrame([("k0",), ("k1",), ("k1",), ("k2",)], "pk string")
+    numbers = spark.createDataFrame([(1,)], "pk int")
+    references = {"fk": (texts, "pk"), "number": (numbers, "pk")}
+    lost = [("fk", k) for _, k, _ in rows if k in ("k3", "k4")] + [("number", str(n)) for *_, n in rows if n in (0, 2, 3)]
+    want = sorted((fk, key, lost.count((fk, key))) for fk, key in set(lost))
+    assert sorted(collected(reference_violations(child, references))) == want
+    passed, held = split_by_references(child, references)
+    bad = {i for i, k, n in rows if k in ("k3", "k4") or n in (0, 2, 3)}
+    assert {r.id for r in held.collect()} == bad and held.count() == len(bad)
+    assert {r.id for r in passed.collect()} == set(range(60)) - bad and passed.count() == 60 - len(bad)
+
+
 def test_references(spark):
     child = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (4, "x")], "id int, fk string")
     parent = spark.createDataFrame([("a",), ("b",)], "pk string")

@@ -323,6 +323,41 @@ def test_quarantine_holds_back_only_broken_rows_and_retries_them(spark, raw, roo
     assert Gold(spark, root).read("fact_sales").count() == 5
 
 
+def test_a_run_that_fails_on_broken_references_leaves_nothing_held_back(spark, raw, root):
+    first_drop(raw)
+    raw("orders", TWO, "order_id,customer_id,store_id,order_date,payment_method,status\nO9,C7,S1,2026-07-08,cod,pending\n")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    gold = Gold(spark, root)
+    assert {r.order_item_id for r in gold.held_back().collect()} == {"I6"}
+    with pytest.raises(BrokenReferenceError):
+        medallion.run(spark, raw.dir, root, on_violation="fail")
+    assert gold.held_back().count() == 1
+    raw("customers", TWO, "customer_id,name,email,phone,city,join_date,segment\nC7,Eve,,,Oslo,,Gold\n")
+    medallion.run(spark, raw.dir, root, on_violation="fail")
+    assert gold.held_back().count() == 0 and gold.read("fact_sales").count() == 5
+    runs = gold.table("fact_sales").last_run()
+    medallion.run(spark, raw.dir, root, on_violation="fail")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    assert gold.table("fact_sales").last_run() == runs
+
+
+def test_a_build_cut_off_at_its_merge_is_repeated(spark, raw, root, monkeypatch):
+    first_drop(raw)
+    raw("orders", TWO, "order_id,customer_id,store_id,order_date,payment_method,status\nO9,C7,S1,2026-07-08,cod,pending\n")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    raw("customers", TWO, "customer_id,name,email,phone,city,join_date,segment\nC7,Eve,,,Oslo,,Gold\n")
+    ingest_all(spark, root, raw.dir)
+    transform_all(spark, root)
+    Gold(spark, root).build_dims()
+    with monkeypatch.context() as patch:
+        patch.setattr("tillmark.plans.gold.KeyedTable.merge", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            Gold(spark, root).build_fact("fail")
+    assert Gold(spark, root).held_back().count() == 1
+    medallion.run(spark, raw.dir, root, on_violation="fail")
+    assert Gold(spark, root).held_back().count() == 0 and Gold(spark, root).read("fact_sales").count() == 5
+
+
 def test_tenant_folder():
     assert tenant_dir("/data/raw/", "acme") == "/data/raw/acme"
 

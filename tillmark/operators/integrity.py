@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.cleaning import stripped
-from tillmark.session import fresh_dir
+from tillmark.session import fresh_dir, side_by_side
 
 MISSING_KEY = "missing_primary_key"
+# Keys of a parent table that are broadcast at most; the keys of a larger one meet the child by a shuffle.
+BROADCAST_KEYS = 1_000_000
 
 
 def has_key(key: Sequence[str], cleaned: bool = False) -> Column:
@@ -44,49 +46,85 @@ def reject_rows(df: DataFrame, table: str, reason: str, rejected_at: Column) ->
     )
 
 
-def reference_violations(child: DataFrame, references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+References = Mapping[str, tuple[DataFrame, str]]
+
+
+def _parent_keys(references: References) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The distinct keys of each reference's parent, as column ``_key``: (those to broadcast, the others).
+
+    The check counts no further than the bound.
+    """
+    keys = {fk: parent.select(F.col(pk).alias("_key")) for fk, (parent, pk) in references.items()}
+    counts = side_by_side(lambda k: k.limit(BROADCAST_KEYS + 1).count(), keys.values())
+    few = {fk for fk, n in zip(keys, counts) if n <= BROADCAST_KEYS}
+    small = {fk: F.broadcast(keys[fk].distinct()) for fk in keys if fk in few}
+    return small, {fk: keys[fk] for fk in keys if fk not in few}
+
+
+def _with_flags(child: DataFrame, small: Mapping[str, DataFrame]) -> DataFrame:
+    """The child with ``_broken_{fk}`` for the parents that are broadcast: one pass, and nothing is shuffled."""
+    for fk, keys in small.items():
+        there = keys.select(F.col("_key").alias(f"_key_{fk}"))
+        child = child.join(there, F.col(fk) == F.col(f"_key_{fk}"), "left").withColumn(
+            f"_broken_{fk}", F.col(fk).isNotNull() & F.col(f"_key_{fk}").isNull()
+        )
+    return child
+
+
+def _counted(child: DataFrame, fk: str, keys: DataFrame) -> DataFrame:
+    """Keys without a parent and how many rows have them. They are counted in their own type before the join, so a hot
+    key reaches it as one row."""
+    used = child.select(F.col(fk).alias("_key")).where("_key IS NOT NULL").groupBy("_key")
+    return used.agg(F.count(F.lit(1)).alias("row_count")).join(keys, "_key", "left_anti")
+
+
+def reference_violations(child: DataFrame, references: References) -> DataFrame:
     """All broken references of a table: (fk, key_value as text, row_count). NULL passes.
 
-    The child is read once. Its keys are counted before the join, so a hot key reaches it as one row.
+    Parents of few keys are looked up in one pass over the child, of which only broken keys go on. A larger parent is
+    joined with the counted keys of its column.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("key_value")) for fk in references]
-    )
-    used = (
-        child.select(F.explode(pairs).alias("_pair"))
-        .select("_pair.fk", "_pair.key_value")
-        .where("key_value IS NOT NULL")
-        .groupBy("fk", "key_value")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
-    known = [
-        parent.select(F.lit(fk).alias("fk"), F.col(pk).cast("string").alias("key_value"))
-        for fk, (parent, pk) in references.items()
+    small, large = _parent_keys(references)
+    found = [
+        _counted(child, fk, keys).select(F.lit(fk).alias("fk"), F.col("_key").cast("string").alias("key_value"), "row_count")
+        for fk, keys in large.items()
     ]
-    return used.join(reduce(DataFrame.unionByName, known), ["fk", "key_value"], "left_anti")
+    if small:
+        broken = [
+            F.when(F.col(f"_broken_{fk}"), F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("key_value")))
+            for fk in small
+        ]
+        flagged = _with_flags(child.select(*small), small)
+        pairs = flagged.where(reduce(Column.__or__, [F.col(f"_broken_{fk}") for fk in small])).select(
+            F.explode(F.array_compact(F.array(*broken))).alias("_pair")
+        )
+        found.append(pairs.groupBy("_pair.fk", "_pair.key_value").agg(F.count(F.lit(1)).alias("row_count")))
+    return reduce(DataFrame.unionByName, found)
 
 
-def flag_broken(child: DataFrame, references: Mapping[str, tuple[DataFrame, str]], out: str = "_broken") -> DataFrame:
+def flag_broken(child: DataFrame, references: References, out: str = "_broken") -> DataFrame:
     """The child with ``out``: whether any of its references has no parent row.
 
-    Broken keys are found first and written out; being few as a rule, Spark then broadcasts them by their size.
+    Broken keys of large parents are found first and written out; references without any are not joined, and being few
+    as a rule, the keys of the others are broadcast by their size.
     """
     spark = child.sparkSession
-    path = fresh_dir(spark, "broken-keys")
-    reference_violations(child, references).write.parquet(path)
-    broken = spark.read.schema("fk string, key_value string").parquet(path)
-    flagged, flags = child, []
-    for fk in references:
-        keys = broken.where(F.col("fk") == fk).select(
-            F.col("key_value").alias(f"_key_{fk}"), F.lit(True).alias(f"_broken_{fk}")
-        )
-        flagged = flagged.join(keys, F.col(fk).cast("string") == F.col(f"_key_{fk}"), "left")
-        flags.append(F.col(f"_broken_{fk}").isNotNull())
-    return flagged.select(*child.columns, reduce(Column.__or__, flags).alias(out))
+    small, large = _parent_keys(references)
+    flagged = _with_flags(child, small)
+    flags = [F.col(f"_broken_{fk}") for fk in small]
+    for fk, keys in large.items():
+        path = fresh_dir(spark, "broken-keys")
+        _counted(child, fk, keys).select("_key").write.parquet(path)
+        broken = spark.read.schema(keys.schema).parquet(path)
+        if not broken.isEmpty():
+            broken = broken.select(F.col("_key").alias(f"_lost_{fk}"))
+            flagged = flagged.join(broken, F.col(fk) == F.col(f"_lost_{fk}"), "left")
+            flags.append(F.col(f"_lost_{fk}").isNotNull())
+    return flagged.select(*child.columns, reduce(Column.__or__, flags, F.lit(False)).alias(out))
 
 
 def split_by_references(
-    child: DataFrame, references: Mapping[str, tuple[DataFrame, str]]
+    child: DataFrame, references: References
 ) -> tuple[DataFrame, DataFrame]:
     """(rows whose references all resolve or are NULL, the other rows)."""
     flagged = flag_broken(child, references)

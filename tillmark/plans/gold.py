@@ -216,14 +216,13 @@ class Gold:
             return
         table = self.table("fact_sales")
         run = table.last_run() + 1
-        # The join is written out once; checks and merge read it back column by column.
-        staged = f"{self.root}/gold/fact_sales_staged/run={run}"
+        # The join is written out once, in place of the last build's; checks and merge read it back column by column.
+        staged = f"{self.root}/gold/fact_sales_staged"
         self._changed_sales(done).write.mode("overwrite").parquet(staged)
         sales = self.spark.read.schema(FACT_SALES).parquet(staged)
         references = fact_references({name: self.read(name) for name in DIMENSIONS})
         if on_violation == "quarantine":
             sales, broken = split_by_references(sales, references)
-            broken.write.mode("overwrite").parquet(f"{self.root}/gold/fact_sales_quarantine/run={run}")
         else:
             example = reference_violations(sales, references).first()
             if example is not None:
@@ -231,5 +230,10 @@ class Gold:
                     f"fact_sales.{example.fk} = {example.key_value!r} has no dimension row "
                     f"({example.row_count} fact rows)"
                 )
+            # All sales that were held back are among these: none is left.
+            broken = None if pending is None else no_rows(self.spark, FACT_SALES)
         table.merge(sales, run)
+        # After the merge: a build cut off before this still finds what it had to retry.
+        if broken is not None:
+            broken.write.mode("overwrite").parquet(f"{self.root}/gold/fact_sales_quarantine/run={run}")
         self._set_mark("fact", now)
