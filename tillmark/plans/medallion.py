@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tillmark.plans.bronze import ingest_all
 from tillmark.plans.gold import CALENDAR, TABLE_KEYS, Gold
 from tillmark.plans.silver import Silver, transform_all
-from tillmark.plans.views import all_views, create_views
+from tillmark.plans.upkeep import KeptViews
+from tillmark.plans.views import all_views, create_views, register
 from tillmark.session import configure, side_by_side
 from tillmark.specs import TABLES
 
@@ -38,12 +39,14 @@ def run(
     root: str,
     on_violation: str = "fail",
     calendar: tuple[str, str] = CALENDAR,
+    kept_views: bool = False,
 ) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
     """Bring the warehouse below ``root`` up to date with the drops in ``raw_dir``.
 
     Returns ingest statistics, transform statistics and the views. Running again without new files
     changes nothing. With ``quarantine``, sales of a day outside the calendar are held back until a
-    run with a calendar that has it; Gold.held_back() lists what is held back.
+    run with a calendar that has it; Gold.held_back() lists what is held back. With ``kept_views`` the views come from
+    stored sums that take in what this run changed, else from the whole fact table when they are read.
     """
     configure(spark)
     ingested = ingest_all(spark, root, raw_dir)
@@ -52,5 +55,8 @@ def run(
     gold.build_dims()
     gold.build_fact(on_violation)
     star = star_schema(gold)
-    create_views(star)
-    return ingested, transformed, all_views(star)
+    if kept_views:
+        KeptViews(gold).refresh()
+    found = KeptViews(gold).views(star) if kept_views else all_views(star)
+    register(found)
+    return ingested, transformed, found

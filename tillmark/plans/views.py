@@ -97,6 +97,10 @@ VIEW_NAMES = (
 )
 
 
-def create_views(star: Mapping[str, DataFrame]) -> None:
-    for name, df in all_views(star).items():
+def register(found: Mapping[str, DataFrame]) -> None:
+    for name, df in found.items():
         df.createOrReplaceTempView(name)
+
+
+def create_views(star: Mapping[str, DataFrame]) -> None:
+    register(all_views(star))

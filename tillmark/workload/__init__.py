@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("star", "cleaning", "state", "ingest", "quality", "audit")
+MODULES = ("star", "cleaning", "state", "ingest", "quality", "audit", "upkeep")
 
 
 def load_all() -> None:
