@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillmark.llm import alignment, alignment_query  # noqa: F401 - registers the query
-from tillmark.llm.alignment import Pieces, alignments, byte_letters, heavy_from
+from tillmark.llm.alignment import Pieces, alignments, heavy_from
+from tillmark.llm.pieces import byte_letters
 from tillmark.llm.registry import QUERIES
 
 from .conftest import SF
@@ -24,7 +25,7 @@ NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "
 def plain(rows):
     one, two = Tokenizer.from_file(BYTE), sentencepiece.SentencePieceProcessor(model_file=PIECE)
     one.encode_special_tokens = True
-    letters = byte_letters()
+    letters = {c: b for b, c in byte_letters().items()}
 
     def bytes_b(i):
         piece = two.id_to_piece(i)
@@ -97,7 +98,8 @@ def test_long_texts_are_encoded_in_parts(monkeypatch):
     monkeypatch.setattr(alignment, "PART_CHARS", 40)
     side = Pieces(PIECE)
     random.seed(3)
-    texts = ["".join(random.choices([*ODD, " the", " word", "\nnew"], k=400)) for _ in range(40)] + ["x" * 500, "a b " * 300]
+    texts = ["".join(random.choices([*ODD, " the", " word", "\nnew", "▁"], k=400)) for _ in range(40)]
+    texts += ["x" * 500, "a b " * 300, " lead" * 40]
     assert [ids.tolist() for ids in side.ids(texts)] == [side.model.encode(t) for t in texts]
 
 

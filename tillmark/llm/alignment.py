@@ -4,15 +4,17 @@ Both tokenizers cut the same bytes. A dictionary for each leads from the byte wh
 in both dictionaries, sorted, slice the two id lists into groups, and every token of one side is linked with every
 token of the other side of its group.
 
-Documents are aligned once: what is written are their figures and, packed, the different id pairs of their links with how
-often each occurs; each Arrow batch also gives the pairs it holds with the number of its documents, so that few rows are
-summed over the corpus. The sums come back to the documents in two ways. The most frequent pairs, at most `HEAVY`, are
-sent to all tasks as sorted arrays. All others are rare, so that joining them by pair has no hot key.
+What is written of a document are its figures and, packed, the different id pairs of its links with how often each
+occurs; each batch also gives the pairs it holds with the number of its documents, so that few rows are summed over the
+corpus. The sums come back to the documents in two ways. The most frequent pairs, at most `HEAVY`, are sent to all tasks
+as sorted arrays. All others are rare, so that joining them by pair has no hot key.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,17 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.pieces import balanced, encoder
+from tillmark.llm.pieces import balanced, byte_letters, encoder
 from tillmark.llm.registry import written
-from tillmark.llm.token_count import safe_parts
 from tillmark.session import fresh_dir
 
 # Pairs whose sums are sent to all tasks: 17 bytes each.
 HEAVY = 1 << 19
-# Characters of the texts that are aligned at once, and from which a text is encoded in parts.
+# Characters of the texts that are aligned at once, and from which a text goes to sentencepiece in parts.
 BATCH_CHARS, PART_CHARS = 1 << 20, 1 << 17
-# Links of a group that are listed one by one; in larger groups ids are counted first.
+# Links of a group that are listed one by one at most; in a larger group ids are counted first.
 LISTED = 4096
+# A single space between what is not white.
+_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 ROWS = (
@@ -40,34 +43,33 @@ ROWS = (
 )
 
 
-def byte_letters() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for: printable Latin-1 stays, the rest moves up."""
-    stay = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    moved = [b for b in range(256) if b not in set(stay)]
-    return {chr(b): b for b in stay} | {chr(256 + i): b for i, b in enumerate(moved)}
-
-
 class Side:
-    """One tokenizer: its ids for texts, and the bytes and decimal text of each id."""
+    """One tokenizer: its ids for texts, and the bytes of each id."""
 
-    def __init__(self, spelled: list[bytes]):
+    def __init__(self, spelled: list[bytes], close: str):
         self.spelled = spelled
         self.sizes = np.array([len(s) for s in spelled], np.int64)
-        self.decimal = [str(i) for i in range(len(spelled))]
+        # The decimal text of each id inside a group, and at the end of this side of a group.
+        self.decimal = [f"{i}{mark}" for i in range(len(spelled)) for mark in (",", close)]
+
+    def gives(self, ids: np.ndarray, whole: bytes) -> bool:
+        """Whether the bytes of the ids are these."""
+        return int(self.sizes[ids].sum()) == len(whole) and b"".join(map(self.spelled.__getitem__, ids.tolist())) == whole
 
 
 class ByteLevel(Side):
     """A byte-level tokenizer file of the tokenizers library; a space is put before the text."""
 
     def __init__(self, path: str):
-        self.encoder = encoder(path, plain_specials=True)
-        letters, tokenizer = byte_letters(), self.encoder.tokenizer
+        self.path = path
+        letters = {c: b for b, c in byte_letters().items()}
+        tokenizer = encoder(path, plain_specials=True).tokenizer
         tokens = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
-        super().__init__([bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode() for t in tokens])
+        super().__init__([bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode() for t in tokens], "|")
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        flat, counts = self.encoder.batch([" " + t for t in texts])
-        return np.split(flat.astype(np.int64), np.cumsum(counts)[:-1])
+        coded = encoder(self.path, plain_specials=True).batch([" " + t for t in texts])
+        return [np.frombuffer(ids, "<u4").astype(np.int64) for ids in coded]
 
 
 class Pieces(Side):
@@ -79,36 +81,34 @@ class Pieces(Side):
         self.model = SentencePieceProcessor(model_file=path)
         count = self.model.get_piece_size()
         pieces = [self.model.id_to_piece(i) for i in range(count)]
-        super().__init__(
-            [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        )
-        # A text may be cut before a space only if no piece goes on behind one.
+        spelled = [
+            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
+        ]
+        super().__init__(spelled, ";")
+        # A text may be cut before a single space only if no piece goes on behind one.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         parts, sizes = [], []
         for t in texts:
-            first, *others = _space_parts(t) if self.cuts and len(t) > PART_CHARS else [t]
-            # The space that a further part starts with is put there by the model.
-            own = [first, *(p[1:] for p in others)]
+            own = list(space_parts(t, PART_CHARS)) if self.cuts and len(t) > PART_CHARS and "▁" not in t else [t]
             parts += own
             sizes.append(len(own))
-        coded = [np.array(ids, np.int64) for ids in self.model.encode(parts, num_threads=1)]
+        coded = [np.frombuffer(array("q", ids), np.int64) for ids in self.model.encode(parts, num_threads=1)]
         ends = np.cumsum(sizes).tolist()
         return [np.concatenate(coded[end - size : end]) for end, size in zip(ends, sizes)]
 
 
-def _space_parts(text: str) -> Iterator[str]:
-    """A long text in parts, all but the first of which start with a single space."""
-    held = ""
-    for part in safe_parts(text, PART_CHARS):
-        if held and part[0] != " ":
-            held += part
-            continue
-        if held:
-            yield held
-        held = part
-    yield held
+def space_parts(text: str, limit: int) -> Iterator[str]:
+    """A long text without the single spaces at which it is cut; a part grows until there is one."""
+    start = 0
+    while len(text) - start > limit:
+        found = _SPACE.search(text, start + limit)
+        if not found:
+            break
+        yield text[start : found.start()]
+        start = found.end()
+    yield text[start:]
 
 
 @lru_cache(maxsize=4)
@@ -124,8 +124,8 @@ def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     return [at_a[e] for e in common], [at_b[e] for e in common]
 
 
-def expanded(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of all groups, as pairs a << shift | b with how often each is meant; a pair may come several times."""
+def expanded(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, shift: int) -> tuple[np.ndarray, ...]:
+    """Links of all groups: group, pair (a << shift | b) and how often it is meant; a pair may come several times."""
     from_a, from_b = np.append(0, i[:-1]), np.append(0, j[:-1])
     size_a, size_b = i - from_a, j - from_b
     links = size_a * size_b
@@ -135,13 +135,14 @@ def expanded(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, shift:
     wide = np.repeat(size_b[small], each)
     own_a = a[np.repeat(from_a[small], each) + within // wide]
     own_b = b[np.repeat(from_b[small], each) + within % wide]
-    pairs, times = [own_a << shift | own_b], [np.ones(len(within), np.int64)]
+    groups, pairs, times = [np.repeat(small, each)], [own_a << shift | own_b], [np.ones(len(within), np.int64)]
     for g in np.flatnonzero(links > LISTED).tolist():
         ids_a, held_a = np.unique(a[from_a[g] : i[g]], return_counts=True)
         ids_b, held_b = np.unique(b[from_b[g] : j[g]], return_counts=True)
         pairs.append((ids_a[:, None] << shift | ids_b[None, :]).ravel())
         times.append((held_a[:, None] * held_b[None, :]).ravel())
-    return np.concatenate(pairs), np.concatenate(times)
+        groups.append(np.full(len(pairs[-1]), g))
+    return np.concatenate(groups), np.concatenate(pairs), np.concatenate(times)
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,55 +155,80 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(values[order], first)
 
 
+class Aligner:
+    def __init__(self, byte_level: str, pieces: str):
+        self.a, self.b = sides(byte_level, pieces)
+        self.shift = len(self.b.spelled).bit_length()
+
+    def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text n_a, n_b, n_groups, n_links and the hash of its groups; and of all: the document, pair and times
+        of its different links."""
+        figures, digests = np.zeros((len(texts), 4), np.int64), [""] * len(texts)
+        asked = [k for k, t in enumerate(texts) if t]
+        some = [texts[k] for k in asked]
+        right, ids_a, ids_b = [], [], []
+        for k, text, a, b in zip(asked, some, self.a.ids(some), self.b.ids(some)):
+            whole = (" " + text).encode("utf-8")
+            if self.a.gives(a, whole) and self.b.gives(b, whole):
+                right.append(k)
+                ids_a.append(a)
+                ids_b.append(b)
+        if not right:
+            none = np.empty(0, np.int64)
+            return figures, digests, none, none, none
+        # Where each text ends in the tokens of both sides.
+        last_a, last_b = np.cumsum(list(map(len, ids_a))), np.cumsum(list(map(len, ids_b)))
+        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
+        common = [
+            common_ends(np.cumsum(self.a.sizes[x]).tolist(), np.cumsum(self.b.sizes[y]).tolist()) for x, y in zip(ids_a, ids_b)
+        ]
+        of_text = np.repeat(np.arange(len(right)), [len(c[0]) for c in common])
+        i = np.concatenate([np.frombuffer(array("q", c[0]), np.int64) for c in common]) + np.append(0, last_a)[of_text]
+        j = np.concatenate([np.frombuffer(array("q", c[1]), np.int64) for c in common]) + np.append(0, last_b)[of_text]
+        group, pairs, times = expanded(a, b, i, j, self.shift)
+        links = np.bincount(of_text[group], times, len(right))
+        figures[right] = np.stack(
+            [np.diff(last_a, prepend=0), np.diff(last_b, prepend=0), np.bincount(of_text, minlength=len(right)), links], 1
+        )
+        keys, times = _summed(of_text[group] << 40 | pairs, times)
+        spelled = self._spelled(a, b, i, j)
+        ends = (last_a + last_b).tolist()
+        for k, start, end in zip(right, [0, *ends], ends):
+            # The last mark stands behind the last group.
+            digests[k] = hashlib.sha256("".join(spelled[start:end])[:-1].encode()).hexdigest()
+        return figures, digests, np.array(right)[keys >> 40], keys & (1 << 40) - 1, times
+
+    def _spelled(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[str]:
+        """The tokens of each group, those of A then those of B, each with the mark behind it."""
+        at_a, at_b = np.arange(len(a)), np.arange(len(b))
+        group_a, group_b = np.searchsorted(i, at_a, "right"), np.searchsorted(j, at_b, "right")
+        codes_a, codes_b = 2 * a, 2 * b
+        codes_a[i - 1] += 1
+        codes_b[j - 1] += 1
+        out = np.empty(len(a) + len(b), object)
+        out[at_a + np.append(0, j)[group_a]] = list(map(self.a.decimal.__getitem__, codes_a.tolist()))
+        out[at_b + i[group_b]] = list(map(self.b.decimal.__getitem__, codes_b.tolist()))
+        return out.tolist()
+
+
 def _documents(byte_level: str, pieces: str):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side_a, side_b = sides(byte_level, pieces)
-        shift = len(side_b.spelled).bit_length()
+        aligner = Aligner(byte_level, pieces)
         for batch in batches:
             doc_ids, every = batch.column(0), batch.column(1).to_pylist()
             for start, end in balanced(list(map(len, every)), BATCH_CHARS):
-                yield from _aligned(doc_ids.slice(start, end - start), every[start:end], side_a, side_b, shift)
+                figures, digests, doc, pairs, times = aligner.documents(every[start:end])
+                ends = np.searchsorted(doc, np.arange(1, end - start)).tolist()
+                packed = [[x.astype("<i8").tobytes() for x in np.split(column, ends)] for column in (pairs, times)]
+                nothing = [None] * (end - start)
+                yield _batch(doc_ids.slice(start, end - start), *figures.T, digests, *packed, nothing, nothing)
+                if len(pairs):
+                    pairs, documents = np.unique(pairs, return_counts=True)
+                    yield _batch(*[[None] * len(pairs)] * 8, pairs, documents)
 
     return align
 
 
-def _aligned(doc_ids: pa.Array, texts: list[str], side_a: Side, side_b: Side, shift: int) -> Iterator[pa.RecordBatch]:
-    figures, digests, packed, times, held = [], [], [], [], []
-    for text, a, b in zip(texts, side_a.ids(texts), side_b.ids(texts)):
-        whole = (" " + text).encode("utf-8")
-        ends_a, ends_b = np.cumsum(side_a.sizes[a]), np.cumsum(side_b.sizes[b])
-        if not (
-            text
-            and len(whole) == ends_a[-1] == ends_b[-1]
-            and whole == b"".join(map(side_a.spelled.__getitem__, a.tolist()))
-            and whole == b"".join(map(side_b.spelled.__getitem__, b.tolist()))
-        ):
-            figures.append((0, 0, 0, 0))
-            digests.append("")
-            packed.append(b"")
-            times.append(b"")
-            continue
-        i, j = common_ends(ends_a.tolist(), ends_b.tolist())
-        words_a = list(map(side_a.decimal.__getitem__, a.tolist()))
-        words_b = list(map(side_b.decimal.__getitem__, b.tolist()))
-        groups = [
-            f"{','.join(words_a[p:q])}|{','.join(words_b[r:s])}" for p, q, r, s in zip([0, *i], i, [0, *j], j)
-        ]
-        digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
-        i, j = np.array(i), np.array(j)
-        pairs, counts = _summed(*expanded(a, b, i, j, shift))
-        figures.append((len(a), len(b), len(i), int(counts.sum())))
-        packed.append(pairs.astype("<u8").tobytes())
-        times.append(counts.astype("<u8").tobytes())
-        held.append(pairs)
-    nothing = [None] * len(texts)
-    yield _batch(doc_ids, *map(list, zip(*figures)), digests, packed, times, nothing, nothing)
-    if held:
-        pairs, documents = np.unique(np.concatenate(held), return_counts=True)
-        nothing = [None] * len(pairs)
-        yield _batch(*[nothing] * 8, pairs, documents)
-
-
 def _batch(*columns) -> pa.RecordBatch:
     types = [pa.int64()] * 5 + [pa.string(), pa.binary(), pa.binary()] + [pa.int64()] * 2
     names = ["doc_id", *FIGURES, "groups_sha256", "pairs", "times", "pair", "held"]

@@ -38,9 +38,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int
         for batch in batches:
             texts, coded = batch.column(1).to_pylist(), []
             for start, stop in balanced(list(map(len, texts)), BATCH_CHARS):
-                values, counts = encode.batch(texts[start:stop])
-                parts = np.split(values, np.cumsum(counts)[:-1])
-                coded += [p.tobytes() + end for p in parts]
+                coded += [ids + end for ids in encode.batch(texts[start:stop])]
             crcs = [[zlib.crc32(c[i : i + step]) for i in range(0, len(c), step)] for c in coded]
             yield pa.RecordBatch.from_arrays(
                 [

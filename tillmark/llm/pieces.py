@@ -1,10 +1,10 @@
 """Token ids of batches of texts through the tokenizers library, each distinct piece of text encoded once.
 
 A tokenizer first cuts a text into words, and its merges never cross a cut. So a text may be cut beforehand wherever the
-tokenizer cuts anyway (here at spaces and line breaks), and the ids of a piece depend on nothing else. The pieces of a
-batch are dictionary-encoded, one call of the library encodes those that are new, and the ids of the texts are gathered
-from the dictionary's. A worker keeps short pieces for its next batches, within a budget of bytes that all its encoders
-share; what is kept changes the time taken but no result.
+tokenizer cuts anyway (here at spaces and line breaks), and the ids of a piece depend on nothing else. The different pieces of a
+batch that are new are encoded together, and the ids of the texts are put together from theirs. A worker keeps short
+pieces for its next batches, within a budget of bytes that all its encoders share; what is kept changes the time taken
+but no result.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterable
-
-import numpy as np
-import pyarrow as pa
+from itertools import chain
 
 # Spark's tasks are what runs in parallel.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -24,17 +22,28 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer  # noqa: E402
 
 # Bytes of pieces that a worker keeps, and the longest piece kept.
-BUDGET, LONGEST = 32 << 20, 64
+BUDGET, LONGEST = 160 << 20, 64
 # What an entry of a dict costs besides its characters and ids.
 _ENTRY = 200
 # Letters that lower-casing and composition map to one letter, then punctuation without an apostrophe.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # A space or line break that another white space or the text's end follows.
 _RUN = re.compile(r"[ \n](?:\s|\Z)")
 # Where a text with such runs may be cut: the space goes, line breaks stay with what follows.
 _CUT = re.compile(r" (?=\S)|(?<=\S)(?=\n)")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 stays, the rest moves up."""
+    stay = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    moved = [b for b in range(256) if b not in set(stay)]
+    return {b: chr(b) for b in stay} | {b: chr(256 + i) for i, b in enumerate(moved)}
+
+
+_SPELLING = byte_letters()
+
+
 def as_bytes(ids: Iterable[int]) -> bytes:
     """Little-endian unsigned 32-bit integers."""
     packed = array("I", ids)
@@ -42,29 +51,34 @@ def as_bytes(ids: Iterable[int]) -> bytes:
 
 
 class Kept:
-    """Ids of pieces by encoder, within one budget: emptied when it is spent."""
+    """Ids of pieces by encoder, within one budget of bytes: emptied when a batch has spent it. Long pieces are kept for
+    their batch only."""
 
     def __init__(self, budget: int):
-        self.budget, self.spent, self.known = budget, 0, {}
+        self.budget, self.spent, self.known, self.long = budget, 0, {}, []
 
     def of(self, owner: str) -> dict[str, bytes]:
         return self.known.setdefault(owner, {})
 
-    def add(self, owner: str, pieces: list[str], ids: list[bytes]) -> None:
-        own = self.of(owner)
-        for piece, value in zip(pieces, ids):
-            if len(piece) <= LONGEST:
-                cost = 4 * len(piece) + len(value) + _ENTRY
-                if self.spent + cost > self.budget:
-                    self.clear()
-                    own = self.of(owner)
-                if cost > self.budget:
-                    continue
-                own[piece] = value
-                self.spent += cost
+    def entered(self, owner: str, pieces: Iterable[str]) -> None:
+        own = self.known[owner]
+        for piece in pieces:
+            if len(piece) > LONGEST:
+                self.long.append((own, piece))
+            else:
+                self.spent += 4 * len(piece) + len(own[piece]) + _ENTRY
+
+    def settle(self) -> None:
+        """After a batch: back within the budget."""
+        for own, piece in self.long:
+            del own[piece]
+        self.long.clear()
+        if self.spent > self.budget:
+            self.clear()
 
     def clear(self) -> None:
-        self.known.clear()
+        for own in self.known.values():
+            own.clear()
         self.spent = 0
 
 
@@ -92,15 +106,17 @@ class BatchEncoder:
 
     Known chains (byte-level words that take a leading space, and lower-cased words with an end mark) are cut into
     pieces; a text of any other tokenizer is one piece. Special strings inside texts are handled as the library does by
-    default, or are plain text if `plain_specials` is set.
+    default, or are plain text if `plain_specials` is set. With `merge_only`, pieces that are a plain word go straight to
+    the library's merge model, which costs half of its whole chain.
     """
 
-    def __init__(self, path: str, plain_specials: bool = False, kept: Kept | None = None):
+    def __init__(self, path: str, plain_specials: bool = False, merge_only: bool = True, kept: Kept | None = None):
         # The file is the library's input on each executor, read by path as the library does.
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
         with open(path, encoding="utf-8") as f:
             self.kind = self._kind(json.load(f))
+        self.merge_only = merge_only
         self.kept = KEPT if kept is None else kept
         self.name = f"{path}:{plain_specials}"
 
@@ -118,12 +134,17 @@ class BatchEncoder:
         return "whole"
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        """One call of the library."""
+        """The ids of texts by one call of the library."""
         return [as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _merged(self, word: str) -> bytes:
+        """The ids of a plain word by the library's merge model."""
+        spelled = word.encode("utf-8").decode("latin-1").translate(_SPELLING)
+        return as_bytes([t.id for t in self.tokenizer.model.tokenize(spelled)])
+
     def cut(self, text: str) -> list[str]:
-        """The pieces of a text. At byte level NUL marks the first, and a space went before any other but those that
-        start with a line break."""
+        """The pieces of a text. At byte level NUL stands before text as it is, such as the first piece; a piece that
+        starts with a line break is text as it is, too; any other had a space before it."""
         if self.kind == "word":
             return text.replace("\n", " ").split(" ")
         if self.kind == "byte" and "\0" not in text:
@@ -132,81 +153,76 @@ class BatchEncoder:
             return pieces
         return ["\0" + text]
 
-    def _units(self, piece: str) -> list[str]:
-        """What the library gets for a piece: plain words apart from the punctuation behind them."""
+    def _parts(self, piece: str) -> tuple[str, ...]:
+        """What a piece is made of, itself if nothing: plain words apart from what stands before and behind them."""
         if self.kind == "word":
             plain = _PLAIN.fullmatch(piece)
             if not plain:
-                return [piece] if piece else []
-            return [plain[1].lower(), plain[2]] if plain[2] else [plain[1].lower()]
-        if piece[:1] == "\0":
-            return [piece[1:]]
-        rest = piece.lstrip("\n")
-        breaks = piece[: len(piece) - len(rest)]
+                return (piece,)
+            word = plain[1].lower()
+            return (word, plain[2]) if plain[2] else (word,)
+        first = piece[:1]
+        rest = piece.lstrip("\n") if first == "\n" else piece[1:] if first == "\0" else piece
         plain = _PLAIN.fullmatch(rest)
         if not plain:
-            return [piece if breaks else " " + piece]
-        # The last line break before a word is cut off from those before it.
-        units = [breaks[1:], breaks[:1], plain[1]] if breaks else [" " + plain[1]]
-        return [u for u in (*units, plain[2]) if u]
-
-    def _ids_of(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces; those that are not kept go to the library together, as distinct units."""
+            return (piece,)
+        word, marks = plain[1], ("\0" + plain[2],) if plain[2] else ()
+        if first == "\n":
+            breaks = piece[: len(piece) - len(rest)]
+            # The last line break before a word is cut off from those before it.
+            before = ("\0" + breaks[1:],) if breaks[1:] else ()
+            return (*before, "\0\n", "\0" + word, *marks)
+        return ("\0" + word if first == "\0" else word, *marks)
+
+    def _text(self, part: str) -> str:
+        if self.kind == "word" or part[:1] == "\n":
+            return part
+        return part[1:] if part[:1] == "\0" else " " + part
+
+    def _encoded(self, parts: list[str]) -> dict[str, bytes]:
+        texts = list(map(self._text, parts))
+        whole = [not (self.merge_only and self.kind != "whole" and _WORD.fullmatch(t)) for t in texts]
+        ids = iter(self._library([t for t, w in zip(texts, whole) if w]))
+        return {p: next(ids) if w else self._merged(t) for p, t, w in zip(parts, texts, whole)}
+
+    def _simple(self, piece: str) -> bool:
+        """Whether a piece is a word of plain letters as the merge model takes it."""
+        return piece.isascii() and piece.isalpha() and (self.kind == "byte" or piece.islower())
+
+    def _learnt(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of these pieces and more. What is not kept goes to the library together, each part once."""
         known = self.kept.of(self.name)
-        found = list(map(known.get, pieces))
-        new = [i for i, ids in enumerate(found) if ids is None]
+        new = pieces - known.keys()
         if new:
-            units = [self._units(pieces[i]) for i in new]
-            # A unit is kept apart: as a piece it would stand for the text with a space before it.
-            apart = f"{self.name}:units"
-            met = self.kept.of(apart)
-            ids = {u: met.get(u) for own in units for u in own}
-            asked = [u for u, value in ids.items() if value is None]
-            if asked:
-                made = self._library(asked)
-                ids.update(zip(asked, made))
-                self.kept.add(apart, asked, made)
-            for i, own in zip(new, units):
-                found[i] = b"".join([ids[u] for u in own])
-            self.kept.add(self.name, [pieces[i] for i in new], [found[i] for i in new])
-        return found
-
-    def _gathered(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """The dictionary's number of each piece, the ids of its entries, and how many pieces each text has."""
-        pieces, sizes = [], []
-        for text in texts:
-            own = self.cut(text)
-            pieces += own
-            sizes.append(len(own))
-        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
-        return coded.indices.to_numpy(), self._ids_of(coded.dictionary.to_pylist()), np.array(sizes, np.int64)
-
-    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other (unsigned 32-bit), and how many each text has."""
-        if not texts:
-            return np.empty(0, "<u4"), np.empty(0, np.int64)
-        codes, ids, sizes = self._gathered(texts)
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        held = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        each = held[codes]
-        ends = np.cumsum(each)
-        # From place in the output to place in the dictionary's ids: a shift that is the same within a piece.
-        shift = (np.cumsum(held) - held)[codes] - (ends - each)
-        out = flat[np.repeat(shift, each) + np.arange(ends[-1])]
-        ends = np.append(0, ends)[np.append(0, np.cumsum(sizes))]
-        return out, np.diff(ends)
-
-    def counts(self, texts: list[str]) -> np.ndarray:
+            before = "Ġ" if self.kind == "byte" else ""
+            tokenize = self.tokenizer.model.tokenize
+            simple = list(filter(self._simple, new)) if self.merge_only and self.kind != "whole" else []
+            known.update((p, as_bytes([t.id for t in tokenize(before + p)])) for p in simple)
+            composed = {p: self._parts(p) for p in new.difference(simple)}
+            parts = {x for own in composed.values() for x in own} - known.keys()
+            known.update(self._encoded(list(parts)))
+            known.update((p, b"".join([known[x] for x in own])) for p, own in composed.items())
+            self.kept.entered(self.name, new | parts)
+        return known
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        cut = list(map(self.cut, texts))
+        ids = self._learnt(set(chain.from_iterable(cut))).__getitem__
+        out = [b"".join(map(ids, own)) for own in cut]
+        self.kept.settle()
+        return out
+
+    def counts(self, texts: list[str]) -> list[int]:
         """How many ids each text has."""
-        if not texts:
-            return np.empty(0, np.int64)
-        codes, ids, sizes = self._gathered(texts)
-        held = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        ends = np.append(0, np.cumsum(held[codes]))[np.append(0, np.cumsum(sizes))]
-        return np.diff(ends)
+        cut = list(map(self.cut, texts))
+        ids = self._learnt(set(chain.from_iterable(cut))).__getitem__
+        out = [sum(map(len, map(ids, own))) // 4 for own in cut]
+        self.kept.settle()
+        return out
 
 
-_ENCODERS: dict[tuple[str, bool], BatchEncoder] = {}
+_ENCODERS: dict[tuple, BatchEncoder] = {}
 
 
 def forget() -> None:
@@ -216,11 +232,11 @@ def forget() -> None:
     _ENCODERS.clear()
 
 
-def encoder(path: str, plain_specials: bool = False) -> BatchEncoder:
+def encoder(path: str, plain_specials: bool = False, merge_only: bool = True) -> BatchEncoder:
     """The encoder of a file, one per Python process."""
-    key = (path, plain_specials)
+    key = (path, plain_specials, merge_only)
     if key not in _ENCODERS:
-        _ENCODERS[key] = BatchEncoder(path, plain_specials)
+        _ENCODERS[key] = BatchEncoder(*key)
     return _ENCODERS[key]
 
 

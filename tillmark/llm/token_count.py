@@ -45,7 +45,7 @@ def count_tokens(
 
     @F.arrow_udf("long")
     def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, merge_only=False)
         for batch in batches:
             parts, owners = [], []
             for owner, t in enumerate(batch.to_pylist()):
@@ -57,7 +57,7 @@ def count_tokens(
             counts = [encode.counts(parts[a:b]) for a, b in balanced(sizes, batch_bytes)]
             totals = np.zeros(len(batch), np.int64)
             if counts:
-                np.add.at(totals, owners, np.concatenate(counts))
+                np.add.at(totals, owners, np.concatenate(counts).astype(np.int64))
             yield pa.array(totals)
 
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))

@@ -51,13 +51,10 @@ def _segments(tokenizer: str, end_id: int, percentile: float, segment_ids: int)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in balanced(list(map(len, texts)), BATCH_CHARS):
-                values, counts = encode.batch(texts[a:b])
-                at = 0
-                for doc_id, count in zip(doc_ids[a:b], counts.tolist()):
+                for doc_id, coded in zip(doc_ids[a:b], encode.batch(texts[a:b])):
                     ids.append(doc_id)
-                    chunks += [values[at : at + count].tobytes(), end]
-                    at += count
-                    held += count + 1
+                    chunks += [coded, end]
+                    held += len(coded) // 4 + 1
                     ends.append(held)
                     if held >= segment_ids:
                         yield close()
