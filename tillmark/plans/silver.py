@@ -21,6 +21,9 @@ from tillmark.specs import TABLES, VERSION, TableSpec
 MARK = "last_loaded_at timestamp_ntz, last_batch bigint, rows_upserted bigint, rows_rejected bigint"
 MARKS = f"{MARK}, table_name string, run bigint"
 REJECTS = "table_name string, reason string, row_json string, source_file string, rejected_at timestamp_ntz"
+# Tables that the fact is joined from: their snapshots are bucketed by the join's key.
+BUCKETED = {"orders": "order_id", "order_items": "order_id"}
+BUCKETS = 64
 TRANSFORM_STATS = "table string, rows_upserted bigint, rows_rejected bigint"
 
 
@@ -39,10 +42,12 @@ def current_rows(cleaned: DataFrame, spec: TableSpec) -> DataFrame:
 class Silver:
     spark: SparkSession
     root: str
+    buckets: int = BUCKETS
 
     def table(self, name: str) -> KeyedTable:
         spec = TABLES[name]
-        return KeyedTable(self.spark, f"{self.root}/silver/{name}", spec.key, spec.silver_schema())
+        by = (BUCKETED[name], self.buckets) if name in BUCKETED else None
+        return KeyedTable(self.spark, f"{self.root}/silver/{name}", spec.key, spec.silver_schema(), by)
 
     def _rejects_path(self, name: str) -> str:
         return f"{self.root}/silver_rejects/table_name={name}"
