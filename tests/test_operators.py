@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tillmark.operators import integrity
 from tillmark.operators import quality as q
-from tillmark.operators.history import change_history, snapshot_diff, status_transitions
+from tillmark.operators.history import (
+    bucket_digests, change_history, differing_buckets, snapshot_diff, snapshot_diff_by_digest, status_transitions
+)
 from tillmark.operators.integrity import reference_violations, reject_rows, split_by_references, split_missing_key
 from tillmark.operators.timeline import as_of, with_previous
 from tillmark.operators.versions import drop_stale, first_by_key, insert_if_absent, latest_by_key, overlay, upsert
@@ -209,6 +211,30 @@ def test_references(spark):
     assert collected(held.select("id")) == [(2,), (4,)]
 
 
+def test_snapshot_diff_by_digest(spark):
+    rng = random.Random(3)
+    layout = "id int, part string, x string, y int"
+    rows = [(i, rng.choice("ab"), rng.choice(["p", "q", None]), rng.choice([1, 2, None])) for i in range(400)]
+    after = rows[10:] + [(i, "a", "new", 1) for i in range(500, 510)]
+    # A value that moves to another column, a value that turns NULL, and one that stops being NULL.
+    after[5], after[6], after[7] = (15, "a", None, 7), (16, "b", "z", None), (17, "b", None, None)
+    one, two = (spark.createDataFrame(r, layout) for r in (rows, after))
+    key = ["id", "part"]
+    want = sorted(collected(snapshot_diff(one, two, key)))
+    for buckets in (1, 64, 5000):
+        assert sorted(collected(snapshot_diff_by_digest(one, two, key, buckets))) == want
+    kept = bucket_digests(one, key, 64)
+    assert sorted(collected(snapshot_diff_by_digest(one, two, key, 64, kept))) == want
+    assert differing_buckets(kept, bucket_digests(one.repartition(3), key, 64)).count() == 0
+    few = differing_buckets(bucket_digests(one, key, 5000), bucket_digests(two, key, 5000)).count()
+    assert 0 < few <= len({(r[0], r[1]) for r in set(rows) ^ set(after)})
+    swapped = spark.createDataFrame([(1, "a", None, 1)], "id int, part string, x int, y int")
+    other = spark.createDataFrame([(1, "a", 1, None)], "id int, part string, x int, y int")
+    assert collected(snapshot_diff_by_digest(swapped, other, key)) == [(1, "a", "update", "x,y")]
+    nothing = one.limit(0)
+    assert {r.change for r in snapshot_diff_by_digest(nothing, two, key).collect()} == {"insert"}
+
+
 def test_snapshot_diff(spark):
     before = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 1)], "id int, x string, y int")
     after = spark.createDataFrame([(1, "a", None), (2, "B", None), (4, "d", 1)], "id int, x string, y int")

@@ -1,6 +1,7 @@
 """The whole run on a small hand-made retail data set with worked-out results."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -249,7 +250,7 @@ def test_columns_bind_by_name(spark, raw, root):
     ]
 
 
-def test_only_files_with_line_breaks_inside_fields_are_read_whole(spark, raw, root):
+def test_files_with_line_breaks_inside_fields_are_told_apart(spark, raw, root):
     header = "review_id,customer_id,product_id,rating,review_text,review_date\n"
     raw("product_reviews", "1", header + 'R1,C1,P1,5,"two\nlines, ""quoted""",2026-07-08\nR2,C1,P1,4,plain,2026-07-08\n')
     raw("product_reviews", "2", header + 'R3,C1,P1,3,"a, ""b""",2026-07-08\n')
@@ -261,6 +262,32 @@ def test_only_files_with_line_breaks_inside_fields_are_read_whole(spark, raw, ro
     assert texts == {"R1": 'two\nlines, "quoted"', "R2": "plain", "R3": 'a, "b"'}
 
 
+def test_records_that_span_lines_are_read_in_parallel(spark, raw, root):
+    """One file, many blocks: fields with line breaks and quotes cross the borders of blocks."""
+    rng = random.Random(9)
+    header = "review_id,customer_id,product_id,rating,review_text,review_date"
+    texts = {}
+    for i in range(600):
+        words = [rng.choice(["plain", "a,b", '"q"', "two\nlines", "\n\n", "x\r\ny", "end\n", "é" * 40]) for _ in range(rng.randint(0, 6))]
+        texts[f"R{i}"] = " ".join(words)
+    quoted = lambda t: '"' + t.replace('"', '""') + '"' if any(c in t for c in ',"\n\r') else t
+    lines = [f"{k},C1,P1,5,{quoted(t)},2026-07-08" for k, t in texts.items()]
+    lines.insert(3, "")
+    lines.append("R600,C1")  # a short row
+    raw("product_reviews", ONE, header + "\r\n" + "\r\n".join(lines) + "\r\n")
+    texts["R600"] = ""
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        Bronze(spark, root).ingest(raw.dir, "product_reviews")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    rows = Bronze(spark, root).read("product_reviews").orderBy("_block_start", "_row_id").collect()
+    assert [r.review_id for r in rows] == [f"R{i}" for i in range(601)]
+    assert {r.review_id: r.review_text.strip() for r in rows} == {k: t.strip() for k, t in texts.items()}
+    assert len({r._block_start for r in rows}) > 5
+
+
 def test_rows_of_a_split_file_stay_in_order(spark, raw, root):
     lines = "".join(f"K{i % 50},name {i}\n" for i in range(20000))
     raw("categories", ONE, "category_id,category_name\n" + lines)

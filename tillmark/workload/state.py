@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.cleaning import clean_text
-from tillmark.operators.history import change_history, snapshot_diff, status_transitions
+from tillmark.operators.history import change_history, snapshot_diff, snapshot_diff_by_digest, status_transitions
 from tillmark.operators.incremental import EPOCH, next_mark, rows_since
 from tillmark.operators.integrity import MISSING_KEY, reject_rows, split_missing_key
 from tillmark.operators.timeline import as_of
@@ -253,6 +253,32 @@ def snapshot_changes(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot_diff(before, after, ["l_orderkey"])
 
 
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1992-02-01' THEN 'absent'
+    WHEN o_orderdate >= TIMESTAMP '1998-07-25' THEN 'update' ELSE 'unchanged' END AS change,
+  CASE WHEN o_orderdate < TIMESTAMP '1992-02-01' THEN '' WHEN o_orderdate < TIMESTAMP '1998-07-25' THEN ''
+    WHEN o_orderpriority = '1-URGENT' THEN 'o_orderstatus,o_orderpriority' ELSE 'o_orderstatus' END AS changed_columns
+FROM orders
+UNION ALL SELECT o_orderkey + 1000000000, 'insert', '' FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-25'"""
+)
+def snapshot_changes_by_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    """Two snapshots of all orders that differ in few: only buckets of keys whose digests differ are joined."""
+    columns = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    rows = read(spark, sf, "orders")
+    first, last = (F.lit(d).cast("timestamp_ntz") for d in ("1992-02-01", "1998-07-25"))
+    late = F.col("o_orderdate") >= last
+    after = rows.where(F.col("o_orderdate") >= first).withColumns(
+        {
+            "o_orderstatus": F.when(late, F.concat(F.lit("X"), "o_orderstatus")).otherwise(F.col("o_orderstatus")),
+            "o_orderpriority": F.when(~late | (F.col("o_orderpriority") != "1-URGENT"), F.col("o_orderpriority")),
+        }
+    )
+    new = rows.where(late).withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000_000)
+    return snapshot_diff_by_digest(
+        rows.select(*columns), after.select(*columns).unionByName(new.select(*columns)), ["o_orderkey"]
+    )
+
+
 ALLOWED = [("signup", "view"), ("view", "click"), ("click", "purchase"), ("click", "view"), ("purchase", "view")]
 
 
