@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.llm.registry import written
+from tillmark.session import fresh_dir
+
 # Payloads below this are archived as responses of their own, whatever their copies.
 LEAST_REVISIT = 1000
 CAPTURED = "2024-01-01T00:00:00Z"
@@ -55,7 +58,9 @@ def write_archive(
     null page_id is archived as `none`. Repeated rows are records of their own; rows that share the largest page_id are
     responses alike. An empty table gives an empty archive. Other columns are not archived.
     """
-    rows = _described(pages, id_column, url, body)
+    # Bodies are read and hashed once; what follows starts from this table.
+    scratch = fresh_dir(pages.sparkSession, "archive-rows")
+    rows = written(_described(pages, id_column, url, body), scratch, compression="zstd")
     folded = rows.groupBy("digest").agg(
         F.any_value("payload").alias("payload"),
         F.min("size").alias("_least"),
@@ -117,7 +122,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     Columns: page_id, url, record_type, refers_to, payload_bytes, payload_digest (SHA-1 of the full payload), header,
     http_header, payload, and record, the bytes of the whole record. A payload whose SHA-256 isn't its digest, or whose
-    SHA-1 isn't the one in the header, is an error.
+    SHA-1 isn't the one in the header, is an error, as is a record whose block isn't as long as its header says.
     """
     payloads = spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
     sound = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
@@ -139,6 +144,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         _field("WARC-Type").alias("record_type"),
         F.when(refers_to != "", refers_to).cast("long").alias("refers_to"),
         F.substring_index(_field("WARC-Payload-Digest"), ":", -1).alias("_named"),
+        _field("Content-Length").cast("long").alias("_length"),
         "header",
         "http_header",
     )
@@ -146,6 +152,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     same = F.when(F.col("_named") == F.col("payload_digest"), F.col("payload_digest")).otherwise(
         F.raise_error(F.lit("a header names another payload")).cast("string")
     )
+    block = F.concat("http_header", own)
+    complete = F.when(F.octet_length(block) == F.col("_length"), block).otherwise(
+        F.raise_error(F.lit("a record is not as long as its header says")).cast("binary")
+    )
     return records.join(payloads, "digest").select(
         "page_id",
         "url",
@@ -156,5 +166,5 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         "header",
         "http_header",
         "payload",
-        F.concat("header", "http_header", own, F.lit(b"\r\n\r\n")).alias("record"),
+        F.concat("header", complete, F.lit(b"\r\n\r\n")).alias("record"),
     )
