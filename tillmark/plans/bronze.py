@@ -67,13 +67,18 @@ class Bronze:
         last = self._last_batch(table)
         return now if last < 0 else max(now, self.loaded_at(table, last) + dt.timedelta(microseconds=1))
 
-    def since(self, table: str, batch: int, mark: dt.datetime) -> tuple[int, dt.datetime, DataFrame | None]:
+    def since(
+        self, table: str, batch: int, mark: dt.datetime, upto: int | None = None
+    ) -> tuple[int, dt.datetime, DataFrame | None]:
         """Rows loaded after the mark, which was set at a batch: (last batch, its mark, rows or None).
 
+        With ``upto``, no batch after that one.
+
         Only the folders of later batches are opened, and whether they hold rows and how new those are is read from
         the log. A batch that was cut off before it was logged is not seen.
         """
-        new = finished_runs(self.spark, self.log_path(table), "_batch_id", after=batch)
+        before = None if upto is None else upto + 1
+        new = finished_runs(self.spark, self.log_path(table), "_batch_id", after=batch, before=before)
         if not new:
             return batch, mark, None
         logged = self._log_of(table, new).agg(

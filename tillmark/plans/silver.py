@@ -89,9 +89,11 @@ class Silver:
             finished = finished | ((F.col("table_name") == name) & (F.col("run") <= run))
         return rows.where(finished).select("table_name", "reason", "row_json", "source_file", "rejected_at")
 
-    def transform(self, name: str) -> tuple[str, int, int]:
+    def transform(self, name: str, upto: int | None = None) -> tuple[str, int, int]:
         """Fold the new bronze rows of one table in: (table, rows_upserted, rows_rejected).
 
+        With ``upto``, those of bronze batches up to that one.
+
         Changes and rejects go to folders numbered by the run and the mark is written last, so a run that
         was cut off is repeated under the same number and leaves nothing twice. The new rows are read once,
         and once more only if some of them have to be rejected.
@@ -99,7 +101,7 @@ class Silver:
         spec = TABLES[name]
         last_run, batch, mark = self._last_mark(name)
         run = last_run + 1
-        batch, mark, fresh = Bronze(self.spark, self.root).since(name, batch, mark)
+        batch, mark, fresh = Bronze(self.spark, self.root).since(name, batch, mark, upto)
         if fresh is None:
             return name, 0, 0
 

@@ -15,6 +15,7 @@ from tillmark.session import fresh_dir
 from tillmark.sources.csv_drops import list_drops
 from tillmark.specs import CORE, TABLES
 from tillmark.streaming.ingest import ingest_available
+from tillmark.streaming.transform import fold, transform_available
 from tillmark.workload import roles
 from tillmark.workload.cleaning import with_comma
 from tillmark.workload.registry import query
@@ -295,6 +296,28 @@ def silver_rerun_updates(spark: SparkSession, sf: str) -> DataFrame:
     return silver.read("orders").select("order_id", "order_date", "status")
 
 
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS VARCHAR) AS order_date,
+  CASE WHEN o_orderdate < TIMESTAMP '1998-07-01' OR o_orderstatus = 'F' THEN 'cancelled'
+       WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'completed' END AS status, CAST(3 AS BIGINT) AS runs FROM orders"""
+)
+def silver_by_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by streams over the load log: three drops, each folded in by a start of its own, and micro-batches
+    replayed after each, which add no run."""
+    raw_dir, root = raw_and_root(spark)
+    bronze, silver, rows = Bronze(spark, root), Silver(spark, root), raw_orders(spark, sf)
+    late = rows.where(~early("order_date"))
+    drops = [rows.where(early("order_date")), late, rows.where(early("order_date")).withColumn("status", F.lit("cancelled"))]
+    for stamp, df in zip((FIRST, SECOND, THIRD), drops):
+        drop(df, raw_dir, "orders", stamp)
+        bronze.ingest(raw_dir, "orders")
+        transform_available(spark, root, "orders")
+        fold(bronze.load_log("orders"), root, "orders")
+    return silver.read("orders").select(
+        "order_id", "order_date", "status", F.lit(silver.last_run("orders") + 1).cast("bigint").alias("runs")
+    )
+
+
 @query(
     """SELECT CAST(s_suppkey AS VARCHAR) AS store_id, s_name AS store_name,
   'NATION_' || CAST(s_nationkey AS VARCHAR) AS city FROM supplier"""
