@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from tillmark.llm import alignment, alignment_query  # noqa: F401 - registers the query
 from tillmark.llm.alignment import Pieces, alignments, heavy_from
-from tillmark.llm.pieces import byte_letters
+from tillmark.llm.pieces import Kept, byte_letters
 from tillmark.llm.registry import QUERIES
 
 from .conftest import SF
@@ -94,13 +94,17 @@ def test_empty_table(spark, documents):
     assert found(alignments(documents([None, ""]), BYTE, PIECE)) == plain([(0, None), (1, "")])
 
 
-def test_long_texts_are_encoded_in_parts(monkeypatch):
-    monkeypatch.setattr(alignment, "PART_CHARS", 40)
+@pytest.mark.parametrize("budget", [0, 20_000, 1 << 25])
+def test_texts_are_cut_where_no_piece_goes_across(budget):
     side = Pieces(PIECE)
+    side.kept = Kept(budget)
     random.seed(3)
-    texts = ["".join(random.choices([*ODD, " the", " word", "\nnew", "▁"], k=400)) for _ in range(40)]
-    texts += ["x" * 500, "a b " * 300, " lead" * 40]
-    assert [ids.tolist() for ids in side.ids(texts)] == [side.model.encode(t) for t in texts]
+    texts = ["".join(random.choices([*ODD, " the", " word", "\nnew", "▁"], k=random.randint(1, 60))) for _ in range(600)]
+    texts += ["x" * 500, "a b " * 300, " lead" * 40, "a\t b", "a \tb", "a ", "", " ", "a\xa0 b"]
+    for start in range(0, len(texts), 200):
+        some = texts[start : start + 200]
+        assert [ids.tolist() for ids in side.ids(some)] == [side.model.encode(t) for t in some]
+        assert side.kept.spent <= budget
 
 
 def test_heavy_pairs_are_bounded(spark):

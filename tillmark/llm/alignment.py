@@ -17,24 +17,29 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.pieces import balanced, byte_letters, encoder
+from tillmark.llm.pieces import Kept, balanced, byte_letters, encoder
 from tillmark.llm.registry import written
 from tillmark.session import fresh_dir
 
 # Pairs whose sums are sent to all tasks: 17 bytes each.
 HEAVY = 1 << 19
-# Characters of the texts that are aligned at once, and from which a text goes to sentencepiece in parts.
-BATCH_CHARS, PART_CHARS = 1 << 20, 1 << 17
+# Characters of the texts that are aligned at once.
+BATCH_CHARS = 1 << 20
+# Bytes of sentencepiece's parts that a worker keeps.
+KEPT_PIECES = 64 << 20
 # Links of a group that are listed one by one at most; in a larger group ids are counted first.
 LISTED = 4096
 # A single space between what is not white.
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
+# Any white space that isn't such a single space.
+_RUN = re.compile(r"\A |[^\S ]| (?: |\Z)")
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 ROWS = (
@@ -48,13 +53,17 @@ class Side:
 
     def __init__(self, spelled: list[bytes], close: str):
         self.spelled = spelled
+        # Whether ids of as many bytes as the text can only be its own.
+        self.lossless = False
         self.sizes = np.array([len(s) for s in spelled], np.int64)
         # The decimal text of each id inside a group, and at the end of this side of a group.
         self.decimal = [f"{i}{mark}" for i in range(len(spelled)) for mark in (",", close)]
 
     def gives(self, ids: np.ndarray, whole: bytes) -> bool:
         """Whether the bytes of the ids are these."""
-        return int(self.sizes[ids].sum()) == len(whole) and b"".join(map(self.spelled.__getitem__, ids.tolist())) == whole
+        if int(self.sizes[ids].sum()) != len(whole):
+            return False
+        return self.lossless or b"".join(map(self.spelled.__getitem__, ids.tolist())) == whole
 
 
 class ByteLevel(Side):
@@ -66,6 +75,8 @@ class ByteLevel(Side):
         tokenizer = encoder(path, plain_specials=True).tokenizer
         tokens = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         super().__init__([bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode() for t in tokens], "|")
+        # Without a normalizer it cuts and merges the very bytes of the text.
+        self.lossless = encoder(path, plain_specials=True).kind == "byte"
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         coded = encoder(self.path, plain_specials=True).batch([" " + t for t in texts])
@@ -85,30 +96,25 @@ class Pieces(Side):
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         super().__init__(spelled, ";")
+        self.kept = Kept(KEPT_PIECES)
         # A text may be cut before a single space only if no piece goes on behind one.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        parts, sizes = [], []
-        for t in texts:
-            own = list(space_parts(t, PART_CHARS)) if self.cuts and len(t) > PART_CHARS and "▁" not in t else [t]
-            parts += own
-            sizes.append(len(own))
-        coded = [np.frombuffer(array("q", ids), np.int64) for ids in self.model.encode(parts, num_threads=1)]
-        ends = np.cumsum(sizes).tolist()
-        return [np.concatenate(coded[end - size : end]) for end, size in zip(ends, sizes)]
-
-
-def space_parts(text: str, limit: int) -> Iterator[str]:
-    """A long text without the single spaces at which it is cut; a part grows until there is one."""
-    start = 0
-    while len(text) - start > limit:
-        found = _SPACE.search(text, start + limit)
-        if not found:
-            break
-        yield text[start : found.start()]
-        start = found.end()
-    yield text[start:]
+        """A text is cut at its single spaces, which no piece goes across; each new part is encoded once."""
+        cut = [_cut(t) if self.cuts and "▁" not in t else [t] for t in texts]
+        known = self.kept.of("pieces")
+        new = list(set(chain.from_iterable(cut)) - known.keys())
+        known.update((t, array("q", ids).tobytes()) for t, ids in zip(new, self.model.encode(new, num_threads=1)))
+        self.kept.entered("pieces", new)
+        coded = [np.frombuffer(b"".join(map(known.__getitem__, own)), np.int64) for own in cut]
+        self.kept.settle()
+        return coded
+
+
+def _cut(text: str) -> list[str]:
+    """The text between single spaces with nothing white around them: the model puts a space before each part."""
+    return _SPACE.split(text) if _RUN.search(text) else text.split(" ")
 
 
 @lru_cache(maxsize=4)
@@ -120,7 +126,8 @@ def sides(byte_level: str, pieces: str) -> tuple[ByteLevel, Pieces]:
 def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     """How many tokens of each side lie before every byte where tokens of both end."""
     at_a, at_b = dict(zip(a, range(1, len(a) + 1))), dict(zip(b, range(1, len(b) + 1)))
-    common = sorted(at_a.keys() & at_b.keys())
+    # Ends only grow, so those of b that are in a come sorted.
+    common = [end for end in at_b if end in at_a]
     return [at_a[e] for e in common], [at_b[e] for e in common]
 
 
@@ -159,6 +166,7 @@ class Aligner:
     def __init__(self, byte_level: str, pieces: str):
         self.a, self.b = sides(byte_level, pieces)
         self.shift = len(self.b.spelled).bit_length()
+        self.decimal = self.a.decimal + self.b.decimal
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Of each text n_a, n_b, n_groups, n_links and the hash of its groups; and of all: the document, pair and times
@@ -205,10 +213,10 @@ class Aligner:
         codes_a, codes_b = 2 * a, 2 * b
         codes_a[i - 1] += 1
         codes_b[j - 1] += 1
-        out = np.empty(len(a) + len(b), object)
-        out[at_a + np.append(0, j)[group_a]] = list(map(self.a.decimal.__getitem__, codes_a.tolist()))
-        out[at_b + i[group_b]] = list(map(self.b.decimal.__getitem__, codes_b.tolist()))
-        return out.tolist()
+        out = np.empty(len(a) + len(b), np.int64)
+        out[at_a + np.append(0, j)[group_a]] = codes_a
+        out[at_b + i[group_b]] = codes_b + len(self.a.decimal)
+        return list(map(self.decimal.__getitem__, out.tolist()))
 
 
 def _documents(byte_level: str, pieces: str):
