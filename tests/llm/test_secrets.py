@@ -59,6 +59,23 @@ def test_lengths_must_be_minimal():
     assert der_items(b"\x04\x80") is None and der_items(b"\x04") is None and der_items(b"") == []
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n"])
+def test_keys_broken_into_lines(end):
+    for key in (RSA, PKCS8, SEC1, SSH):
+        coded = base64.b64encode(key).decode()
+        lines = [coded[i : i + 64] for i in range(0, len(coded), 64)]
+        block = end.join(["-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----"]) + end
+        text = '{"private_key": "' + block + '"}'
+        found = [s for s in find_secrets(text) if s[0] in ("pem", "key")]
+        assert found == [("pem", 17, 17 + len(block) - len(end), 17)], found
+        assert coded[:20] not in redact(text)
+        if len(lines) > 1:
+            bare = end.join(lines)
+            assert ("key", 2, 2 + len(bare), 2) in find_secrets(f"a {bare} b")
+            uneven = end.join([lines[0][:50], lines[0][50:] + lines[1], *lines[2:]])
+            assert not any(s[:3] == ("key", 2, 2 + len(uneven)) for s in find_secrets(f"a {uneven} b"))
+
+
 def test_structure_confirms_candidates():
     for key in (RSA, PKCS8, SEC1, SSH):
         coded = base64.b64encode(key).decode()

@@ -7,6 +7,8 @@ written to the shared folder, so that plans stay short and a lost executor costs
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("a") != F.col("b"))
     )
     edges, seen = written(edges.distinct(), f"{path}/0"), None
-    for number in range(1, 1000):
+    for number in count(1):
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen or not state[0]:
             break

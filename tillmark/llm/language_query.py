@@ -10,7 +10,8 @@ from tillmark.llm.registry import query, table
 
 
 def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    """Never null: a row without a doc_id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 @query()

@@ -33,7 +33,12 @@ _JWT = re.compile(r"(?<![A-Za-z0-9_.-])(e[wy3][A-Za-z0-9_-]{6,})\.(e[wy3][A-Za-z
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{56,}={0,2}")
 _HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){40,}(?![0-9A-Fa-f])")
 _PEM = re.compile(
-    r"-----BEGIN (?P<label>[A-Z0-9 ]{0,30}PRIVATE KEY)-----(?P<body>[A-Za-z0-9+/=\s]+)-----END (?P=label)-----"
+    r"-----BEGIN (?P<label>[A-Z0-9 ]{0,30}PRIVATE KEY)-----(?P<body>(?:[A-Za-z0-9+/=\s]|\\[nr])+)-----END (?P=label)-----"
+)
+# Line breaks, and such as are written with a backslash, as in JSON.
+_BREAKS = re.compile(r"\s+|(?:\\[nr])+")
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{40,76}(?:\r?\n|(?:\\r)?\\n))+[A-Za-z0-9+/]{1,76}={0,2}(?![A-Za-z0-9+/=])"
 )
 _SSH_MAGIC = b"openssh-key-v1\0"
 _LETTERS = {"integer": 0x02, "octets": 0x04, "oid": 0x06, "sequence": 0x30}
@@ -150,9 +155,16 @@ def find_secrets(text: str) -> list[tuple[str, int, int, int]]:
     blocks = []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            if is_key(decode_base64("".join(m["body"].split()))):
+            if is_key(decode_base64(_BREAKS.sub("", m["body"]))):
                 blocks.append(m.span())
                 found.append(("pem", *m.span(), m.start()))
+    for m in _WRAPPED.finditer(text):
+        lines = _BREAKS.split(m[0])
+        even = len({len(x) for x in lines[:-1]}) == 1 and len(lines[-1].rstrip("=")) <= len(lines[0])
+        if even and not any(a <= m.start() < b for a, b in blocks):
+            if is_key(decode_base64("".join(lines))):
+                blocks.append(m.span())
+                found.append(("key", *m.span(), m.start()))
     for pattern, decode in ((_BASE64, decode_base64), (_HEX_KEY, bytes.fromhex)):
         for m in pattern.finditer(text):
             if not any(a <= m.start() < b for a, b in blocks) and is_key(decode(m[0])):

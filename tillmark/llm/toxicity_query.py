@@ -10,7 +10,8 @@ from tillmark.llm.toxicity import THRESHOLD, fit, score_documents
 
 
 def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    """Never null: a row without a doc_id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 @query()
