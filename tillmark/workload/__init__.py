@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("star", "cleaning", "state", "ingest", "quality", "audit", "upkeep")
+MODULES = ("star", "cleaning", "state", "ingest", "quality", "audit", "upkeep", "streams")
 
 
 def load_all() -> None:
