@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
-from tillmark.llm.pieces import forget
+from tillmark.llm.pieces import forget, release, released
 from tillmark.llm.registry import partitions, written
 from tillmark.llm.shingles import shingle_sets
 from tillmark.llm.stars import star_links
@@ -65,7 +65,7 @@ def describe(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in batches:
+        for batch in released(batches):
             found = shingle_sets(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -114,7 +114,7 @@ def _requests(ranges: Ranges):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         part, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in released(batches):
             sets = [s for s in shingle_sets(batch.column(0).to_pylist()) if len(s)]
             for start in range(0, len(sets), 1 << 16):  # documents are numbered in 16 bits
                 group = sets[start : start + (1 << 16)]
@@ -208,6 +208,7 @@ def _count_range(table: pa.Table) -> pa.Table:
     number = table.column("range")[0].as_py()
     if number >= 0:
         blocks = pa.array(_answer(table.column("block").to_pylist()), pa.binary())
+        release()
         table = table.set_column(table.schema.get_field_index("block"), "block", blocks)
     return table.select(["range", "batch", "block"])
 
@@ -292,7 +293,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, described: DataFrame, text: str
         ids = F.broadcast(ids)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             found = [s for s in shingle_sets(batch.column(0).to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [

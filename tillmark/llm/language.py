@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.pieces import forget
+from tillmark.llm.pieces import forget, released
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
@@ -128,7 +128,7 @@ def fit(
         forget()
         totals: dict[str, np.ndarray] = {}
         texts: dict[str, int] = {}
-        for batch in batches:
+        for batch in released(batches):
             by_lang: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if has_letter(text):
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         forget()
         known = shared.value
-        for batch in batches:
+        for batch in released(batches):
             texts = batch.to_pylist()
             lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             rows = [i for i, t in enumerate(texts) if t and known.languages and has_letter(t)]

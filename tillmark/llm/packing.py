@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillmark.llm.pieces import balanced, encoder
+from tillmark.llm.pieces import balanced, encoder, released
 from tillmark.llm.registry import partitions, written
 from tillmark.session import fresh_dir
 
@@ -35,7 +35,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int
         encode = encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
-        for batch in batches:
+        for batch in released(batches):
             texts, coded = batch.column(1).to_pylist(), []
             for start, stop in balanced(list(map(len, texts)), BATCH_CHARS):
                 coded += [ids + end for ids in encode.batch(texts[start:stop])]

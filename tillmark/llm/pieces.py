@@ -9,20 +9,28 @@ but no result.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
+import pyarrow as pa
+
 # Spark's tasks are what runs in parallel.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # not every C library has it
+    _TRIM = None
+
 # Bytes of pieces that a worker keeps, and the longest piece kept.
-BUDGET, LONGEST = 160 << 20, 64
+BUDGET, LONGEST = 128 << 20, 64
 # What an entry of a dict costs besides its characters and ids.
 _ENTRY = 200
 # Letters that lower-casing and composition map to one letter, then punctuation without an apostrophe.
@@ -225,11 +233,24 @@ class BatchEncoder:
 _ENCODERS: dict[tuple, BatchEncoder] = {}
 
 
+def release() -> None:
+    """Give memory that is free again back to the system: Python workers outlive their stage and would sit on it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def forget() -> None:
-    """Drop what this process keeps. Python workers outlive the stage that filled them; operators that need room of
-    their own call this first."""
+    """Drop what this process keeps, and release it; operators that need room of their own call this first."""
     KEPT.clear()
     _ENCODERS.clear()
+    release()
+
+
+def released(batches: Iterable) -> Iterator:
+    """The batches of a task, after which its free memory is released."""
+    yield from batches
+    release()
 
 
 def encoder(path: str, plain_specials: bool = False, merge_only: bool = True) -> BatchEncoder:

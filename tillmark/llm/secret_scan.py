@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.llm.pieces import forget, released
+
 # In this order where two begin at one place.
 KINDS = ("assign", "access", "hex", "jwt", "key", "pem")
 BASE_KINDS = KINDS[:3]
@@ -217,7 +219,8 @@ def redact_documents(docs: DataFrame, text: str = "text", length: str | None = "
 
     @F.arrow_udf("string")
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        forget()
+        for batch in released(batches):
             yield pa.array([redact(t) for t in batch.to_pylist()], pa.string())
 
     own = F.col(f"`{text}`")

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
+from tillmark.llm.pieces import released
 from tillmark.llm.registry import written
 
 # Members of one star that meet its set in one task; larger stars are dealt over several.
@@ -76,7 +77,7 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """leader and each element in which the class differs from it."""
-    for batch in batches:
+    for batch in released(batches):
         leaders, elements = [], []
         for leader, own, head in zip(batch.column(0), batch.column(1), batch.column(2)):
             found = np.setxor1d(_numbers(own.as_py()), _numbers(head.as_py()), assume_unique=True)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
-from tillmark.llm.pieces import forget
+from tillmark.llm.pieces import forget, released
 from tillmark.llm.registry import written
 from tillmark.llm.shingles import shingle_sets
 from tillmark.llm.stars import star_links
@@ -114,7 +114,7 @@ def describe(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in batches:
+        for batch in released(batches):
             found = shingle_sets(batch.column(1).to_pylist(), WORDS)
             digests = [digest(s) for s in found]
             # Copies in a batch share one signature.
@@ -143,7 +143,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, text: str = "text") -> DataFram
         ids = F.broadcast(ids)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             found = [s for s in shingle_sets(batch.column(0).to_pylist(), WORDS) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [
