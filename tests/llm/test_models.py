@@ -1,5 +1,8 @@
 """Language identification and toxicity: held-out accuracy, and their defined answers to odd rows."""
 
+import math
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -96,3 +99,60 @@ def test_toxicity_without_two_classes(spark, documents):
     model = toxicity.fit(documents(["a b", "c"]), none, F.lit(True))
     got = toxicity.score_documents(documents(["a b"]), model).collect()
     assert 0 <= got[0].score < 0.1
+
+
+def plain_languages(rows, labels, order_of=language.ORDERS, buckets=language.BUCKETS):
+    """(language, posterior) of each (doc_id, text), n-gram by n-gram with plain integers and logarithms."""
+    factors, mask = [int(f) for f in language._FACTORS], (1 << 32) - 1
+
+    def grams(text):
+        codes = [c if 97 <= c <= 122 or c >= 192 else 32 for c in map(ord, f" {text.lower()} ")]
+        for order in order_of:
+            for end in range(order - 1, len(codes)):
+                mixed = codes[end] * factors[0] & mask
+                for back in range(1, order):
+                    mixed ^= (codes[end - back] + back) * factors[back] & mask
+                mixed ^= mixed >> 15
+                mixed = mixed * (0x2C1B3C6D + 2 * order) & mask
+                yield (mixed >> 7) & (buckets - 1)
+
+    counts, prior = {}, {}
+    for doc_id, text in rows:
+        lang = labels[doc_id]
+        if lang is None or text is None or zlib.crc32(str(doc_id).encode()) % 5 == 0:
+            continue
+        prior[lang] = prior.get(lang, 0) + 1
+        if any(c.isalpha() for c in text):
+            own = counts.setdefault(lang, {})
+            for g in grams(text):
+                own[g] = own.get(g, 0) + 1
+    languages = sorted(counts)
+    totals = {lang: sum(counts[lang].values()) + 0.5 * buckets for lang in languages}
+    seen = sum(prior[lang] for lang in languages)
+    out = {}
+    for doc_id, text in rows:
+        if not text or not any(c.isalpha() for c in text):
+            out[doc_id] = ("und", 0.0)
+            continue
+        own = {}
+        for g in grams(text):
+            own[g] = own.get(g, 0) + 1
+        logs = [
+            math.log(prior[lang] / seen) + sum(n * math.log((counts[lang].get(g, 0) + 0.5) / totals[lang]) for g, n in own.items())
+            for lang in languages
+        ]
+        best = max(range(len(languages)), key=lambda k: logs[k])
+        out[doc_id] = (languages[best], 1 / sum(math.exp(x - logs[best]) for x in logs))
+    return out
+
+
+def test_language_query_against_a_plain_version(spark):
+    small = "/root/testdata/sf0.001"
+    docs = table(spark, small, "documents").select("doc_id", "text", "lang").collect()
+    want = plain_languages([(r.doc_id, r.text) for r in docs], {r.doc_id: r.lang for r in docs})
+    got = QUERIES["op3_language_id"](spark, small).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        lang, score = want[r.doc_id]
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-6
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
