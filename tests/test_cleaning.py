@@ -57,12 +57,27 @@ def test_counts_round_half_even_after_the_bounds(spark):
         ("8.7.2026", dt.datetime(2026, 7, 8)),
         ("2026/07/08", dt.datetime(2026, 7, 8)),
         ("20260708", dt.datetime(2026, 7, 8)),
+        ("7/13/2026", dt.datetime(2026, 7, 13)),
+        ("07-31-2026 08:00", dt.datetime(2026, 7, 31, 8)),
+        ("13/13/2026", None),
+        ("08 Jul 2026", dt.datetime(2026, 7, 8)),
+        ("8-July-2026 13:25", dt.datetime(2026, 7, 8, 13, 25)),
+        ("Jul 8, 2026", dt.datetime(2026, 7, 8)),
+        ("SEPTEMBER 30 2026 1:25 pm", dt.datetime(2026, 9, 30, 13, 25)),
+        ("08 Foo 2026", None),
+        ("2026-07-08 1:25 PM", dt.datetime(2026, 7, 8, 13, 25)),
+        ("2026-07-08 12:05 AM", dt.datetime(2026, 7, 8, 0, 5)),
+        ("2026-07-08 12:05:06 PM", dt.datetime(2026, 7, 8, 12, 5, 6)),
+        ("2026-07-08T13:25:10+07:00", dt.datetime(2026, 7, 8, 6, 25, 10)),
+        ("2026-07-08 01:00-0330", dt.datetime(2026, 7, 8, 4, 30)),
+        ("8/7/2026 23:30 -05", dt.datetime(2026, 7, 9, 4, 30)),
+        ("2026-07-08+07:00", None),
+        ("2026-07-08 13:25:10.5", dt.datetime(2026, 7, 8, 13, 25, 10, 500000)),
         ("20260708 13:25:10", dt.datetime(2026, 7, 8, 13, 25, 10)),
         ("2026-7-123", None),
         ("2026-07-08 13:2", None),
-        ("2026-07-08T13:25:10+07:00", None),
         ("202607081", None),
-        ("07/25/2026", None),
+        ("07/25/2026", dt.datetime(2026, 7, 25)),
         ("2026-02-30", None),
         ("2026", None),
         ("tomorrow", None),
