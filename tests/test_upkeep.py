@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.plans import gold as gold_plan
+from tillmark.plans import gold as gold_plan, upkeep
 from tillmark.plans.gold import DIM_CUSTOMER, DIM_PRODUCT, DIM_STORE, FACT_SALES, Gold, dim_date, fact_sales
 from tillmark.plans.silver import Silver
 from tillmark.plans.upkeep import KeptViews
 from tillmark.plans.views import all_views
+from tillmark.sources.bucketed import read_bucketed
 from tillmark.specs import TABLES
 
 CALENDAR = ("2026-01-01", "2026-03-31")
@@ -111,3 +112,36 @@ def test_buckets_spare_the_exchange_and_are_pruned(spark, root, monkeypatch):
     # Another number of buckets starts from the runs again, and a hot order is divided between files.
     assert Silver(spark, root, 4).table("orders").read().count() == 300
     assert gold_plan.NAMED_ORDERS > 0
+
+
+def test_refresh_writes_the_touched_sales_once(spark, root):
+    """Of an item that moved, of a compacted or uncompacted table: both orders' sales, and what holds of each."""
+    gold = Gold(spark, root, CALENDAR, 8)
+    table, kept = gold.table("fact_sales"), KeptViews(gold)
+    staged = f"{root}/gold/views_staged/sales"
+
+    def rows(sales, day):
+        data = [(i, o, 20260101, "C1", "P1", "S1", "card", "pending", 1, None, None, None) for i, o in sales]
+        stamp = F.lit(f"2026-05-{day:02d} 00:00:00").cast("timestamp_ntz")
+        df = spark.createDataFrame(data, FACT_SALES)
+        return df.withColumns({"_loaded_at": stamp, "line_amount": F.lit(2).cast("decimal(18,4)")})
+
+    def held():
+        marked = spark.read.parquet(staged).groupBy("order_id").agg(F.sum("_was"), F.sum("_now"))
+        return {r[0]: tuple(r[1:]) for r in marked.collect()}
+
+    table.merge(rows([("I1", "O1"), ("I2", "O1"), ("I3", "O2"), ("I4", "O3")], 1), 0)
+    kept.refresh()
+    assert held() == {"O1": (0, 2), "O2": (0, 1), "O3": (0, 1)}
+    table.merge(rows([("I1", "O2")], 2), 1)
+    kept.refresh()
+    assert held() == {"O1": (2, 1), "O2": (1, 2)}
+    table.merge(rows([("I1", "O3"), ("I5", "O4")], 3), 2)
+    table.merge(rows([("I5", "O3")], 4), 3)
+    table.compact()
+    kept.refresh()
+    assert held() == {"O2": (2, 1), "O3": (1, 3)}
+    assert [tuple(r) for r in kept.state("store").select("sales", "order_count", "units").collect()] == [(5, 3, 5)]
+    # What an order holds in a group is counted where its sales lie.
+    layout = T.StructType.fromDDL(upkeep.TOUCHED)
+    assert "Exchange" not in plan_of(upkeep.per_order(read_bucketed(spark, staged, layout, "order_id", 8), "store"))
