@@ -108,6 +108,24 @@ def test_as_of(spark, frame, rows):
     assert sorted(((r.id, r.price) for r in got.collect()), key=lambda v: v[0]) == want
 
 
+def test_as_of_carries_key_and_time_once(spark):
+    """They are taken from the exchange's own columns; where the types differ, the rows keep theirs."""
+    moment = dt.datetime(2026, 1, 2, 10)
+    rows = spark.createDataFrame(
+        [("a", moment, 1), ("a", None, 2), (None, moment, 3), ("b", moment, 4)], "k string, at timestamp_ntz, id int"
+    )
+    versions = spark.createDataFrame([("a", dt.datetime(2026, 1, 1), 5)], "k string, since timestamp_ntz, price int")
+    got = as_of(rows, "at", versions, "since", ["k"], "price", "price")
+    assert got.columns == ["k", "at", "id", "price"]
+    want = [("a", moment, 1, 5), ("a", None, 2, None), (None, moment, 3, None), ("b", moment, 4, None)]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_row_id" in plan and "_row_k" not in plan and "_row_at" not in plan
+    days = rows.withColumn("at", F.to_date("at"))
+    got = as_of(days, "at", versions, "since", ["k"], "price", "price")
+    assert got.schema["at"].dataType.simpleString() == "date" and got.where("id = 1").first().price == 5
+
+
 def keyed(spark, rows):
     return spark.createDataFrame(rows, "k string, v int, _loaded_at int")
 
