@@ -512,3 +512,39 @@ def test_audit_compares_payments_of_unknown_orders(spark, raw, root):
         ("amount_mismatch", "Y3", "0.0000"),
         ("orphan_reference", "L1", "O99"),
     }
+
+
+def test_files_without_rows_are_passed(spark, raw, root):
+    """A file of a header alone is a run without changes: the mark passes it, and it is not looked at again."""
+    header = "category_id,category_name\n"
+    raw_dir = raw("categories", ONE, header + "K1,a\n")
+    silver, bronze = Silver(spark, root), Bronze(spark, root)
+    bronze.ingest(raw_dir, "categories")
+    assert silver.transform("categories") == ("categories", 1, 0)
+    raw("categories", TWO, header)
+    bronze.ingest(raw_dir, "categories")
+    assert silver.transform("categories") == ("categories", 0, 0)
+    assert silver.last_run("categories") == 1 and silver._last_mark("categories")[1] == 1
+    assert silver.transform("categories") == ("categories", 0, 0) and silver.last_run("categories") == 1
+    assert silver.changes("categories", 0).count() == 0 and silver.read("categories").count() == 1
+
+
+def test_fact_follows_silver_whatever_was_loaded_first(spark, raw, root):
+    """An item moves to another order: loaded before its old order came again, folded in after that."""
+    first_drop(raw)
+    ingest_all(spark, root, raw.dir)
+    transform_all(spark, root)
+    gold, bronze, silver = Gold(spark, root), Bronze(spark, root), Silver(spark, root)
+    gold.build_dims()
+    gold.build_fact()
+    moved = gold.read("fact_sales").where("order_id = 'O1'").first().order_item_id
+    items = "order_item_id,order_id,product_id,quantity,unit_price\n"
+    raw("order_items", TWO, items + f"{moved},O2,P1,1,10\n")
+    bronze.ingest(raw.dir, "order_items")
+    raw("orders", TWO, "order_id,customer_id,store_id,order_date,payment_method,status\nO1,C1,S1,2026-07-08 10:00:00,cod,pending\n")
+    bronze.ingest(raw.dir, "orders")
+    silver.transform("orders")
+    gold.build_fact()
+    silver.transform("order_items")
+    gold.build_fact()
+    assert gold.read("fact_sales").where(F.col("order_item_id") == moved).first().order_id == "O2"

@@ -101,21 +101,27 @@ class Silver:
         spec = TABLES[name]
         last_run, batch, mark = self._last_mark(name)
         run = last_run + 1
-        batch, mark, fresh = Bronze(self.spark, self.root).since(name, batch, mark, upto)
-        if fresh is None:
+        seen, (batch, mark, fresh) = batch, Bronze(self.spark, self.root).since(name, batch, mark, upto)
+        if batch == seen:
             return name, 0, 0
 
-        upserted, rejected = Observation(), Observation()
-        cleaned = clean(fresh, spec)
-        without_key = F.count_if(~has_key(spec.key, cleaned=True))
-        # Load times only grow from batch to batch, so no row here can be older than the current one.
-        current = current_rows(cleaned.observe(rejected, without_key.alias("rows")), spec)
-        self.table(name).merge(current, run, guard=False, counted=upserted)
-        counted = (name, upserted.get["rows"], rejected.get["rows"])
+        if fresh is None:
+            # Files without rows have come: a run without changes, and the mark passes them.
+            self.table(name).merge(self.table(name).empty(), run, guard=False)
+            counted = (name, 0, 0)
+        else:
+            upserted, rejected = Observation(), Observation()
+            cleaned = clean(fresh, spec)
+            without_key = F.count_if(~has_key(spec.key, cleaned=True))
+            # Load times only grow from batch to batch, so no row here can be older than the current one.
+            current = current_rows(cleaned.observe(rejected, without_key.alias("rows")), spec)
+            self.table(name).merge(current, run, guard=False, counted=upserted)
+            counted = (name, upserted.get["rows"], rejected.get["rows"])
         rejects = f"{self._rejects_path(name)}/run={run}"
         # What an attempt left that was cut off is replaced too, be it by nothing.
         if counted[2] or any_match(self.spark, rejects):
-            _, refused = split_missing_key(cleaned, spec.key, cleaned=True)
+            rows = clean(no_rows(self.spark, spec.bronze_schema()), spec) if fresh is None else cleaned
+            _, refused = split_missing_key(rows, spec.key, cleaned=True)
             rows = reject_rows(refused, name, MISSING_KEY, F.localtimestamp()).drop("table_name")
             rows.write.mode("overwrite").parquet(rejects)
 
