@@ -8,7 +8,8 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tillmark.plans import audit, medallion
+from tillmark.plans import audit, medallion, silver
+from tillmark.plans import gold as gold_plans
 from tillmark.plans.bronze import Bronze, ingest_all, tenant_dir, totals
 from tillmark.plans.gold import BrokenReferenceError, Gold
 from tillmark.plans.report import best_products, export_views, payment_share
@@ -548,3 +549,63 @@ def test_fact_follows_silver_whatever_was_loaded_first(spark, raw, root):
     silver.transform("order_items")
     gold.build_fact()
     assert gold.read("fact_sales").where(F.col("order_item_id") == moved).first().order_id == "O2"
+
+
+def test_only_rows_of_repeated_keys_are_ranked(spark, raw, root, monkeypatch):
+    head = "order_id,customer_id,store_id,order_date,payment_method,status\n"
+    raw("orders", ONE, head + "O1,C1,S1,2026-07-08,cod,pending\n O2,C1,S1,2026-07-08,cod,pending\n"
+        "O3,C1,S1,2026-07-08,cod,pending\n\t,C1,S1,2026-07-08,cod,pending\n,C1,S1,2026-07-08,cod,pending\n")
+    raw("orders", TWO, head + "O2 ,C2,S1,2026-07-08,cod,completed\n")
+    ranked, before = [], silver.latest_by_key
+
+    def latest(df, *args):
+        ranked.append(sorted(r.order_id for r in df.select("order_id").collect()))
+        return before(df, *args)
+
+    monkeypatch.setattr(silver, "latest_by_key", latest)
+    Bronze(spark, root).ingest(raw.dir, "orders")
+    assert Silver(spark, root).transform("orders") == ("orders", 3, 2)
+    assert ranked == [["O2", "O2"]]
+    found = {(r.order_id, r.customer_id, r.status) for r in Silver(spark, root).read("orders").collect()}
+    assert found == {("O1", "C1", "pending"), ("O2", "C2", "completed"), ("O3", "C1", "pending")}
+    assert Silver(spark, root).rejects().count() == 2
+    # With more repeated keys than are broadcast all rows are ranked.
+    monkeypatch.setattr(silver, "REPEATED_KEYS", 0)
+    assert Silver(spark, f"{root}-2").transform("orders") == ("orders", 0, 0)
+    Bronze(spark, f"{root}-2").ingest(raw.dir, "orders")
+    assert Silver(spark, f"{root}-2").transform("orders") == ("orders", 3, 2)
+    assert len(ranked[1]) == 4
+    assert {(r.order_id, r.customer_id, r.status) for r in Silver(spark, f"{root}-2").read("orders").collect()} == found
+
+
+def test_sales_held_back_of_untouched_orders_are_not_joined_again(spark, raw, root, monkeypatch):
+    first_drop(raw)
+    head = "order_id,customer_id,store_id,order_date,payment_method,status\n"
+    raw("orders", TWO, head + "O9,C7,S1,2026-07-08,cod,pending\n")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    raw("customers", TWO, "customer_id,name,email,phone,city,join_date,segment\nC7,Eve,,,Oslo,,Gold\n")
+    joined, before = [], gold_plans.fact_sales
+
+    def fact(items, orders):
+        joined.append(items.count())
+        return before(items, orders)
+
+    monkeypatch.setattr(gold_plans, "fact_sales", fact)
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    assert joined == [0]
+    sales = Gold(spark, root).read("fact_sales")
+    assert {r.order_item_id for r in sales.collect()} == {"I1", "I2", "I3", "I4", "I6"}
+    assert Gold(spark, root).held_back().count() == 0
+
+
+def test_an_item_held_back_that_moves_to_another_order_is_there_once(spark, raw, root):
+    first_drop(raw)
+    head = "order_id,customer_id,store_id,order_date,payment_method,status\n"
+    raw("orders", TWO, head + "O9,C7,S1,2026-07-08,cod,pending\n")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    raw("order_items", "20260709_000000", "order_item_id,order_id,product_id,quantity,unit_price\nI6,O1,P1,1,2\n")
+    raw("customers", TWO, "customer_id,name,email,phone,city,join_date,segment\nC7,Eve,,,Oslo,,Gold\n")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    sales = {r.order_item_id: r.order_id for r in Gold(spark, root).read("fact_sales").collect()}
+    assert Gold(spark, root).read("fact_sales").count() == len(sales) == 5
+    assert sales["I6"] == "O1"
