@@ -1,5 +1,6 @@
 """Token counts, binary token files and packing against the tokenizers library itself."""
 
+import gc
 import random
 import zlib
 from array import array
@@ -233,3 +234,21 @@ def test_sequences_hold_the_ids(spark, documents):
     pieces = packing.pack_documents(documents(texts), WORD, 1, 16)
     got = sorted(i for r in packing.sequences(pieces).collect() for i in array("I", bytes(r.ids)))
     assert got == sorted(i for t in texts for i in [*ids(t), 1])
+
+
+def test_learning_new_pieces_is_not_interrupted_by_the_garbage_collector():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdeé", k=rng.randint(3, 9))) + rng.choice(["", ",", "!?", "'s"]) for _ in range(30_000)]
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        own, passes = BatchEncoder(public_tokenizers.path(name), kept=Kept(1 << 30)), []
+        pieces = {p for t in texts for p in own.cut(t)}
+        gc.collect()
+        note = lambda phase, info: passes.append(phase)
+        gc.callbacks.append(note)
+        try:
+            own._learn(own.kept.of(own.name), pieces)
+        finally:
+            gc.callbacks.remove(note)
+        assert len(passes) <= 2 and gc.isenabled()
+        assert own.batch(texts) == own._library(texts)
