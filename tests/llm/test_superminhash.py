@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark.llm import superminhash_query  # noqa: F401 - registers the query
+from tillmark.llm import superminhash, superminhash_query  # noqa: F401 - registers the query
 from tillmark.llm.registry import QUERIES
 from tillmark.llm.stars import star_links
 from tillmark.llm.superminhash import COMPONENTS, digest, estimate, near_duplicates, signatures
@@ -165,3 +165,18 @@ def test_stars_connect_what_all_pairs_connect(spark, tmp_path, seed, p, q):
 def test_digests_tell_sets_apart():
     assert digest(np.empty(0, np.uint64)) is None
     assert digest(np.array([1], np.uint64)) != digest(np.array([2], np.uint64))
+
+
+def test_buckets_are_written_once_and_dealt_once(spark, documents, monkeypatch):
+    frames, before = {}, superminhash.written
+
+    def written(df, path, **options):
+        frames[path.rsplit("/", 1)[1]] = df
+        return before(df, path, **options)
+
+    monkeypatch.setattr(superminhash, "written", written)
+    pairs = corpus(3)
+    assert found(near_duplicates(documents(pairs=pairs))) == plain(pairs)
+    assert [name for name, df in frames.items() if "buckets" in df.columns] == ["described"]
+    plan = frames["stars"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(buckets") == 1

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
@@ -163,13 +163,15 @@ def link_classes(docs: DataFrame, described: DataFrame, text: str = "text") -> D
     """Roots of classes (node, root) that have a link to another class. A class is named by its smallest row."""
     path = fresh_dir(docs.sparkSession, "superminhash")
     classes = described.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("row").alias("class"), F.min("doc_id").alias("doc_id"), F.first("buckets").alias("buckets")
+        F.min("row").alias("class"), F.min("doc_id").alias("doc_id")
     )
     classes = written(classes, f"{path}/classes")
-    entries = classes.select("class", F.explode("buckets").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("class").alias("leader"), F.max("class").alias("_last"))
-    shared = shared.where(F.col("leader") != F.col("_last")).select("bucket", "leader")
-    stars = entries.join(shared, "bucket").where(F.col("class") != F.col("leader")).select("leader", "class").distinct()
+    # The buckets of a class are those of the row it is named by; they are not written a second time.
+    named = described.select(F.col("row").alias("class"), "buckets").join(classes.select("class"), "class", "left_semi")
+    entries = named.select("class", F.explode("buckets").alias("bucket"))
+    # One exchange of the entries; a class of copies has one in each bucket.
+    led = entries.withColumn("leader", F.min("class").over(Window.partitionBy("bucket")))
+    stars = led.where(F.col("class") != F.col("leader")).select("leader", "class").distinct()
     stars = written(stars, f"{path}/stars")
     ends = stars.select("class").unionByName(stars.select(F.col("leader").alias("class"))).distinct()
     wanted = classes.select("class", "digest", "doc_id").join(ends, "class", "left_semi")
