@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import superminhash, superminhash_query  # noqa: F401 - registers the query
 from tillmark.llm.registry import QUERIES
-from tillmark.llm.stars import star_links
+from tillmark.llm.stars import linked_pairs, star_links
 from tillmark.llm.superminhash import COMPONENTS, digest, estimate, near_duplicates, signatures
 
 from .conftest import SF
@@ -162,6 +162,24 @@ def test_stars_connect_what_all_pairs_connect(spark, tmp_path, seed, p, q):
     assert 1 < len(named[0]) < len(sets)
 
 
+@pytest.mark.parametrize("module", [superminhash])
+def test_comparing_sets_does_not_shuffle_them_again(spark, documents, monkeypatch, module):
+    seen = []
+    monkeypatch.setattr(module, "star_links", lambda *given: seen.append(given[:2]) or star_links(*given))
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(500)}" for _ in range(120)]
+    texts = [" ".join([*words[:i], "new", *words[i + 1 :]]) for i in range(0, 120, 10)]
+    assert module.near_duplicates(documents(texts)).where("component_id = 0").count() == len(texts)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = linked_pairs(*seen[0], 4, 5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # The sets of the classes, and those of their leaders.
+    assert plan.count("Bucketed: true") == 2
+
+
 def test_digests_tell_sets_apart():
     assert digest(np.empty(0, np.uint64)) is None
     assert digest(np.array([1], np.uint64)) != digest(np.array([2], np.uint64))

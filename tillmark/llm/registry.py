@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -78,3 +79,15 @@ def written(df: DataFrame, path: str, **options: str) -> DataFrame:
     """Write to the shared folder and read it again: the plan ends there, and a lost executor costs only a read."""
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_by(df: DataFrame, key: str, path: str, **options: str) -> DataFrame:
+    """The same in Spark's buckets of `key`, one for each partition of a shuffle: joins on the key don't shuffle these rows.
+
+    Rows of equal keys are written by one task, so keys shouldn't repeat much.
+    """
+    spark, count = df.sparkSession, partitions(df.sparkSession)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(count, key).write.format("parquet").options(path=path, **options)
+    writer.bucketBy(count, key).saveAsTable(name)
+    return spark.table(name)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
 from tillmark.llm.pieces import forget, released
-from tillmark.llm.registry import written
+from tillmark.llm.registry import written, written_by
 from tillmark.llm.shingles import shingle_sets
 from tillmark.llm.stars import star_links
 from tillmark.session import fresh_dir
@@ -173,7 +173,7 @@ def link_classes(docs: DataFrame, described: DataFrame, text: str = "text") -> D
     stars = written(stars, f"{path}/stars")
     ends = stars.select("class").unionByName(stars.select(F.col("leader").alias("class"))).distinct()
     wanted = classes.select("class", "digest", "doc_id").join(ends, "class", "left_semi")
-    sets = written(sets_of(docs, wanted, text), f"{path}/sets", compression="none")
+    sets = written_by(sets_of(docs, wanted, text), "class", f"{path}/sets", compression="none")
     return components(star_links(stars, sets, P, Q, path))
 
 
