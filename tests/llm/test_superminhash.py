@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark.llm import superminhash, superminhash_query  # noqa: F401 - registers the query
+from tillmark.llm import jaccard, superminhash, superminhash_query  # noqa: F401 - registers the query
 from tillmark.llm.registry import QUERIES
 from tillmark.llm.stars import linked_pairs, star_links
 from tillmark.llm.superminhash import COMPONENTS, digest, estimate, near_duplicates, signatures
@@ -162,7 +162,7 @@ def test_stars_connect_what_all_pairs_connect(spark, tmp_path, seed, p, q):
     assert 1 < len(named[0]) < len(sets)
 
 
-@pytest.mark.parametrize("module", [superminhash])
+@pytest.mark.parametrize("module", [superminhash, jaccard])
 def test_comparing_sets_does_not_shuffle_them_again(spark, documents, monkeypatch, module):
     seen = []
     monkeypatch.setattr(module, "star_links", lambda *given: seen.append(given[:2]) or star_links(*given))

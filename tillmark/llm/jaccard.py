@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm.components import components
 from tillmark.llm.pieces import forget, release, released
-from tillmark.llm.registry import partitions, written
+from tillmark.llm.registry import partitions, written, written_by
 from tillmark.llm.shingles import shingle_sets
 from tillmark.llm.stars import star_links
 from tillmark.session import fresh_dir
@@ -305,7 +305,8 @@ def sets_of(docs: DataFrame, classes: DataFrame, described: DataFrame, text: str
 
     own = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col(f"`{text}`").alias("text"))
     chosen = own.join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("text")
-    return chosen.mapInArrow(sets, "class long, set binary").dropDuplicates(["class"])
+    found = chosen.mapInArrow(sets, "class long, set binary")
+    return found.repartition(partitions(docs.sparkSession), "class").dropDuplicates(["class"])
 
 
 def blocks(index: DataFrame) -> DataFrame:
@@ -340,7 +341,7 @@ def link_classes(docs: DataFrame, described: DataFrame, text: str = "text") -> D
     stars = entries.join(lists, ["shingle", "block"]).where(F.col("class") != F.col("leader"))
     stars = written(stars.select("leader", "class").distinct(), f"{path}/stars")
     ends = stars.select("class").unionByName(stars.select(F.col("leader").alias("class"))).distinct()
-    sets = written(sets_of(docs, ends, described, text), f"{path}/sets", compression="none")
+    sets = written_by(sets_of(docs, ends, described, text), "class", f"{path}/sets", compression="none")
     return components(star_links(stars, sets, P, Q, path))
 
 
