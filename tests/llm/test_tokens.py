@@ -252,3 +252,30 @@ def test_learning_new_pieces_is_not_interrupted_by_the_garbage_collector():
             gc.callbacks.remove(note)
         assert len(passes) <= 2 and gc.isenabled()
         assert own.batch(texts) == own._library(texts)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_a_word_is_kept_once_whatever_marks_and_line_breaks_stand_by_it(path):
+    kept = Kept(1 << 20)
+    own = BatchEncoder(path, kept=kept)
+    texts = ["x word word, word. word?!\nword", "x word!\n\nword, word"]
+    assert own.batch(texts) == own._library(texts)
+    space = " " if path == BYTE else ""
+    pieces = {"x", space + "word", ",", ".", "?!", "!"} | ({"\n", "word"} if path == BYTE else {""})
+    assert set(kept.of(own.name)) == pieces
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@pytest.mark.parametrize("plain_specials", [True, False])
+def test_cuts_in_bytes_are_those_of_the_library(path, plain_specials):
+    white = list(map(chr, (32, 10, 9, 13, 11, 28, 127, 0x85, 0xA0, 0x1680, 0x180E, 0x2003, 0x200B, 0x2028, 0x202F, 0x3000)))
+    solid = ["a", "Ab", "é", "É", "ÿ", "×", "÷", "e\u0301", "1", ".", ",", "'", "'s", "“", "—", "ま", "語", "🙂", "<|endoftext|>", "\0"]
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = plain_specials
+    own = BatchEncoder(path, plain_specials, kept=Kept(1 << 24))
+    rng = random.Random(11)
+    texts = ["".join(rng.choices(white[: rng.choice([2, 16])] + solid, k=rng.randint(0, 8))) for _ in range(6000)]
+    texts += [a + w + v + b for a in ("", "a", "É,") for w in white for v in white for b in ("", "b", "<|endoftext|>")]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own.batch(texts) == [as_bytes(w) for w in want]
+    assert own.counts(texts) == [len(w) for w in want]
