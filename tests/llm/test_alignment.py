@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillmark.llm import alignment, alignment_query  # noqa: F401 - registers the query
-from tillmark.llm.alignment import Pieces, alignments, heavy_from
+from tillmark.llm.alignment import Pieces, alignments, common_ends, heavy_from
 from tillmark.llm.pieces import Kept, byte_letters
 from tillmark.llm.registry import QUERIES
 
@@ -110,3 +111,30 @@ def test_texts_are_cut_where_no_piece_goes_across(budget):
 def test_heavy_pairs_are_bounded(spark):
     counts = spark.createDataFrame([(i, h) for i, h in enumerate([1, 1, 1, 2, 3, 4, 9])], "pair long, held long")
     assert [heavy_from(counts, most) for most in (0, 1, 2, 4, 5, 6, 7)] == [1 << 62, 8, 4, 2, 2, 2, 1]
+
+
+def test_common_ends_of_whole_batches():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        last = int(rng.integers(1, 60))
+        a, b = (np.append(np.flatnonzero(rng.random(last) < 0.4), last) for _ in range(2))
+        common = sorted(set(a.tolist()) & set(b.tolist()))
+        i, j = common_ends(a, b)
+        assert a[i - 1].tolist() == b[j - 1].tolist() == common
+        assert i.tolist() == [a.tolist().index(e) + 1 for e in common]
+
+
+def test_texts_stand_one_behind_the_other():
+    """The ends of all texts of a batch are looked up together, and no text takes part in another's groups."""
+    aligner, calls = alignment.Aligner(BYTE, PIECE), []
+    texts = ["one two, three", "", "ﬁ", "Four\nfive", "one two, three", "  six"]
+    ask = alignment.common_ends
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(alignment, "common_ends", lambda *ends: calls.append(1) or ask(*ends))
+        figures, digests, doc, pairs, times = aligner.documents(texts)
+    assert len(calls) == 1
+    alone = [aligner.documents([t]) for t in texts]
+    assert figures.tolist() == [f[0].tolist() for f, *_ in alone]
+    assert digests == [d[0] for _, d, *_ in alone]
+    for k, (_, _, _, own, held) in enumerate(alone):
+        assert pairs[doc == k].tolist() == own.tolist() and times[doc == k].tolist() == held.tolist()

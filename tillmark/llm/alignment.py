@@ -1,8 +1,8 @@
 """Alignment of two tokenizers over the bytes of a text, and what the corpus says about each pair of linked tokens.
 
-Both tokenizers cut the same bytes. A dictionary for each leads from the byte where a token ends to its index; the ends
-in both dictionaries, sorted, slice the two id lists into groups, and every token of one side is linked with every
-token of the other side of its group.
+Both tokenizers cut the same bytes. A dictionary for each leads from the byte where a token ends to its index (an array
+over the bytes of a batch, in which texts stand one behind the other); the ends in both dictionaries, in order, slice the two
+id lists into groups, and every token of one side is linked with every token of the other side of its group.
 
 What is written of a document are its figures and, packed, the different id pairs of its links with how often each
 occurs; each batch also gives the pairs it holds with the number of its documents, so that few rows are summed over the
@@ -13,18 +13,17 @@ as sorted arrays. All others are rare, so that joining them by pair has no hot k
 from __future__ import annotations
 
 import hashlib
-import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import compress, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.pieces import Kept, balanced, byte_letters, encoder
+from tillmark.llm.pieces import Kept, balanced, byte_letters, encoder, gathered, numbered, solid, together
 from tillmark.llm.registry import written
 from tillmark.session import fresh_dir
 
@@ -36,11 +35,6 @@ BATCH_CHARS = 1 << 20
 KEPT_PIECES = 64 << 20
 # Links of a group that are listed one by one at most; in a larger group ids are counted first.
 LISTED = 4096
-# A single space between what is not white.
-_SPACE = re.compile(r"(?<=\S) (?=\S)")
-# Any white space that isn't such a single space.
-_RUN = re.compile(r"\A |[^\S ]| (?: |\Z)")
-
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 ROWS = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary, "
@@ -57,13 +51,24 @@ class Side:
         self.lossless = False
         self.sizes = np.array([len(s) for s in spelled], np.int64)
         # The decimal text of each id inside a group, and at the end of this side of a group.
-        self.decimal = [f"{i}{mark}" for i in range(len(spelled)) for mark in (",", close)]
+        self.decimal = [f"{i}{mark}".encode() for i in range(len(spelled)) for mark in (",", close)]
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where those of each text end."""
+        raise NotImplementedError
 
-    def gives(self, ids: np.ndarray, whole: bytes) -> bool:
-        """Whether the bytes of the ids are these."""
-        if int(self.sizes[ids].sum()) != len(whole):
-            return False
-        return self.lossless or b"".join(map(self.spelled.__getitem__, ids.tolist())) == whole
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        ids, ends = self.flat(texts)
+        return np.split(ids, ends[:-1]) if texts else []
+
+    def gives(self, ids: np.ndarray, ends: np.ndarray, whole: list[bytes]) -> np.ndarray:
+        """Of which texts the bytes of the ids are these."""
+        at = np.append(0, np.append(0, np.cumsum(self.sizes[ids]))[ends])
+        same = np.diff(at) == np.fromiter(map(len, whole), np.int64, len(whole))
+        if not self.lossless:
+            given = b"".join(map(self.spelled.__getitem__, ids.tolist()))
+            same &= np.array([given[a:b] == w for (a, b), w in zip(pairwise(at.tolist()), whole)], bool)
+        return same
 
 
 class ByteLevel(Side):
@@ -78,9 +83,8 @@ class ByteLevel(Side):
         # Without a normalizer it cuts and merges the very bytes of the text.
         self.lossless = encoder(path, plain_specials=True).kind == "byte"
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        coded = encoder(self.path, plain_specials=True).batch([" " + t for t in texts])
-        return [np.frombuffer(ids, "<u4").astype(np.int64) for ids in coded]
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return encoder(self.path, plain_specials=True).flat([" " + t for t in texts])
 
 
 class Pieces(Side):
@@ -100,21 +104,26 @@ class Pieces(Side):
         # A text may be cut before a single space only if no piece goes on behind one.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A text is cut at its single spaces, which no piece goes across; each new part is encoded once."""
-        cut = [_cut(t) if self.cuts and "▁" not in t else [t] for t in texts]
+        data, ends, first = together(texts)
+        cuts, gone = first.copy(), np.zeros(len(data), bool)
+        if self.cuts:
+            full = solid(data)
+            # The model puts a space before each part. Nothing white stands around such a space, nor the text's bounds.
+            gone[1:-1] = (data[1:-1] == ord(" ")) & full[:-2] & full[2:] & ~first[1:-1] & ~first[2:]
+            for k in [k for k, text in enumerate(texts) if "▁" in text]:
+                gone[ends[k - 1] if k else 0 : ends[k]] = False
+            cuts |= gone
+        parts, numbers, sizes = numbered(data, ends, cuts, gone)
+        parts = parts.to_numpy(zero_copy_only=False).tolist()
         known = self.kept.of("pieces")
-        new = list(set(chain.from_iterable(cut)) - known.keys())
-        known.update((t, array("q", ids).tobytes()) for t, ids in zip(new, self.model.encode(new, num_threads=1)))
+        new = [p for p in parts if p not in known]
+        known.update((p, array("i", ids).tobytes()) for p, ids in zip(new, self.model.encode(new, num_threads=1)))
         self.kept.entered("pieces", new)
-        coded = [np.frombuffer(b"".join(map(known.__getitem__, own)), np.int64) for own in cut]
+        coded = list(map(known.__getitem__, parts))
         self.kept.settle()
-        return coded
-
-
-def _cut(text: str) -> list[str]:
-    """The text between single spaces with nothing white around them: the model puts a space before each part."""
-    return _SPACE.split(text) if _RUN.search(text) else text.split(" ")
+        return gathered(coded, "<i4", numbers, sizes)
 
 
 @lru_cache(maxsize=4)
@@ -123,12 +132,13 @@ def sides(byte_level: str, pieces: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(byte_level), Pieces(pieces)
 
 
-def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """How many tokens of each side lie before every byte where tokens of both end."""
-    at_a, at_b = dict(zip(a, range(1, len(a) + 1))), dict(zip(b, range(1, len(b) + 1)))
-    # Ends only grow, so those of b that are in a come sorted.
-    common = [end for end in at_b if end in at_a]
-    return [at_a[e] for e in common], [at_b[e] for e in common]
+def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens of each side lie before every byte where tokens of both end. `a` and `b` are the ends, ascending."""
+    last = int(max(a[-1], b[-1]))
+    at_a, at_b = np.zeros(last + 1, np.int64), np.zeros(last + 1, np.int64)
+    at_a[a], at_b[b] = np.arange(1, len(a) + 1), np.arange(1, len(b) + 1)
+    common = np.flatnonzero((at_a > 0) & (at_b > 0))
+    return at_a[common], at_b[common]
 
 
 def expanded(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, shift: int) -> tuple[np.ndarray, ...]:
@@ -166,7 +176,8 @@ class Aligner:
     def __init__(self, byte_level: str, pieces: str):
         self.a, self.b = sides(byte_level, pieces)
         self.shift = len(self.b.spelled).bit_length()
-        self.decimal = self.a.decimal + self.b.decimal
+        # Padded with zero bytes, which none of them has.
+        self.decimal = np.array(self.a.decimal + self.b.decimal)
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Of each text n_a, n_b, n_groups, n_links and the hash of its groups; and of all: the document, pair and times
@@ -174,49 +185,48 @@ class Aligner:
         figures, digests = np.zeros((len(texts), 4), np.int64), [""] * len(texts)
         asked = [k for k, t in enumerate(texts) if t]
         some = [texts[k] for k in asked]
-        right, ids_a, ids_b = [], [], []
-        for k, text, a, b in zip(asked, some, self.a.ids(some), self.b.ids(some)):
-            whole = (" " + text).encode("utf-8")
-            if self.a.gives(a, whole) and self.b.gives(b, whole):
-                right.append(k)
-                ids_a.append(a)
-                ids_b.append(b)
+        a, ends_a = self.a.flat(some)
+        b, ends_b = self.b.flat(some)
+        whole = [(" " + t).encode("utf-8") for t in some]
+        same = self.a.gives(a, ends_a, whole) & self.b.gives(b, ends_b, whole)
+        right = list(compress(asked, same.tolist()))
         if not right:
             none = np.empty(0, np.int64)
             return figures, digests, none, none, none
+        n_a, n_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        a, b = a[np.repeat(same, n_a)].astype(np.int64), b[np.repeat(same, n_b)].astype(np.int64)
         # Where each text ends in the tokens of both sides.
-        last_a, last_b = np.cumsum(list(map(len, ids_a))), np.cumsum(list(map(len, ids_b)))
-        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
-        common = [
-            common_ends(np.cumsum(self.a.sizes[x]).tolist(), np.cumsum(self.b.sizes[y]).tolist()) for x, y in zip(ids_a, ids_b)
-        ]
-        of_text = np.repeat(np.arange(len(right)), [len(c[0]) for c in common])
-        i = np.concatenate([np.frombuffer(array("q", c[0]), np.int64) for c in common]) + np.append(0, last_a)[of_text]
-        j = np.concatenate([np.frombuffer(array("q", c[1]), np.int64) for c in common]) + np.append(0, last_b)[of_text]
+        last_a, last_b = np.cumsum(n_a[same]), np.cumsum(n_b[same])
+        # Both sides have the same bytes of each text, so that a text's end is common to both.
+        i, j = common_ends(np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b]))
+        of_text = np.searchsorted(last_a, i)
         group, pairs, times = expanded(a, b, i, j, self.shift)
         links = np.bincount(of_text[group], times, len(right))
         figures[right] = np.stack(
             [np.diff(last_a, prepend=0), np.diff(last_b, prepend=0), np.bincount(of_text, minlength=len(right)), links], 1
         )
         keys, times = _summed(of_text[group] << 40 | pairs, times)
-        spelled = self._spelled(a, b, i, j)
-        ends = (last_a + last_b).tolist()
+        spelled, ends = self._spelled(a, b, i, j, last_a + last_b)
         for k, start, end in zip(right, [0, *ends], ends):
             # The last mark stands behind the last group.
-            digests[k] = hashlib.sha256("".join(spelled[start:end])[:-1].encode()).hexdigest()
+            digests[k] = hashlib.sha256(spelled[start : end - 1]).hexdigest()
         return figures, digests, np.array(right)[keys >> 40], keys & (1 << 40) - 1, times
 
-    def _spelled(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[str]:
-        """The tokens of each group, those of A then those of B, each with the mark behind it."""
-        at_a, at_b = np.arange(len(a)), np.arange(len(b))
-        group_a, group_b = np.searchsorted(i, at_a, "right"), np.searchsorted(j, at_b, "right")
+    def _spelled(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, last: np.ndarray) -> tuple[bytes, list[int]]:
+        """The tokens of each group, those of A then those of B, each with the mark behind it; and where those up to each
+        `last` token end."""
+        groups = np.arange(len(i))
+        group_a, group_b = np.repeat(groups, np.diff(i, prepend=0)), np.repeat(groups, np.diff(j, prepend=0))
         codes_a, codes_b = 2 * a, 2 * b
         codes_a[i - 1] += 1
         codes_b[j - 1] += 1
         out = np.empty(len(a) + len(b), np.int64)
-        out[at_a + np.append(0, j)[group_a]] = codes_a
-        out[at_b + i[group_b]] = codes_b + len(self.a.decimal)
-        return list(map(self.decimal.__getitem__, out.tolist()))
+        out[np.arange(len(a)) + np.append(0, j)[group_a]] = codes_a
+        out[np.arange(len(b)) + i[group_b]] = codes_b + len(self.a.decimal)
+        wide = self.decimal[out]
+        letters = wide.view(np.uint8)
+        ends = np.cumsum(np.strings.str_len(wide))
+        return letters[letters != 0].tobytes(), ends[last - 1].tolist()
 
 
 def _documents(byte_level: str, pieces: str):
