@@ -15,6 +15,7 @@ from tillmark.operators.history import (
 from tillmark.operators.integrity import reference_violations, reject_rows, split_by_references, split_missing_key
 from tillmark.operators.timeline import as_of, with_previous
 from tillmark.operators.versions import drop_stale, first_by_key, insert_if_absent, latest_by_key, overlay, upsert
+from tillmark.session import STORED, configure, configure_stored
 from tillmark.sources import folders
 from tillmark.sources.keyed_table import KeyedTable
 
@@ -310,3 +311,24 @@ def test_cost_ratio_keeps_the_bounds(spark):
     products = spark.createDataFrame([("p", Decimal("100"))], "product_id string, price decimal(18,4)")
     found = q.cost_ratio(costs, "t", ["cost"], "product_id", "cost", products, "price", "0.50", "0.80")
     assert sorted(r.record_key for r in found.collect()) == ["49.9900", "80.0100"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_many_keys_in_small_files_are_not_broadcast(spark, tmp_path):
+    """Their hash table is many times as large as their file: which join it takes is decided when the rows are counted."""
+    configure_stored(spark)
+    try:
+        spark.range(400_000).select(F.left(F.md5(F.col("id").cast("string")), F.lit(12)).alias("k")).write.options(**STORED).parquet(f"{tmp_path}/k")
+        keys = spark.read.parquet(f"{tmp_path}/k")
+        assert sum(p.stat().st_size for p in tmp_path.glob("k/*.parquet")) < 10 << 20
+        assert "BroadcastHashJoin" not in _plan(overlay(spark.range(9).select(F.col("id").cast("string").alias("k")), keys, ["k"]))
+        keys.limit(5).write.parquet(f"{tmp_path}/few")
+        few = spark.read.parquet(f"{tmp_path}/few")
+        assert "BroadcastHashJoin" in _plan(overlay(keys, few, ["k"]))
+        # The reference check asks for no more of them to be broadcast either.
+        assert "BroadcastHashJoin" not in _plan(reference_violations(few.withColumnRenamed("k", "fk"), {"fk": (keys, "k")}))
+    finally:
+        configure(spark)

@@ -9,7 +9,7 @@ from tillmark.plans.gold import CALENDAR, TABLE_KEYS, Gold
 from tillmark.plans.silver import Silver, transform_all
 from tillmark.plans.upkeep import KeptViews
 from tillmark.plans.views import all_views, create_views, register
-from tillmark.session import configure, side_by_side
+from tillmark.session import configure_stored, side_by_side
 from tillmark.specs import TABLES
 
 STAR = ("dim_date", "dim_customer", "dim_store", "dim_product", "fact_sales")
@@ -28,7 +28,7 @@ def compact(spark: SparkSession, root: str) -> None:
 
 def stored_views(spark: SparkSession, root: str, calendar: tuple[str, str] = CALENDAR) -> dict[str, DataFrame]:
     """The views over the stored star schema, for readers in any later session."""
-    star = star_schema(Gold(configure(spark), root, calendar))
+    star = star_schema(Gold(configure_stored(spark), root, calendar))
     create_views(star)
     return all_views(star)
 
@@ -48,7 +48,7 @@ def run(
     run with a calendar that has it; Gold.held_back() lists what is held back. With ``kept_views`` the views come from
     stored sums that take in what this run changed, else from the whole fact table when they are read.
     """
-    configure(spark)
+    configure_stored(spark)
     ingested = ingest_all(spark, root, raw_dir)
     transformed = transform_all(spark, root)
     gold = Gold(spark, root, calendar)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillmark.plans.bronze import FILES_PER_BATCH, Bronze
-from tillmark.session import configure
+from tillmark.session import configure_stored
 from tillmark.sources.csv_drops import drop_pattern, listed
 from tillmark.sources.folders import any_match
 
@@ -21,7 +21,7 @@ def start_ingest(
 
     A micro-batch that is replayed finds its files in the load log and loads nothing twice.
     """
-    configure(spark)
+    configure_stored(spark)
     pattern = drop_pattern(raw_dir, table)
     if not any_match(spark, pattern):
         return None

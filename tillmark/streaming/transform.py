@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillmark.plans.bronze import LOAD_LOG, Bronze
 from tillmark.plans.silver import Silver
-from tillmark.session import configure
+from tillmark.session import configure_stored
 from tillmark.sources.folders import any_match
 
 # Logged batches in one micro-batch at most.
@@ -29,7 +29,7 @@ def fold(batch: DataFrame, root: str, table: str) -> None:
 
 def start_transform(spark: SparkSession, root: str, table: str, logs_per_batch: int = LOGS_PER_BATCH) -> StreamingQuery | None:
     """Bring silver up to the load log, then stop. None when nothing was ever logged."""
-    configure(spark)
+    configure_stored(spark)
     path = Bronze(spark, root).log_path(table)
     if not any_match(spark, path):
         return None

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.session import configure
+from tillmark.session import configure_stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +38,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
         key = name or fn.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return portable(fn(configure(spark), sf_dir))
+            return portable(fn(configure_stored(spark), sf_dir))
 
         QUERIES[key] = run
         if sql is not None:
