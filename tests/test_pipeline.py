@@ -15,7 +15,7 @@ from tillmark.plans.gold import BrokenReferenceError, Gold
 from tillmark.plans.report import best_products, export_views, payment_share
 from tillmark.plans.silver import Silver, transform_all
 from tillmark.sources.csv_drops import describe_files, list_drops
-from tillmark.sources.folders import finished_runs
+from tillmark.sources.folders import any_match, finished_runs
 from tillmark.specs import CORE, TABLES
 from tillmark.streaming.ingest import ingest_available, start_ingest
 from tillmark.streaming.transform import fold, transform_available
@@ -609,3 +609,55 @@ def test_an_item_held_back_that_moves_to_another_order_is_there_once(spark, raw,
     sales = {r.order_item_id: r.order_id for r in Gold(spark, root).read("fact_sales").collect()}
     assert Gold(spark, root).read("fact_sales").count() == len(sales) == 5
     assert sales["I6"] == "O1"
+
+
+def test_sales_are_written_once(spark, raw, root):
+    """A build moves what it joined to where it stays; with quarantine, the first one parts the sales as it writes them."""
+    first_drop(raw)
+    head = "order_id,customer_id,store_id,order_date,payment_method,status\n"
+    raw("orders", TWO, head + "O9,C7,S1,2026-07-08,cod,pending\n")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    gold = Gold(spark, root)
+    assert {r.order_item_id for r in gold.held_back().collect()} == {"I6"}
+    assert gold.read("fact_sales").count() == 4 and gold.table("fact_sales").last_run() == 0
+    assert gold.held_back().columns == gold.read("fact_sales").columns
+    assert not any_match(spark, f"{root}/gold/fact_sales_staged/_held=*")
+    raw("customers", TWO, "customer_id,name,email,phone,city,join_date,segment\nC7,Eve,,,Oslo,,Gold\n")
+    medallion.run(spark, raw.dir, root)
+    assert gold.read("fact_sales").count() == 5 and gold.held_back().count() == 0
+    assert gold.table("fact_sales").last_run() == 1 and not any_match(spark, f"{root}/gold/fact_sales_staged")
+
+
+def test_a_first_build_may_hold_back_all_sales_or_none(spark, raw, root):
+    raw("order_items", ONE, "order_item_id,order_id,product_id,quantity,unit_price\nI1,O1,P1,1,10\n")
+    raw("orders", ONE, "order_id,customer_id,store_id,order_date,payment_method,status\nO1,C1,S1,2026-07-08,cod,pending\n")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    gold = Gold(spark, root)
+    assert gold.read("fact_sales").count() == 0 and [r.order_item_id for r in gold.held_back().collect()] == ["I1"]
+    raw("customers", ONE, "customer_id,name\nC1,Ann\n")
+    raw("stores", ONE, "store_id,store_name\nS1,One\n")
+    raw("products", ONE, "product_id,product_name\nP1,Pen\n")
+    medallion.run(spark, raw.dir, root, on_violation="quarantine")
+    assert gold.read("fact_sales").count() == 1 and gold.held_back().count() == 0
+    medallion.run(spark, raw.dir, f"{root}-2", on_violation="quarantine")
+    gold = Gold(spark, f"{root}-2")
+    assert gold.read("fact_sales").count() == 1 and gold.held_back().count() == 0
+
+
+def test_first_sales_of_items_that_come_once_are_not_shuffled(spark, raw, root):
+    spec, head = TABLES["order_items"], "order_item_id,order_id,product_id,quantity,unit_price\n"
+    raw("order_items", ONE, head + "I1,O1,P1,1,10\nI2,O1,P1,1,11\n,O1,P1,1,12\n")
+    bronze = Bronze(spark, root)
+    bronze.ingest(raw.dir, "order_items")
+
+    def prices():
+        return {r.order_item_id: float(r.unit_price) for r in first().collect()}
+
+    def first():
+        return audit._first_dated(bronze.read("order_items"), spec)
+
+    assert prices() == {"I1": 10, "I2": 11} and first().count() == 2
+    assert "Exchange" not in first()._jdf.queryExecution().executedPlan().toString()
+    raw("order_items", TWO, head + " I2,O1,P1,1,21\nI3,O1,P1,1,13\n")
+    bronze.ingest(raw.dir, "order_items")
+    assert prices() == {"I1": 10, "I2": 11, "I3": 13} and first().count() == 3
